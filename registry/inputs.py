@@ -10,6 +10,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.decode import encode_decimal
+from strandline.session import shared_dir
+from strandline.sources.tables import spread
+
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written(spark: SparkSession, sf_dir: str, name: str, base: str, build) -> str:
+    """Where the log ``name`` lies, written once per session from the given tables.
+
+    A change log is an input: it is there before anything decodes it. Files
+    are kept small so that a stream takes several batches to read them.
+    """
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    if place not in _WRITTEN:
+        path = shared_dir(spark, name)
+        files = 2 * spark.sparkContext.defaultParallelism
+        per_file = max(1000, table(spark, sf_dir, base).count() // files)
+        build(spark, sf_dir).write.option("maxRecordsPerFile", per_file).parquet(path)
+        _WRITTEN[place] = path
+    return _WRITTEN[place]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,19 +151,30 @@ def _zoned_text(moment: Column) -> Column:
     return F.date_format(moment.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def _envelope(operation: Column, millis: Column, row: Column, wrapped: Column) -> Column:
-    """The event text: with or without the schema wrapper, images by operation."""
+def _envelope(operation: Column, millis: Column, row: str, wrapped: Column) -> Column:
+    """The event text: with or without the schema wrapper, images by operation.
+
+    ``row`` is a column holding the row image as JSON.
+    """
     gone = operation == "d"
-    body = F.struct(
-        operation.alias("op"),
-        millis.alias("ts_ms"),
-        F.when(gone, row).alias("before"),
-        F.when(~gone, row).alias("after"),
+    body = F.concat(
+        F.lit('{"op":"'),
+        operation,
+        F.lit('","ts_ms":'),
+        millis.cast("string"),
+        F.lit(',"before":'),
+        F.when(gone, F.col(row)).otherwise(F.lit("null")),
+        F.lit(',"after":'),
+        F.when(gone, F.lit("null")).otherwise(F.col(row)),
+        F.lit("}"),
     )
-    options = {"ignoreNullFields": "false"}
-    schema = F.struct(F.lit("struct").alias("type"))
-    with_wrapper = F.struct(schema.alias("schema"), body.alias("payload"))
-    return F.when(wrapped, F.to_json(with_wrapper, options)).otherwise(F.to_json(body, options))
+    opening = F.when(wrapped, F.lit('{"schema":{"type":"struct"},"payload":')).otherwise(F.lit(""))
+    closing = F.when(wrapped, F.lit("}")).otherwise(F.lit(""))
+    return F.concat(opening, body, closing)
+
+
+def _image(*columns: Column | str) -> Column:
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("image")
 
 
 # A line item is an event about the reading its order and line number name; some
@@ -171,6 +202,12 @@ METER_ORDER = ("cdc_timestamp", "bronze_partition", "bronze_offset", "facility_i
 
 def meter_log(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> DataFrame:
     """The raw log of readings. ``redelivered`` repeats the events of line 7 twice over."""
+    name = "meter-log-redelivered" if redelivered else "meter-log"
+    path = written(spark, sf_dir, name, "lineitem", lambda s, d: build_meter_log(s, d, redelivered))
+    return spark.read.parquet(path)
+
+
+def build_meter_log(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> DataFrame:
     operation = F.expr(
         "CASE WHEN l_returnflag = 'R' AND l_discount >= 0.1 THEN 'd' "
         "WHEN l_returnflag = 'R' THEN 'u' WHEN l_returnflag = 'A' THEN 'r' ELSE 'c' END"
@@ -178,7 +215,7 @@ def meter_log(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> Da
     reading_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     kwh = F.col("l_extendedprice").cast("decimal(12,3)") - F.lit(50000)
     corrected = F.col("l_returnflag") == "R"
-    row = F.struct(
+    row = _image(
         reading_id.alias("reading_id"),
         F.col("l_suppkey").alias("facility_id"),
         _zoned_text(F.col("l_shipdate")).alias("reading_timestamp"),
@@ -188,8 +225,8 @@ def meter_log(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> Da
     )
     shipped = F.col("l_shipdate").cast("timestamp")
     millis = _millis(F.col("l_shipdate")) + F.col("l_linenumber")
-    value = _envelope(operation, millis, row, F.col("l_linestatus") == "F")
-    events = table(spark, sf_dir, "lineitem").select(
+    value = _envelope(operation, millis, "image", F.col("l_linestatus") == "F")
+    events = spread(table(spark, sf_dir, "lineitem")).select("*", row).select(
         F.format_string('{"reading_id":%d}', reading_id).alias("key"),
         F.when(operation == "d", F.array(value, F.lit(None).cast("string")))
         .otherwise(F.array(value))
@@ -251,7 +288,11 @@ INVESTMENT_EVENTS_SQL = f"""
 
 
 def investment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = investments(spark, sf_dir)
+    return spark.read.parquet(written(spark, sf_dir, "investment-log", "orders", build_investment_log))
+
+
+def build_investment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spread(investments(spark, sf_dir))
     final = F.col("status") == "confirmed"
     steps = F.when(
         final, F.array(F.lit("pending"), F.lit("confirmed"))
@@ -265,7 +306,7 @@ def investment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.posexplode(steps).alias("step", "status"),
     )
     moment = F.date_add("investment_date", F.col("step") * 30).cast("timestamp")
-    row = F.struct(
+    row = _image(
         "investment_id",
         "facility_id",
         F.unix_date("investment_date").alias("investment_date"),
@@ -274,9 +315,9 @@ def investment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "status",
     )
     operation = F.when(F.col("step") == 0, F.lit("c")).otherwise(F.lit("u"))
-    return events.select(
+    return events.select("*", row).select(
         F.format_string('{"investment_id":%d}', F.col("investment_id")).alias("key"),
-        _envelope(operation, _millis(moment), row, F.col("investment_id") % 2 == 0).alias("value"),
+        _envelope(operation, _millis(moment), "image", F.col("investment_id") % 2 == 0).alias("value"),
         F.lit("source.investments").alias("topic"),
         F.lit(0).alias("partition"),
         (F.col("investment_id") * 2 + F.col("step")).alias("offset"),
@@ -297,6 +338,10 @@ FACILITY_EVENTS_SQL = f"""
 
 
 def facility_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(written(spark, sf_dir, "facility-log", "supplier", build_facility_log))
+
+
+def build_facility_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = F.when(F.col("subsidy_eligible"), F.array(F.lit(True))).otherwise(
         F.array(F.lit(True), F.lit(False))
     )
@@ -304,7 +349,7 @@ def facility_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "facility_id", "name", "sector", "region", F.posexplode(steps).alias("step", "subsidy_eligible")
     )
     annual = F.col("facility_id").cast("decimal(12,0)") * F.expr("1.5BD")
-    row = F.struct(
+    row = _image(
         "facility_id",
         "name",
         "sector",
@@ -314,9 +359,9 @@ def facility_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     moment = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("step"))
     operation = F.when(F.col("step") == 0, F.lit("c")).otherwise(F.lit("u"))
-    return events.select(
+    return events.select("*", row).select(
         F.format_string('{"facility_id":%d}', F.col("facility_id")).alias("key"),
-        _envelope(operation, _millis(moment), row, F.lit(True)).alias("value"),
+        _envelope(operation, _millis(moment), "image", F.lit(True)).alias("value"),
         F.lit("source.facilities").alias("topic"),
         F.lit(0).alias("partition"),
         (F.col("facility_id") * 2 + F.col("step")).alias("offset"),

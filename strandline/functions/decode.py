@@ -16,16 +16,6 @@ from pyspark.sql import functions as F
 _MAX_EPOCH_MS = (2**63 - 1) // 1000
 
 
-def envelope_body(value: Column) -> Column:
-    """The event body as VARIANT, parsed once; with or without a wrapper.
-
-    Some connectors wrap the body as ``{"schema": …, "payload": body}``. Text
-    that is not JSON becomes NULL.
-    """
-    parsed = F.try_parse_json(value)
-    return F.coalesce(F.try_variant_get(parsed, "$.payload", "variant"), parsed)
-
-
 def decode_decimal(encoded: Column, precision: int, scale: int) -> Column:
     """Base64 of a big-endian two's-complement integer, scaled by ``10**-scale``.
 
@@ -47,12 +37,9 @@ def decode_decimal(encoded: Column, precision: int, scale: int) -> Column:
 def encode_decimal(value: Column, scale: int) -> Column:
     """Inverse of :func:`decode_decimal`, in the shortest whole number of bytes."""
     unscaled = (value * F.lit(Decimal(10) ** scale)).cast("bigint")
-    digits = F.lpad(F.hex(unscaled), 16, "0")
-    width = F.lit(16)
-    for size in range(7, 0, -1):
-        bound = 1 << (8 * size - 1)
-        width = F.when(unscaled.between(-bound, bound - 1), F.lit(2 * size)).otherwise(width)
-    return F.base64(F.unhex(F.right(digits, width)))
+    magnitude = F.when(unscaled < 0, F.bitwise_not(unscaled)).otherwise(unscaled)
+    size = F.floor((F.length(F.bin(magnitude)) + 8) / 8).cast("int")  # with a sign bit
+    return F.base64(F.unhex(F.right(F.lpad(F.hex(unscaled), 16, "0"), size * 2)))
 
 
 def decode_epoch_days(days: Column) -> Column:

@@ -79,28 +79,49 @@ LINEAGE = {"partition": "bronze_partition", "offset": "bronze_offset", "ingested
 LOG_ORDER = ("cdc_timestamp", "bronze_partition", "bronze_offset")
 
 
+def _json_schema(entity: Entity) -> str:
+    """The parts of an event that are read, as text; with and without a wrapper.
+
+    Some connectors send the body as ``{"schema": …, "payload": body}``. Text
+    takes any JSON value, so an unexpected type is left to the cast, which
+    gives NULL for that one field.
+    """
+    after = ", ".join(f"`{name}`: string" for name in entity.fields)
+    parts = {
+        "op": "string",
+        "ts_ms": "string",
+        "after": f"struct<{after}>",
+        "before": f"struct<`{entity.key}`: string>",
+    }
+    body = ", ".join(f"{name}: {kind}" for name, kind in parts.items())
+    return f"payload struct<{body}>, " + ", ".join(f"{n} {kind}" for n, kind in parts.items())
+
+
 def extract_changes(log: DataFrame, entity: Entity) -> DataFrame:
     """Pull an entity's fields out of the JSON text, still in their encodings.
 
-    The text is parsed once per event. A delete carries its key in the
-    before-image only. Text that is not JSON, and tombstones, leave NULLs.
+    A delete carries its key in the before-image only. Text that is not JSON,
+    and tombstones, leave NULLs. ``inline`` keeps later filters above the
+    parser: pushed below it, they would parse every event a second time.
     """
-    lineage = [F.col(c).alias(name) for c, name in LINEAGE.items() if c in log.columns]
-    body = log.select(decode.envelope_body(F.col("value")).alias("body"), *lineage)
+    events = log.select(
+        *[F.col(c).alias(name) for c, name in LINEAGE.items() if c in log.columns],
+        F.inline(F.array(F.from_json("value", _json_schema(entity)))),
+    )
 
-    def read(path: str, kind: str | Decimal) -> Column:
-        plain = kind if kind in ("bigint", "boolean") else "string"
-        return F.try_variant_get("body", path, plain)
+    def read(path: str) -> Column:
+        return F.coalesce(F.col(f"payload.{path}"), F.col(path))
 
     fields = []
     for name, kind in entity.fields.items():
-        column = read(f"$.after.{name}", kind)
+        text = read(f"after.{name}")
         if name == entity.key:
-            column = F.coalesce(column, read(f"$.before.{name}", kind))
-        fields.append(column.alias(name))
-    return body.select(
-        F.try_variant_get("body", "$.op", "string").alias("operation"),
-        F.try_variant_get("body", "$.ts_ms", "bigint").alias("cdc_timestamp_ms"),
+            text = F.coalesce(text, read(f"before.{name}"))
+        plain = text.try_cast(kind) if kind in ("bigint", "boolean") else text
+        fields.append(plain.alias(name))
+    return events.select(
+        read("op").alias("operation"),
+        read("ts_ms").try_cast("bigint").alias("cdc_timestamp_ms"),
         *fields,
         *lineage_names(log),
     )

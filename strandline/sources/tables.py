@@ -54,6 +54,15 @@ def balanced(table: DataFrame, *columns: str) -> DataFrame:
     return table.hint("rebalance", *columns) if columns else table.hint("rebalance")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Give every core a part of a table stored in fewer pieces than there are cores.
+
+    For work that is heavy per row. A table of many files is left as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def write_overwrite(table: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     """Write a new version of a table below ``root`` and return its path."""
     path = f"{root.rstrip('/')}/version={uuid.uuid4().hex}"
