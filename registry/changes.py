@@ -221,8 +221,11 @@ _VERSION_SELECT = ", ".join(_VERSION_COLUMNS).replace(
 
 
 def meter_history(spark, sf, **options):
-    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
-    return history.history(changes, "reading_id", I.METER_ORDER, **options)
+    log = I.meter_log(spark, sf)
+    changes = envelope.read_changes(
+        log, envelope.METER_READINGS, (*envelope.WRITES, envelope.DELETE)
+    )
+    return history.history(changes, "reading_id", I.METER_ORDER, log=log, **options)
 
 
 @query(
@@ -326,11 +329,10 @@ def scd2_redelivered(spark, sf):
     changes = envelope.read_changes(
         log, envelope.METER_READINGS, (*envelope.WRITES, envelope.DELETE)
     )
-    # A delete has no fields but the key, so its copies are told apart by place.
-    identity = [*envelope.METER_READINGS.columns, "operation", "cdc_timestamp", "place"]
-    placed = changes.withColumn("place", F.floor(F.col("bronze_offset") / 4))
-    once = history.drop_redelivered(placed, identity, I.METER_ORDER).drop("place")
-    return history.history(once, "reading_id", I.METER_ORDER).select(*_VERSION_COLUMNS)
+    identity = [*envelope.METER_READINGS.columns, "operation", "cdc_timestamp"]
+    once = history.drop_redelivered(changes, identity, I.METER_ORDER)
+    versions = history.history(once, "reading_id", I.METER_ORDER, log=log)
+    return versions.select(*_VERSION_COLUMNS)
 
 
 _CURRENT = f"""WITH {_VERSIONS} SELECT reading_id, facility_id, reading_timestamp,
@@ -358,7 +360,8 @@ def stg_meter_readings(spark, sf):
     FROM ({I.INVESTMENTS_SQL})""",
 )
 def stg_investments(spark, sf):
-    versions = history.history(investment_changes(spark, sf), "investment_id")
+    log = I.investment_log(spark, sf)
+    versions = history.history(investment_changes(spark, sf), "investment_id", log=log)
     return S.current_investments(versions)
 
 
@@ -407,9 +410,11 @@ def scd2_as_of(spark, sf):
     SELECT {_VERSION_SELECT} FROM versions""",
 )
 def scd2_as_known_at(spark, sf):
+    log = I.meter_log(spark, sf)
     changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
     moment = F.expr("TIMESTAMP '1999-07-01 00:00:00'")
-    return history.as_known_at(changes, moment, "reading_id", I.METER_ORDER).select(*_VERSION_COLUMNS)
+    versions = history.as_known_at(changes, moment, "reading_id", I.METER_ORDER, log=log)
+    return versions.select(*_VERSION_COLUMNS)
 
 
 @query(

@@ -192,7 +192,7 @@ METER_EVENTS_SQL = """
            epoch_ms(l_shipdate) + l_linenumber AS cdc_timestamp_ms,
            l_shipdate + INTERVAL (l_linenumber) MILLISECOND AS cdc_timestamp,
            CAST(l_orderkey % 4 AS INTEGER) AS bronze_partition,
-           (l_partkey * 1000 + l_suppkey % 1000) * 4 AS bronze_offset,
+           (l_partkey * 1000 + l_suppkey % 1000) * 8 AS bronze_offset,
            l_shipdate + INTERVAL (l_linenumber) DAY AS ingested_at
     FROM lineitem
 """
@@ -226,50 +226,29 @@ def build_meter_log(spark: SparkSession, sf_dir: str, redelivered: bool = False)
     shipped = F.col("l_shipdate").cast("timestamp")
     millis = _millis(F.col("l_shipdate")) + F.col("l_linenumber")
     value = _envelope(operation, millis, "image", F.col("l_linestatus") == "F")
-    events = spread(table(spark, sf_dir, "lineitem")).select("*", row).select(
+    # One row per message: the event, its tombstone if it is a delete, its copies.
+    tombstones = F.when(operation == "d", F.lit(1)).otherwise(F.lit(0))
+    copies = F.when((F.col("l_linenumber") == 7) & F.lit(redelivered), F.lit(2)).otherwise(F.lit(0))
+    messages = (
+        spread(table(spark, sf_dir, "lineitem"))
+        .select("*", F.explode(F.sequence(F.lit(0), tombstones)).alias("tombstone"))
+        .select("*", F.explode(F.sequence(F.lit(0), copies)).alias("copy"))
+    )
+    return messages.select("*", row).select(
         F.format_string('{"reading_id":%d}', reading_id).alias("key"),
-        F.when(operation == "d", F.array(value, F.lit(None).cast("string")))
-        .otherwise(F.array(value))
-        .alias("values"),
+        F.when(F.col("tombstone") == 0, value).alias("value"),
         F.lit("source.readings").alias("topic"),
         (F.col("l_orderkey") % 4).cast("int").alias("partition"),
-        ((F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000) * 4).alias("offset"),
+        # A later copy has a later offset; the gap between offsets leaves room for it.
+        (
+            (F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000) * 8
+            + F.col("copy") * 2
+            + F.col("tombstone")
+        ).alias("offset"),
         F.timestamp_millis(millis).alias("kafka_timestamp"),
         F.timestamp_micros(
             F.unix_micros(shipped) + F.col("l_linenumber") * F.lit(86_400_000_000)
         ).alias("ingested_at"),
-        F.when((F.col("l_linenumber") == 7) & F.lit(redelivered), F.lit(3))
-        .otherwise(F.lit(1))
-        .alias("copies"),
-    )
-    single = events.select(
-        "key",
-        F.posexplode("values").alias("at", "value"),
-        "topic",
-        "partition",
-        "offset",
-        "kafka_timestamp",
-        "ingested_at",
-        "copies",
-    )
-    # A later copy has a later offset; the gap between offsets leaves room for it.
-    return single.select(
-        "key",
-        "value",
-        "topic",
-        "partition",
-        (F.col("offset") + F.col("at")).alias("offset"),
-        "kafka_timestamp",
-        "ingested_at",
-        F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
-    ).select(
-        "key",
-        "value",
-        "topic",
-        "partition",
-        (F.col("offset") + F.col("copy")).alias("offset"),
-        "kafka_timestamp",
-        "ingested_at",
     )
 
 

@@ -620,6 +620,42 @@ def dq_source_constraints(spark, sf):
     )
 
 
-@query("dq_gate")
+def _named(sql: str, name: str, declared: str) -> str:
+    return sql.replace(f"'{name}' AS table_name", f"'{declared}' AS table_name")
+
+
+_DECLARED = (
+    ("monthly", "monthly_consumption", ("facility_id", "consumption_month", "total_kwh")),
+    ("entitlement", "subsidy_entitlement", ("facility_id", "subsidy_entitlement_eur")),
+    ("compliance", "investment_compliance", ("facility_id",)),
+    ("summary", "compliance_summary", ("facility_id",)),
+)
+
+
+@query(
+    "dq_gate",
+    f"WITH {_SUMMARY} "
+    + " UNION ALL ".join(
+        [
+            _named(_count(t, "not_null", c, f"{c} IS NULL"), t, declared)
+            for t, declared, columns in _DECLARED
+            for c in columns
+        ]
+        + [
+            _named(_repeats("compliance", "facility_id"), "compliance", "investment_compliance"),
+            _named(_repeats("summary", "facility_id"), "summary", "compliance_summary"),
+            _named(
+                _count(
+                    "compliance",
+                    "accepted_values",
+                    "compliance_status",
+                    "compliance_status NOT IN ('COMPLIANT', 'ON_TRACK', 'AT_RISK')",
+                ),
+                "compliance",
+                "investment_compliance",
+            ),
+        ]
+    ),
+)
 def dq_gate(spark, sf):
     return quality.gate(declared_rules(spark, sf))

@@ -63,6 +63,7 @@ def history(
     deletes: str = "close",
     changed_columns: Sequence[str] | None = None,
     hot: HotKeys | str | None = "find",
+    log: DataFrame | None = None,
 ) -> DataFrame:
     """All versions of each key with ``valid_from``, ``valid_to`` and ``is_current``.
 
@@ -74,7 +75,8 @@ def history(
     Rows without a key are each their own current version.
 
     One shuffle by key. ``hot`` is the result of ``find_hot_keys``; by default
-    it is looked for, ``None`` skips that pass.
+    it is looked for, in the message keys of ``log`` first where that is given,
+    and ``None`` skips that pass.
     """
     if deletes not in ("close", "ignore"):
         raise ValueError("deletes must be 'close' or 'ignore'")
@@ -83,7 +85,7 @@ def history(
     if operation and deletes == "ignore":
         changes = changes.where(F.col(operation) != DELETE)
     if hot == "find":
-        hot = find_hot_keys(changes, keys, at)
+        hot = find_hot_keys(changes, keys, at, log=log)
     if changed_columns:
         state = F.struct(*[F.col(c) for c in changed_columns])
         if operation:

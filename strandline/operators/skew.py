@@ -51,29 +51,49 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def find_hot_keys(
-    df: DataFrame, keys: Sequence[str], order_column: str, rows_per_slice: int | None = None
-) -> HotKeys:
-    """Find the keys with more than ``rows_per_slice`` rows and cut them up.
-
-    ``order_column`` must be numeric, a date or a timestamp. The default slice
-    size is a 20,000th of the table, and at least a million rows.
-    """
-    keys = tuple(keys)
+def _hashed(df: DataFrame, keys: Sequence[str], *columns: Column) -> DataFrame:
     known = F.lit(True)
     for key in keys:
         known = known & F.col(key).isNotNull()
-    hashed = df.where(known).select(_key_hash(keys).alias(_HASH), F.col(order_column).alias("at"))
+    return df.where(known).select(_key_hash(keys).alias(_HASH), *columns)
+
+
+def _slice_counts(hashed: DataFrame, rows_per_slice: int | None) -> dict[int, int]:
+    """Key hash to number of slices, for the crowded keys."""
     found = hashed.agg(
         F.count("*").alias("total"),
         F.expr(f"approx_top_k({_HASH}, {_TRACKED_KEYS}, {_SKETCH_ITEMS})").alias("top"),
     ).first()
     limit = rows_per_slice or max(MIN_ROWS_PER_SLICE, found["total"] // _MAX_SLICES)
-    slices = {
+    return {
         item["item"]: min(math.ceil(item["count"] / limit), _MAX_SLICES_PER_KEY)
-        for item in found["top"]
+        for item in found["top"] or ()
         if item["count"] > limit
     }
+
+
+def find_hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_column: str,
+    rows_per_slice: int | None = None,
+    log: DataFrame | None = None,
+    message_key: str = "key",
+) -> HotKeys:
+    """Find the keys with more than ``rows_per_slice`` rows and cut them up.
+
+    ``order_column`` must be numeric, a date or a timestamp. The default slice
+    size is a 20,000th of the table, and at least a million rows.
+
+    Where ``df`` is decoded from a ``log``, its message keys are looked at
+    first: they name the same rows, and reading them parses nothing. Only if
+    one of them is crowded is the decoded side looked at.
+    """
+    keys = tuple(keys)
+    if log is not None and not _slice_counts(_hashed(log, [message_key]), rows_per_slice):
+        return HotKeys(keys, order_column, None)
+    hashed = _hashed(df, keys, F.col(order_column).alias("at"))
+    slices = _slice_counts(hashed, rows_per_slice)
     if not slices:
         return HotKeys(keys, order_column, None)
 

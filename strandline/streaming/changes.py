@@ -13,14 +13,17 @@ def guard_duplicates(log: DataFrame, within: str = "1 hour") -> DataFrame:
     """Drop events a relay delivered again under new offsets.
 
     The same key and text is the same change: the text holds the operation,
-    the source time and both images. State is kept for ``within`` of event
-    time only; ``history.drop_redelivered`` removes what comes back later.
+    the source time and both images. What has been seen is remembered for
+    ``within``. The clock is that of the micro-batches, so no event is ever too
+    late and none is lost; ``history.drop_redelivered`` removes copies that
+    come back after that time.
     """
     return (
         log.withColumn("__digest", F.sha2(F.col("value"), 256))
-        .withWatermark("kafka_timestamp", within)
+        .withColumn("__seen_at", F.current_timestamp())
+        .withWatermark("__seen_at", within)
         .dropDuplicatesWithinWatermark(["topic", "key", "__digest"])
-        .drop("__digest")
+        .drop("__digest", "__seen_at")
     )
 
 
