@@ -172,7 +172,7 @@ def knn_approx(
     dimensions: int,
     k: int = TOP_K,
     bits: int = 6,
-    probes: int = 16,
+    probes: int = 32,
 ) -> DataFrame:
     """Like ``knn_cosine``, reading only the ``probes`` likeliest cells per question.
 
