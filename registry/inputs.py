@@ -47,6 +47,12 @@ FACILITIES_SQL = """
 
 
 def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published dimension table."""
+    path = written(spark, sf_dir, "facilities", "supplier", build_facilities)
+    return spark.read.parquet(path)
+
+
+def build_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (

@@ -9,9 +9,11 @@ from registry import inputs as I
 from registry.core import query
 from strandline.functions import rules
 from strandline.operators import answers, quality
+from strandline.plans import build
 from strandline.plans import compliance as C
 from strandline.plans import entitlement as E
 from strandline.plans import staging as S
+from strandline.session import shared_dir
 
 # --- the marts in Spark -------------------------------------------------------
 
@@ -425,39 +427,22 @@ def reinvestment_deadline(spark, sf):
 # --- quality ------------------------------------------------------------------------
 
 
-def declared_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """The ten rules declared for the marts."""
-    entitled = entitlement(spark, sf)
-    complied = compliance(spark, sf, entitled)
-    overall = summary(spark, sf)
-    return quality.check_all(
-        quality.check(
-            monthly(spark, sf),
-            "monthly_consumption",
-            [quality.NotNull(c) for c in ("facility_id", "consumption_month", "total_kwh")],
-        ),
-        quality.check(
-            entitled,
-            "subsidy_entitlement",
-            [quality.NotNull(c) for c in ("facility_id", "subsidy_entitlement_eur")],
-        ),
-        quality.check(
-            complied,
-            "investment_compliance",
-            [
-                quality.NotNull("facility_id"),
-                quality.Unique("facility_id"),
-                quality.AcceptedValues("compliance_status", rules.COMPLIANCE_STATUSES),
-            ],
-        ),
-        quality.check(
-            overall,
-            "compliance_summary",
-            [quality.NotNull("facility_id"), quality.Unique("facility_id")],
-        ),
+def built_marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return build.build_marts(
+        shared_dir(spark, "marts"),
+        I.readings(spark, sf),
+        I.facilities(spark, sf),
+        I.prices(spark, sf),
+        I.investments(spark, sf),
     )
 
 
+@query("build_marts", SUMMARY_SQL)
+def build_marts(spark, sf):
+    """The marts as tables, one from the other; the last of them."""
+    return _rounded(built_marts(spark, sf)["compliance_summary"], "avg_monthly_kwh")
+
+
 def _count(table: str, rule: str, column: str, condition: str) -> str:
     return (
         f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, "
@@ -485,18 +470,16 @@ _NOT_NULL_COLUMNS = (
     ),
 )
 def dq_not_null(spark, sf):
-    entitled = entitlement(spark, sf)
+    marts = built_marts(spark, sf)
     tables = {
-        "monthly": monthly(spark, sf),
-        "entitlement": entitled,
-        "compliance": compliance(spark, sf, entitled),
-        "summary": summary(spark, sf),
+        "monthly": marts["monthly_consumption"],
+        "entitlement": marts["subsidy_entitlement"],
+        "compliance": marts["investment_compliance"],
+        "summary": marts["compliance_summary"],
     }
     return quality.check_all(
         *[
-            quality.check(
-                df, name, [quality.NotNull(c) for t, c in _NOT_NULL_COLUMNS if t == name]
-            )
+            quality.check(df, name, [quality.NotNull(c) for t, c in _NOT_NULL_COLUMNS if t == name])
             for name, df in tables.items()
         ]
     )
@@ -524,10 +507,10 @@ def _repeats(table: str, column: str) -> str:
     ),
 )
 def dq_unique(spark, sf):
-    unique = quality.Unique
+    unique, marts = quality.Unique, built_marts(spark, sf)
     return quality.check_all(
-        quality.check(compliance(spark, sf), "compliance", [unique("facility_id")]),
-        quality.check(summary(spark, sf), "summary", [unique("facility_id")]),
+        quality.check(marts["investment_compliance"], "compliance", [unique("facility_id")]),
+        quality.check(marts["compliance_summary"], "summary", [unique("facility_id")]),
         quality.check(
             I.table(spark, sf, "orders"), "orders", [unique("o_orderkey"), unique("o_custkey")]
         ),
@@ -658,4 +641,5 @@ _DECLARED = (
     ),
 )
 def dq_gate(spark, sf):
-    return quality.gate(declared_rules(spark, sf))
+    """Build, test, and go on only if every declared test passes."""
+    return quality.gate(build.check_marts(built_marts(spark, sf)))

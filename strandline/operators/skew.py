@@ -22,8 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_TRACKED_KEYS = 20_000
-_SKETCH_ITEMS = 200_000
+_TRACKED_KEYS = 10_000
+_SKETCH_ITEMS = 100_000
 _MAX_SLICES = 20_000
 _MAX_SLICES_PER_KEY = 4_096
 _CUTS_PER_GROUP = 64
@@ -59,16 +59,20 @@ def _hashed(df: DataFrame, keys: Sequence[str], *columns: Column) -> DataFrame:
 
 
 def _slice_counts(hashed: DataFrame, rows_per_slice: int | None) -> dict[int, int]:
-    """Key hash to number of slices, for the crowded keys."""
-    found = hashed.agg(
+    """Key hash to number of slices, for the crowded keys; only these leave the cluster."""
+    sketch = hashed.agg(
         F.count("*").alias("total"),
         F.expr(f"approx_top_k({_HASH}, {_TRACKED_KEYS}, {_SKETCH_ITEMS})").alias("top"),
-    ).first()
-    limit = rows_per_slice or max(MIN_ROWS_PER_SLICE, found["total"] // _MAX_SLICES)
+    )
+    if rows_per_slice:
+        limit = F.lit(rows_per_slice)
+    else:
+        limit = F.greatest(F.lit(MIN_ROWS_PER_SLICE), F.floor(F.col("total") / _MAX_SLICES))
+    crowded = F.filter("top", lambda item: item["count"] > limit)
+    found = sketch.select(limit.alias("limit"), crowded.alias("crowded")).first()
     return {
-        item["item"]: min(math.ceil(item["count"] / limit), _MAX_SLICES_PER_KEY)
-        for item in found["top"] or ()
-        if item["count"] > limit
+        item["item"]: min(math.ceil(item["count"] / found["limit"]), _MAX_SLICES_PER_KEY)
+        for item in found["crowded"] or ()
     }
 
 

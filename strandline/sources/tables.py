@@ -50,8 +50,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def balanced(table: DataFrame, *columns: str) -> DataFrame:
-    """Even out file sizes before a write; a crowded value is split over tasks."""
-    return table.hint("rebalance", *columns) if columns else table.hint("rebalance")
+    """Bring the rows of a partition value together before a partitioned write.
+
+    Without it every task writes a file per value. A crowded value is split
+    over several tasks. Needs one shuffle, so other writes go without.
+    """
+    return table.hint("rebalance", *columns) if columns else table
 
 
 def spread(table: DataFrame) -> DataFrame:
