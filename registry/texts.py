@@ -255,14 +255,19 @@ def turns(spark, sf):
         CAST(round(max(entailment), 4) AS DECIMAL(18,4)) AS max_entailment_score,
         arg_max(source, entailment * 1000000000 - rank) AS best_supporting_chunk,
         max(entailment) < 2.0 AS flagged,
-        list(CAST(round(entailment, 4) AS DECIMAL(18,4)) ORDER BY rank) AS all_scores
+        string_agg(CAST(CAST(round(entailment, 4) AS DECIMAL(18,4)) AS VARCHAR), ' ' ORDER BY rank)
+            AS all_scores
     FROM turns GROUP BY question_id""",
 )
 def faithfulness_gate(spark, sf):
     gated = answers.faithfulness_gate(turns(spark, sf))
-    return gated.withColumn(
-        "max_entailment_score", F.col("max_entailment_score").cast("decimal(18,4)")
-    ).withColumn("all_scores", F.col("all_scores").cast("array<decimal(18,4)>"))
+    scores = F.transform("all_scores", lambda score: score.cast("decimal(18,4)").cast("string"))
+    return gated.withColumns(
+        {
+            "max_entailment_score": F.col("max_entailment_score").cast("decimal(18,4)"),
+            "all_scores": F.array_join(scores, " "),
+        }
+    )
 
 
 @query(

@@ -151,6 +151,15 @@ def test_row_to_text(spark):
     )
 
 
+def test_live_section(spark):
+    rows = [("b", 5, "line b"), ("a", 5, "line a"), ("c", 1, "line c")]
+    df = spark.createDataFrame(rows, "facility_name string, compliance_pct int, line string")
+    text = answers.live_section(df).first().live_data
+    assert text.split("\n") == [answers.LINES_HEADING, "line c", "line a", "line b"]
+    with pytest.raises(Exception, match="more than 2 facilities"):
+        answers.live_section(df, at_most=2).collect()
+
+
 def test_sources_in_first_seen_order(spark):
     df = spark.createDataFrame([("u2", 1), ("u1", 2), ("u2", 3)], "url string, rank int")
     rows = answers.sources_used(df).orderBy("first_rank").collect()
