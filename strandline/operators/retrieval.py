@@ -16,12 +16,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandline.session import shared_dir
 from strandline.sources.tables import balanced
 
 # Questions compared in one scan of the vectors. Larger sets take more scans.
-QUESTIONS_PER_SCAN = 512
+QUESTIONS_PER_SCAN = 2_048
+# Distances held at once by a task.
+_DISTANCES_AT_ONCE = 4_000_000
 TOP_K = 3
 DISTANCE_DIGITS = 12
+# Cosine distance ends at 2; beyond is what was not probed.
+_FARTHEST = 3.0
 
 
 def similarity(distance: Column) -> Column:
@@ -36,8 +41,7 @@ def _partial_top_k(ids, matrix, probed, k):
 
     def merge(best, distances, vector_ids):
         # Everything tied with the k-th stays in until the vector ids decide.
-        reach = best[0][-1] if len(best[0]) == k else np.inf
-        rows = np.flatnonzero((distances <= reach) & np.isfinite(distances))
+        rows = np.flatnonzero(distances <= _reach(best, k))
         if len(rows) > k:
             rows = rows[distances[rows] <= np.partition(distances[rows], k - 1)[k - 1]]
         d = np.concatenate([best[0], distances[rows]])
@@ -45,24 +49,30 @@ def _partial_top_k(ids, matrix, probed, k):
         order = np.lexsort((v, d))[:k]
         return d[order], v[order]
 
+    def _reach(best, k):
+        return best[0][-1] if len(best[0]) == k else _FARTHEST
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-30)
+        step = max(1, _DISTANCES_AT_ONCE // len(ids))
         best = [(np.empty(0), np.empty(0, dtype=np.int64)) for _ in ids]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = np.asarray(batch.column("vector").flatten(), dtype=np.float64)
-            vectors = vectors.reshape(batch.num_rows, -1)
-            norms = np.maximum(np.linalg.norm(vectors, axis=1), 1e-30)
-            # Rounded, so that copies of a vector tie in whichever batch they are.
-            distances = np.round(1.0 - (unit @ vectors.T) / norms, DISTANCE_DIGITS)
-            vector_ids = np.asarray(batch.column("vector_id"))
-            cells = np.asarray(batch.column("cell")) if probed is not None else None
-            for at in range(len(ids)):
-                row = distances[at]
-                if cells is not None:
-                    row = np.where(np.isin(cells, probed[at]), row, np.inf)
-                best[at] = merge(best[at], row, vector_ids)
+        reach = np.full(len(ids), _FARTHEST)
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                vectors = np.asarray(batch.column("vector").flatten(), dtype=np.float64)
+                vectors = vectors.reshape(batch.num_rows, -1)
+                norms = np.maximum(np.linalg.norm(vectors, axis=1), 1e-30)
+                # Rounded, so that copies of a vector tie in whichever batch they are.
+                distances = np.round(1.0 - (unit @ vectors.T) / norms, DISTANCE_DIGITS)
+                if probed is not None:
+                    cells = np.asarray(batch.column("cell"))
+                    for at, allowed in enumerate(probed):
+                        distances[at, ~np.isin(cells, allowed)] = np.inf
+                vector_ids = np.asarray(batch.column("vector_id"))
+                for at in np.flatnonzero(distances.min(axis=1) <= reach):
+                    best[at] = merge(best[at], distances[at], vector_ids)
+                    reach[at] = _reach(best[at], k)
         counts = [len(d) for d, _ in best]
         yield pa.RecordBatch.from_arrays(
             [
@@ -85,35 +95,37 @@ def _rank(found: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _question_blocks(questions: DataFrame) -> list[tuple[list[int], np.ndarray]]:
-    """The questions, in blocks of bounded size."""
-    total = questions.count()
-    blocks = max(1, math.ceil(total / QUESTIONS_PER_SCAN))
-    result = []
-    for block in range(blocks):
-        rows = questions.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).collect()
-        if rows:
-            ids = [r["query_id"] for r in rows]
-            result.append((ids, np.array([r["vector"] for r in rows], dtype=np.float64)))
-    return result
-
-
 _FOUND = "query_id bigint, vector_id bigint, distance double"
 
 
-def _search(vectors: DataFrame, blocks, k: int, cells_of=None) -> DataFrame:
-    found = None
-    for ids, matrix in blocks:
+def _search(vectors: DataFrame, questions: DataFrame, k: int, cells_of=None) -> DataFrame:
+    """Search in blocks of questions; the driver holds one block at a time.
+
+    A single block, the usual case, stays a lazy plan. With more, the answers
+    of each are written to the shared folder before the next is begun.
+    """
+    spark = vectors.sparkSession
+    blocks = math.ceil(questions.count() / QUESTIONS_PER_SCAN)
+    if blocks == 0:
+        return _rank(spark.createDataFrame([], _FOUND), k)
+    folder = shared_dir(spark, "neighbours") if blocks > 1 else None
+    for block in range(blocks):
+        part = F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block
+        rows = questions.where(part).collect()
+        if not rows:
+            continue
+        ids = [r["query_id"] for r in rows]
+        matrix = np.array([r["vector"] for r in rows], dtype=np.float64)
         probed, scanned = None, vectors
         if cells_of is not None:
             probed = cells_of(matrix)
             wanted = sorted({int(c) for row in probed for c in row})
             scanned = vectors.where(F.col("cell").isin(wanted))
-        part = scanned.mapInArrow(_partial_top_k(ids, matrix, probed, k), _FOUND)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return _rank(vectors.sparkSession.createDataFrame([], _FOUND), k)
-    return _rank(found, k)
+        ranked = _rank(scanned.mapInArrow(_partial_top_k(ids, matrix, probed, k), _FOUND), k)
+        if folder is None:
+            return ranked
+        ranked.write.parquet(f"{folder}/block={block}")
+    return spark.read.parquet(folder).drop("block")
 
 
 def knn_cosine(vectors: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -124,7 +136,7 @@ def knn_cosine(vectors: DataFrame, questions: DataFrame, k: int = TOP_K) -> Data
     similarity.
     """
     clean = vectors.select("vector_id", "vector").where(F.col("vector").isNotNull())
-    return _search(clean, _question_blocks(questions.select("query_id", "vector")), k)
+    return _search(clean, questions.select("query_id", "vector"), k)
 
 
 def _hyperplanes(dimensions: int, bits: int) -> np.ndarray:
@@ -189,13 +201,16 @@ def knn_approx(
         cost = (crossed * (margins**2)[:, None]).sum(axis=2)
         return list(np.argsort(cost, axis=1, kind="stable")[:, :probes])
 
-    blocks = _question_blocks(questions.select("query_id", "vector"))
-    return _search(index.select("vector_id", "vector", "cell"), blocks, k, cells_of)
+    asked = questions.select("query_id", "vector")
+    return _search(index.select("vector_id", "vector", "cell"), asked, k, cells_of)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
     """Which share of the exact neighbours the approximate search found."""
-    hits = exact.join(approximate.select("query_id", "vector_id", F.lit(True).alias("hit")),
-                      ["query_id", "vector_id"], "left")
-    found = F.count("hit").cast("double") / F.nullif(F.count("*"), F.lit(0))
-    return hits.agg(F.count("*").alias("neighbours"), F.count("hit").alias("found"), found.alias("recall"))
+    hit = approximate.select("query_id", "vector_id", F.lit(True).alias("hit"))
+    found, total = F.count("hit"), F.count("*")
+    return exact.join(hit, ["query_id", "vector_id"], "left").agg(
+        total.alias("neighbours"),
+        found.alias("found"),
+        (found.cast("double") / F.nullif(total, F.lit(0))).alias("recall"),
+    )
