@@ -63,7 +63,7 @@ def between_anchors(
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, WHITESPACE_RUN), lambda word: word != "")
+    return F.array_remove(F.split(text, WHITESPACE_RUN), "")
 
 
 def overlapping_chunks(

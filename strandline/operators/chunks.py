@@ -57,12 +57,14 @@ def chunk_documents(
         *metadata,
         T.overlapping_chunks(F.col(text), size, overlap, min_chars).alias("chunks"),
     )
+    # The outer form, as the plain one would have the planner cut the text up
+    # twice: once more to filter out documents without chunks before the explode.
     numbered = chunks.select(
         "source_id",
         *metadata,
         F.size("chunks").alias("total_chunks"),
-        F.posexplode("chunks").alias("chunk_index", "text"),
-    )
+        F.posexplode_outer("chunks").alias("chunk_index", "text"),
+    ).where(F.col("chunk_index").isNotNull())
     return numbered.select(
         F.format_string("%s_chunk_%d", F.col("source_id").cast("string"), "chunk_index").alias("id"),
         "text",

@@ -41,7 +41,8 @@ def price_series(
     point = F.col("point")
     at = decode_epoch_millis(F.get(point, F.lit(0)))
     price = F.get(point, F.lit(1))
-    points = blocks.select(*keep, F.explode("series").alias("point"))
+    # The outer form: the plain one filters by size first, parsing each block twice.
+    points = blocks.select(*keep, F.explode_outer("series").alias("point"))
     return points.where(price.isNotNull() & at.between(first, last)).select(
         *keep,
         at.alias("price_timestamp"),

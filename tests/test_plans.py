@@ -84,3 +84,16 @@ def test_chunking_needs_no_shuffle_of_its_own(spark):
     documents = I.table(spark, SF_DIR, "documents")
     text = plan(chunks.chunk_documents(documents, "doc_id"))
     assert "Exchange" not in text and "Window" not in text
+    assert text.count("split(") == 1
+
+
+def test_price_blocks_are_parsed_once(spark):
+    from pyspark.sql import functions as F
+
+    from strandline.sources import prices as P
+
+    blocks = spark.range(3).select(F.col("id").cast("string").alias("document"))
+    series = P.price_series(
+        P.parse_blocks(blocks, "document"), F.timestamp_seconds(F.lit(0)), F.current_timestamp()
+    )
+    assert plan(series).count("from_json") == 1
