@@ -6,9 +6,12 @@ only. Over UTF-8 bytes both are what ``bytes.split()`` and ``bytes.lower()`` do.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,11 @@ BROADCAST_BYTES = 32 << 20
 def prepare(spark: SparkSession) -> SparkSession:
     """The library's settings, and Arrow batches limited by bytes as well as rows."""
     configure(spark)
+    # Workers import this package from where the driver has it, unless it is installed.
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
@@ -91,6 +99,18 @@ def as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The text and the number of each word in order, and the distinct words by number."""
+    column = pa.array(texts, pa.binary()).cast(pa.string())
+    split = pc.ascii_split_whitespace(pc.ascii_lower(column) if lower else column)
+    flat = split.flatten()
+    sizes = np.diff(split.offsets.to_numpy())
+    some = pc.greater(pc.binary_length(flat), 0)
+    doc = np.repeat(np.arange(len(texts)), sizes)[some.to_numpy(zero_copy_only=False)]
+    coded = flat.filter(some).cast(pa.binary()).dictionary_encode()
+    return doc, coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
 def arrow(rows: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(rows[f.name], f.type) for f in schema], schema=schema

@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, exact_dedup, mixing, token_counts
+from strandline.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    fertility,
+    line_dedup,
+    mixing,
+    quality_model,
+    simhash,
+    token_counts,
+)
 
 QUERIES = {
     "op1_source_mixing": mixing.op1,
+    "op3_quality_model": quality_model.op3,
+    "op4_line_dedup": line_dedup.op4,
     "op5_bpe_round_trip": bpe.op5,
     "op6_token_counts": token_counts.op6,
+    "op7_simhash": simhash.op7,
+    "op8_chat_format": chat.op8,
+    "op9_fertility_rules": fertility.op9,
     "op10_exact_dedup": exact_dedup.op10,
 }
 
 ORACLES = {
     "op1_source_mixing": mixing.OP1_SQL,
+    "op4_line_dedup": line_dedup.OP4_SQL,
+    "op8_chat_format": chat.OP8_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
