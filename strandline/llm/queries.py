@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from strandline.llm import (
     bpe,
     chat,
     exact_dedup,
     fertility,
     line_dedup,
+    lm_score,
     mixing,
     quality_model,
     simhash,
@@ -16,6 +18,7 @@ from strandline.llm import (
 
 QUERIES = {
     "op1_source_mixing": mixing.op1,
+    "op2_lm_score": lm_score.op2,
     "op3_quality_model": quality_model.op3,
     "op4_line_dedup": line_dedup.op4,
     "op5_bpe_round_trip": bpe.op5,
@@ -24,6 +27,7 @@ QUERIES = {
     "op8_chat_format": chat.op8,
     "op9_fertility_rules": fertility.op9,
     "op10_exact_dedup": exact_dedup.op10,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
