@@ -8,10 +8,11 @@ from registry import inputs as I
 from registry.core import query
 from registry.marts import SUMMARY_SQL, _rounded
 from strandline.functions import decode
-from strandline.operators import asof, envelope, history
+from strandline.operators import asof, envelope, history, kept, skew
 from strandline.plans import compliance as C
 from strandline.plans import entitlement as E
 from strandline.plans import staging as S
+from strandline.session import shared_dir
 
 _LOGGED = f"meter AS ({I.METER_EVENTS_SQL})"
 _WRITES = "operation IN ('r', 'c', 'u')"
@@ -270,6 +271,25 @@ def scd2_history(spark, sf):
     return meter_history(spark, sf).select(*_VERSION_COLUMNS)
 
 
+@query("scd2_history_sliced", f"WITH {_VERSIONS} SELECT {_VERSION_SELECT} FROM versions")
+def scd2_history_sliced(spark, sf):
+    """The same fold with every key of two changes or more cut into slices of one."""
+    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    hot = skew.find_hot_keys(changes, ["reading_id"], I.METER_ORDER, rows_per_slice=1)
+    return history.history(changes, "reading_id", I.METER_ORDER, hot=hot).select(*_VERSION_COLUMNS)
+
+
+@query("scd2_incremental", f"WITH {_VERSIONS} SELECT {_VERSION_SELECT} FROM versions")
+def scd2_incremental(spark, sf):
+    """The log in three batches; the second holds events older than the first's."""
+    root = shared_dir(spark, "kept-history")
+    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    part = F.pmod(F.xxhash64("bronze_offset", "facility_id", "cdc_timestamp"), F.lit(3))
+    for number in (2, 0, 1):
+        kept.apply_batch(changes.where(part == number), root, "reading_id", I.METER_ORDER, buckets=16)
+    return kept.kept_history(spark, root).select(*_VERSION_COLUMNS)
+
+
 @query(
     "scd2_history_without_deletes",
     f"""WITH {_LOGGED}, folded AS (
@@ -385,9 +405,8 @@ def scd2_summary(spark, sf):
     SELECT {_VERSION_SELECT} FROM versions WHERE reading_id IN (SELECT reading_id FROM changed)""",
 )
 def scd2_history_sample(spark, sf):
-    return history.history_sample(
-        meter_history(spark, sf), "reading_id", ("bronze_offset",)
-    ).select(*_VERSION_COLUMNS)
+    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    return history.history_sample_from_log(changes, "reading_id", I.METER_ORDER).select(*_VERSION_COLUMNS)
 
 
 @query(
@@ -460,6 +479,48 @@ def asof_join(spark, sf):
     )
 
 
+_MARKED = """WITH marks AS (
+        SELECT user_id, event_id, ts AS valid_from,
+               lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to
+        FROM events)
+    SELECT e.user_id, e.event_id, m.event_id AS mark_id
+    FROM events e LEFT JOIN marks m ON e.user_id = m.user_id AND m.valid_from <= e.ts
+         AND (m.valid_to IS NULL OR m.valid_to > e.ts)"""
+
+
+@query("asof_join_sliced", _MARKED)
+def asof_join_sliced(spark, sf):
+    """Events and versions of one user in slices of about twenty rows."""
+    events = I.table(spark, sf, "events").select("user_id", "event_id", "ts")
+    marks = I.user_changes(spark, sf).select("user_id", F.col("event_id").alias("mark_id"), "ts")
+    versions = history.history(marks, "user_id", ("ts", "mark_id"), operation=None).drop("ts")
+    return asof.asof_join(
+        events,
+        versions,
+        "user_id",
+        "ts",
+        version_columns=["mark_id"],
+        version_order=["mark_id"],
+        rows_per_slice=20,
+    ).select("user_id", "event_id", "mark_id")
+
+
+# Each event is a version from its time on, and before it one of no length; some
+# versions end, others stay open.
+@query(
+    "asof_join_default_order",
+    _MARKED,
+)
+def asof_join_default_order(spark, sf):
+    events = I.table(spark, sf, "events").select("user_id", "event_id", "ts")
+    marks = I.user_changes(spark, sf).select("user_id", F.col("event_id").alias("mark_id"), "ts")
+    versions = history.history(marks, "user_id", ("ts", "mark_id"), operation=None).drop("ts")
+    empty = versions.withColumns({"valid_to": F.col("valid_from"), "mark_id": -F.col("mark_id") - 1})
+    return asof.asof_join(
+        events, versions.unionByName(empty), "user_id", "ts", version_columns=["mark_id"]
+    ).select("user_id", "event_id", "mark_id")
+
+
 @query(
     "asof_join_inner",
     """WITH marks AS (
@@ -492,19 +553,25 @@ def asof_join_inner(spark, sf):
 # --- from the raw logs to the last mart ----------------------------------------------
 
 
-@query(
-    "compliance_from_logs",
-    SUMMARY_SQL,
-)
+_PLAIN_READINGS = f"readings AS ({I.READINGS_SQL})"
+_LOGGED_READINGS = f"""{_VERSIONS},
+readings AS (SELECT facility_id, reading_timestamp, CAST(reported_kwh AS DECIMAL(12,3)) AS reported_kwh,
+                    corrected FROM versions WHERE is_current)"""
+assert _PLAIN_READINGS in SUMMARY_SQL
+
+
+@query("compliance_from_logs", SUMMARY_SQL.replace(_PLAIN_READINGS, _LOGGED_READINGS))
 def compliance_from_logs(spark, sf):
-    """The flagship again, with facilities and investments decoded from their logs."""
+    """The flagship again, with readings, facilities and investments decoded from their logs."""
     facilities = envelope.latest_per_key(
         envelope.read_changes(I.facility_log(spark, sf), envelope.FACILITIES), "facility_id"
     )
     facilities = S.facilities(facilities)
     invested = history.current_from_log(investment_changes(spark, sf), "investment_id")
     invested = S.current_investments(invested)
-    monthly = E.monthly_consumption(I.readings(spark, sf), facilities)
+    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    readings = S.current_readings(history.current_from_log(changes, "reading_id", I.METER_ORDER))
+    monthly = E.monthly_consumption(readings, facilities)
     prices = S.wholesale_prices(I.prices(spark, sf))
     entitled = E.subsidy_entitlement(monthly, facilities, prices)
     complied = C.investment_compliance(C.facility_subsidies(entitled), C.investment_pivot(invested))

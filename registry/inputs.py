@@ -85,25 +85,26 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The last months stay without a price.
+# The last months stay without a price: what is dated then counts for two years before.
 PRICES_SQL = """
-    SELECT o_orderdate AS price_timestamp,
+    SELECT CASE WHEN o_orderdate >= TIMESTAMP '2001-01-01 00:00:00'
+                THEN o_orderdate - INTERVAL 24 MONTH ELSE o_orderdate END AS price_timestamp,
            CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 0.0005 AS DECIMAL(10,2)) AS price_eur_per_mwh,
            CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 0.0000005 AS DECIMAL(10,6)) AS price_eur_per_kwh
-    FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01 00:00:00'
+    FROM orders
 """
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("o_totalprice").cast("decimal(12,2)")
-    return (
-        table(spark, sf_dir, "orders")
-        .where("o_orderdate < TIMESTAMP_NTZ '2001-01-01 00:00:00'")
-        .select(
-            F.col("o_orderdate").cast("timestamp").alias("price_timestamp"),
-            (total * F.expr("0.0005BD")).cast("decimal(10,2)").alias("price_eur_per_mwh"),
-            (total * F.expr("0.0000005BD")).cast("decimal(10,6)").alias("price_eur_per_kwh"),
-        )
+    at = F.expr(
+        "CASE WHEN o_orderdate >= TIMESTAMP_NTZ '2001-01-01 00:00:00' "
+        "THEN o_orderdate - INTERVAL '24' MONTH ELSE o_orderdate END"
+    )
+    return table(spark, sf_dir, "orders").select(
+        at.cast("timestamp").alias("price_timestamp"),
+        (total * F.expr("0.0005BD")).cast("decimal(10,2)").alias("price_eur_per_mwh"),
+        (total * F.expr("0.0000005BD")).cast("decimal(10,6)").alias("price_eur_per_kwh"),
     )
 
 

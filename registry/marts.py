@@ -384,9 +384,7 @@ def _thousands(column: str) -> str:
     return f"format('{{:,}}', {whole}) || '.' || lpad({cents}, 2, '0')"
 
 
-@query(
-    "row_to_text",
-    f"""WITH {_SUMMARY} SELECT facility_name, compliance_pct,
+_LINES = f"""{_SUMMARY}, lines AS (SELECT facility_name, compliance_pct,
         '  - ' || facility_name || ' (' || sector || '): status=' || compliance_status
         || ', subsidy=EUR ' || {_thousands("total_subsidy_eur")}
         || ', invested=EUR ' || {_thousands("confirmed_investment_eur")}
@@ -394,12 +392,24 @@ def _thousands(column: str) -> str:
         || ', compliance=' || CAST(CAST(compliance_pct AS DECIMAL(18,1)) AS VARCHAR) || '%'
         || ', flexibility_bonus_eligible='
         || CASE WHEN flexibility_bonus_eligible THEN 'True' ELSE 'False' END AS line
-    FROM summary""",
-)
+    FROM summary)"""
+LIVE_SQL = f"""{_LINES}, live AS (
+    SELECT '{answers.LINES_HEADING}' || chr(10)
+        || string_agg(line, chr(10) ORDER BY compliance_pct, facility_name, line) AS live_data
+    FROM lines)"""
+
+
+@query("row_to_text", f"WITH {_LINES} SELECT * FROM lines")
 def row_to_text(spark, sf):
     return answers.row_to_text(C.live_context(summary(spark, sf)))
 
 
+@query("live_section", f"WITH {LIVE_SQL} SELECT live_data FROM live")
+def live_section(spark, sf):
+    """The lines of all facilities as the text a prompt shows."""
+    return answers.live_section(answers.row_to_text(C.live_context(summary(spark, sf))))
+
+
 @query(
     "reinvestment_deadline",
     f"""WITH {_ENTITLEMENT}, investments AS ({I.INVESTMENTS_SQL}),

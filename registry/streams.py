@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import functions as F
 
@@ -45,9 +44,27 @@ _EVENT_LOG = """log AS (
     FROM events)"""
 
 
+# A second log whose files are known: one for each of so many parts of the events, in order.
+_PARTS, _PARTS_PER_TRIGGER = 8, 2
 _FILES_PER_TRIGGER = 4
 
 
+def write_parted_log(spark, sf):
+    """The log in ``_PARTS`` files, written one after the other, so a stream reads them in order."""
+    path, log = shared_dir(spark, "parted-log"), build_event_log(spark, sf)
+    for part in range(_PARTS):
+        log.where(F.col("offset") % _PARTS == part).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _ingested_in_parts(spark, sf, name, files):
+    options = {"maxFilesPerTrigger": str(files)}
+    path, root = write_parted_log(spark, sf), shared_dir(spark, name)
+    stream = ingest.stream_source(spark, "parquet", options, ingest.LOG_SCHEMA, path)
+    ingest.ingest_once(stream, f"{root}/table", f"{root}/checkpoint")
+    return spark.read.schema(ingest.BRONZE_SCHEMA).parquet(f"{root}/table")
+
+
 def event_stream(spark, sf):
     path = I.written(spark, sf, "event-log", "events", build_event_log)
     options = {"maxFilesPerTrigger": str(_FILES_PER_TRIGGER)}
@@ -93,18 +110,17 @@ def stream_bronze_project(spark, sf):
 
 @query(
     "stream_ingest_stamp",
-    """SELECT count(*) AS messages, CAST(0 AS BIGINT) AS unstamped, true AS one_stamp_per_batch
-    FROM events""",
+    f"""SELECT event_id % {_PARTS} AS part, count(*) AS messages, count(*) AS stamped
+    FROM events GROUP BY 1""",
 )
 def stream_ingest_stamp(spark, sf):
-    """One stamp per micro-batch."""
-    _, done, bronze = _ingested(spark, sf, "stamp")
-    batches = sum(1 for p in done.recentProgress if p["numInputRows"])
-    return bronze.agg(
+    """One file a micro-batch: the messages of each stamp are those of one file."""
+    bronze = _ingested_in_parts(spark, sf, "stamp", 1)
+    return bronze.groupBy("ingested_at").agg(
+        F.min(F.col("offset") % _PARTS).alias("part"),
         F.count("*").alias("messages"),
-        F.count_if(F.col("ingested_at").isNull()).alias("unstamped"),
-        (F.count_distinct("ingested_at") == batches).alias("one_stamp_per_batch"),
-    )
+        F.count("ingested_at").alias("stamped"),
+    ).drop("ingested_at")
 
 
 @query("stream_append_sink", f"WITH {_EVENT_LOG} SELECT * FROM log")
@@ -128,20 +144,18 @@ def stream_exactly_once(spark, sf):
 
 @query(
     "stream_micro_batches",
-    "SELECT count(*) AS messages, true AS batches_as_bounded, true AS rows_as_reported FROM events",
+    f"""SELECT event_id % {_PARTS} // {_PARTS_PER_TRIGGER} AS batch, count(*) AS messages,
+        count(DISTINCT event_id % {_PARTS}) AS parts FROM events GROUP BY 1""",
 )
 def stream_micro_batches(spark, sf):
-    """Batches told apart by their stamp: as many as the bound on files per batch asks for."""
-    _, done, bronze = _ingested(spark, sf, "batches")
-    largest = max(p["numInputRows"] for p in done.recentProgress)
-    source = spark.read.parquet(I.written(spark, sf, "event-log", "events", build_event_log))
-    files = source.select(F.input_file_name().alias("name")).distinct().count()
-    batches = bronze.groupBy("ingested_at").agg(F.count("*").alias("messages"))
-    return batches.agg(
-        F.sum("messages").alias("messages"),
-        (F.count("*") == math.ceil(files / _FILES_PER_TRIGGER)).alias("batches_as_bounded"),
-        (F.max("messages") == largest).alias("rows_as_reported"),
-    )
+    """Batches told apart by their stamp, each with the files that the bound allows, in order."""
+    bronze = _ingested_in_parts(spark, sf, "batches", _PARTS_PER_TRIGGER)
+    part = F.col("offset") % _PARTS
+    return bronze.groupBy("ingested_at").agg(
+        F.min(F.expr(f"(offset % {_PARTS}) DIV {_PARTS_PER_TRIGGER}")).alias("batch"),
+        F.count("*").alias("messages"),
+        F.count_distinct(part).alias("parts"),
+    ).drop("ingested_at")
 
 
 @query(
@@ -159,6 +173,7 @@ def topic_relay(spark, sf):
         "parquet",
         {},
         f"{root}/checkpoint",
+        f"{root}/ledger",
         f"{root}/table",
     )
     done.awaitTermination()
@@ -172,17 +187,28 @@ def topic_relay(spark, sf):
     )
 
 
-@query("relay_progress", "SELECT count(*) AS forwarded FROM events")
+@query(
+    "relay_progress",
+    f"""SELECT event_id % {_PARTS} AS part, count(*) AS forwarded, count(*) AS arrived
+    FROM events GROUP BY 1""",
+)
 def relay_progress(spark, sf):
-    """What the relay says it forwarded, next to what arrived."""
+    """What the relay says it forwarded in each batch, next to what arrived."""
     root = shared_dir(spark, "relay-progress")
-    done = relay.start_relay(
-        event_stream(spark, sf), _TOPICS, "parquet", {}, f"{root}/checkpoint", f"{root}/table"
+    log = ingest.stream_source(
+        spark, "parquet", {"maxFilesPerTrigger": "1"}, ingest.LOG_SCHEMA, write_parted_log(spark, sf)
     )
-    done.awaitTermination()
-    reported = relay.forwarded(done)
-    out = spark.read.schema("key binary, value binary, topic string").parquet(f"{root}/table")
-    return out.agg(F.count("*").alias("forwarded")).where(F.col("forwarded") == reported)
+    relay.start_relay(
+        log, _TOPICS, "parquet", {}, f"{root}/checkpoint", f"{root}/ledger", f"{root}/table"
+    ).awaitTermination()
+    event = F.from_json(F.col("value").cast("string"), "event_id bigint")["event_id"]
+    arrived = (
+        spark.read.parquet(f"{root}/table")
+        .groupBy("batch_id")
+        .agg(F.count("*").alias("arrived"), F.min(event % _PARTS).alias("part"))
+    )
+    forwarded = relay.forwarded(spark, f"{root}/ledger").withColumn("forwarded", F.col("events").cast("long"))
+    return forwarded.join(arrived, "batch_id").select("part", "forwarded", "arrived")
 
 
 _INVEST = f"""SELECT investment_id, facility_id, investment_date, amount_eur, category, status,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from registry import inputs as I
 from registry.core import query
+from registry.marts import LIVE_SQL, live_section
 from strandline.functions import text as T
 from strandline.functions import vector
 from strandline.operators import answers, chunks, retrieval
@@ -53,23 +54,42 @@ def _anchor_sql() -> str:
     return f"(VALUES {rows}) anchors(lang, start_anchor, end_anchor)"
 
 
-@query(
-    "extract_between_anchors",
-    f"""WITH placed AS (
+def _anchors(spark):
+    return spark.createDataFrame(list(_ANCHORS), "lang string, start_anchor string, end_anchor string")
+
+
+_PLACED = f"""placed AS (
         SELECT doc_id, lang, text, coalesce(start_anchor, '') AS s, coalesce(end_anchor, '') AS e,
                CASE WHEN start_anchor IS NULL THEN 1 ELSE strpos(text, start_anchor) END AS p
         FROM documents LEFT JOIN {_anchor_sql()} USING (lang)),
     ended AS (
-        SELECT *, CASE WHEN e = '' OR p = 0 THEN 0 ELSE strpos(substr(text, p), e) END AS q FROM placed)
+        SELECT *, CASE WHEN e = '' OR p = 0 THEN 0 ELSE strpos(substr(text, p), e) END AS q FROM placed)"""
+
+
+@query(
+    "extract_between_anchors",
+    f"""WITH {_PLACED}
+    SELECT doc_id, lang, CASE WHEN p = 0 THEN text
+        WHEN q = 0 THEN substr(text, p) ELSE substr(text, p, q - 1) END AS text
+    FROM ended""",
+)
+def extract_between_anchors(spark, sf):
+    found = chunks.main_content(documents(spark, sf), _anchors(spark), source="lang")
+    return found.select("doc_id", "lang", "text")
+
+
+@query(
+    "extract_between_anchors_limited",
+    f"""WITH {_PLACED}
     SELECT doc_id, lang, CASE WHEN p = 0 THEN substr(text, 1, 8000)
         WHEN q = 0 THEN substr(text, p, 8000) ELSE substr(text, p, q - 1) END AS text
     FROM ended""",
 )
-def extract_between_anchors(spark, sf):
-    anchors = spark.createDataFrame(
-        list(_ANCHORS), "lang string, start_anchor string, end_anchor string"
+def extract_between_anchors_limited(spark, sf):
+    """The same with the source system's length for text whose extent is unknown."""
+    found = chunks.main_content(
+        documents(spark, sf), _anchors(spark), source="lang", unanchored_chars=T.UNANCHORED_CHARS
     )
-    found = chunks.main_content(documents(spark, sf), anchors, source="lang")
     return found.select("doc_id", "lang", "text")
 
 
@@ -173,11 +193,49 @@ def knn_cosine(spark, sf):
     return found.drop("distance")
 
 
+# Small cells, so that the small tables have some to choose from.
+_PER_CELL, _PROBES, _DIMENSIONS, _MOST_BITS = 32, 24, 64, 16
+
+
 def _index(spark, sf):
-    table = vectors(spark, sf)
-    dimensions = len(table.first()["vector"])
-    path = shared_dir(spark, "vector-index")
-    return retrieval.index_rebuild(table, path, dimensions), dimensions
+    return retrieval.index_rebuild(vectors(spark, sf), shared_dir(spark, "vector-index"), _DIMENSIONS, _PER_CELL)
+
+
+def _approximate(spark, sf, probes):
+    return retrieval.knn_approx(
+        _index(spark, sf), questions(spark, sf), _DIMENSIONS, per_cell=_PER_CELL, probes=probes
+    )
+
+
+# The planes are fixed values; a table uses the first of them, by its size.
+_PLANES = ", ".join(
+    f"({bit}, {plane!r})" for bit, plane in enumerate(retrieval.hyperplanes(_DIMENSIONS, _MOST_BITS).tolist())
+)
+_APPROXIMATE = f"""{_NEAREST},
+size AS (SELECT greatest(1, CAST(ceil(log2(count(*) / {_PER_CELL}.0)) AS INTEGER)) AS bits FROM embeddings),
+planes AS (SELECT bit, CAST(plane AS DOUBLE[]) AS plane FROM (VALUES {_PLANES}) p(bit, plane), size
+           WHERE bit < bits),
+cells AS (
+    SELECT vec_id AS vector_id,
+           sum(CASE WHEN list_dot_product(CAST(embedding AS DOUBLE[]), plane) > 0 THEN 1 << bit ELSE 0 END)
+               AS cell
+    FROM embeddings, planes GROUP BY vec_id),
+margins AS (
+    SELECT query_id, bit, list_dot_product(CAST(vector AS DOUBLE[]), plane)
+        / sqrt(list_dot_product(CAST(vector AS DOUBLE[]), CAST(vector AS DOUBLE[]))) AS margin
+    FROM questions, planes),
+costs AS (
+    SELECT query_id, c.cell, round(sum(CASE WHEN ((c.cell >> bit) & 1 = 1) <> (margin > 0)
+                                       THEN margin * margin ELSE 0 END), 12) AS cost
+    FROM margins, (SELECT unnest(range(1 << bits)) AS cell FROM size) c GROUP BY query_id, c.cell),
+probed AS (
+    SELECT query_id, cell FROM costs
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY cost, cell) <= {_PROBES}),
+approximate AS (
+    SELECT s.query_id, s.vector_id, distance,
+           CAST(row_number() OVER (PARTITION BY s.query_id ORDER BY distance, s.vector_id) AS INTEGER) AS rank
+    FROM scored s JOIN cells c ON s.vector_id = c.vector_id
+    JOIN probed p ON s.query_id = p.query_id AND c.cell = p.cell)"""
 
 
 @query(
@@ -185,24 +243,62 @@ def _index(spark, sf):
     "SELECT count(*) AS vectors, count(DISTINCT vec_id) AS distinct_ids FROM embeddings",
 )
 def index_rebuild(spark, sf):
-    index, _ = _index(spark, sf)
-    return index.agg(
+    return _index(spark, sf).agg(
         F.count("*").alias("vectors"), F.count_distinct("vector_id").alias("distinct_ids")
     )
 
 
-@query("knn_approx")
+@query(
+    "knn_approx",
+    f"""{_APPROXIMATE} SELECT query_id, vector_id, rank, round(1 - distance, 3) + 0.0 AS similarity
+    FROM approximate WHERE rank <= 3""",
+)
 def knn_approx(spark, sf):
-    index, dimensions = _index(spark, sf)
-    return retrieval.knn_approx(index, questions(spark, sf), dimensions)
+    return _approximate(spark, sf, _PROBES).drop("distance")
 
 
-@query("knn_approx_recall")
+@query(
+    "knn_approx_all_cells",
+    f"""{_NEAREST} SELECT query_id, vector_id, rank, round(1 - distance, 3) + 0.0 AS similarity
+    FROM nearest WHERE rank <= 3""",
+)
+def knn_approx_all_cells(spark, sf):
+    """With every cell probed the approximate search is the exact one."""
+    return _approximate(spark, sf, 1 << _MOST_BITS).drop("distance")
+
+
+@query(
+    "knn_approx_recall",
+    f"""{_APPROXIMATE} SELECT count(*) AS neighbours, count(a.vector_id) AS found,
+        count(a.vector_id) / CAST(count(*) AS DOUBLE) AS recall
+    FROM (SELECT * FROM nearest WHERE rank <= 3) n
+    LEFT JOIN (SELECT * FROM approximate WHERE rank <= 3) a
+         ON n.query_id = a.query_id AND n.vector_id = a.vector_id""",
+)
 def knn_approx_recall(spark, sf):
-    index, dimensions = _index(spark, sf)
-    asked = questions(spark, sf)
-    approximate = retrieval.knn_approx(index, asked, dimensions)
-    return retrieval.recall(approximate, retrieval.knn_cosine(vectors(spark, sf), asked))
+    exact = retrieval.knn_cosine(vectors(spark, sf), questions(spark, sf))
+    return retrieval.recall(_approximate(spark, sf, _PROBES), exact)
+
+
+@query(
+    "retrieve_chunks",
+    f"""{_NEAREST} SELECT query_id, rank, round(1 - distance, 3) + 0.0 AS similarity, doc_id AS chunk_id,
+        text, source, 'Document ' || doc_id AS title, url, DATE '2025-01-01' + CAST(doc_id % 365 AS INTEGER)
+        AS date
+    FROM nearest JOIN documents ON vector_id = doc_id LEFT JOIN pages ON page_id = doc_id WHERE rank <= 3""",
+)
+def retrieve_chunks(spark, sf):
+    """The neighbours of each question, joined to the texts they stand for."""
+    pages = I.table(spark, sf, "pages").select(F.col("page_id").alias("chunk_id"), "url")
+    texts = I.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("chunk_id"),
+        "text",
+        "source",
+        F.concat(F.lit("Document "), "doc_id").alias("title"),
+        F.date_add(F.expr("DATE '2025-01-01'"), (F.col("doc_id") % 365).cast("int")).alias("date"),
+    )
+    found = retrieval.knn_cosine(spread(vectors(spark, sf)), questions(spark, sf))
+    return retrieval.retrieve_chunks(found, texts.join(pages, "chunk_id", "left"), "chunk_id").drop("distance")
 
 
 @query(
@@ -260,7 +356,7 @@ def turns(spark, sf):
     FROM turns GROUP BY question_id""",
 )
 def faithfulness_gate(spark, sf):
-    gated = answers.faithfulness_gate(turns(spark, sf))
+    gated = answers.faithfulness_gate(turns(spark, sf), all_scores=True)
     scores = F.transform("all_scores", lambda score: score.cast("decimal(18,4)").cast("string"))
     return gated.withColumns(
         {
@@ -270,6 +366,26 @@ def faithfulness_gate(spark, sf):
     )
 
 
+@query(
+    "answer_scores",
+    f"""WITH {_TURNS} SELECT question_id, rank,
+        CAST(round(entailment, 4) AS DECIMAL(18,4)) AS score FROM turns""",
+)
+def answer_scores(spark, sf):
+    scores = answers.answer_scores(turns(spark, sf))
+    return scores.withColumn("score", F.col("score").cast("decimal(18,4)"))
+
+
+@query(
+    "context_rows",
+    f"""WITH {_TURNS} SELECT question_id, rank,
+        '[Source ' || rank || ': ' || source || ', ' || date || ']' || chr(10) || text AS block
+    FROM turns""",
+)
+def context_rows(spark, sf):
+    return answers.context_rows(turns(spark, sf))
+
+
 @query(
     "context_assembly",
     f"""WITH {_TURNS} SELECT question_id, string_agg(
@@ -283,7 +399,7 @@ def context_assembly(spark, sf):
 
 @query(
     "prompt_with_live_data",
-    f"""WITH {_TURNS}, contexts AS (
+    f"""WITH {LIVE_SQL}, {_TURNS}, contexts AS (
         SELECT question_id, string_agg(
             '[Source ' || rank || ': ' || source || ', ' || date || ']' || chr(10) || text,
             chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS context,
@@ -292,7 +408,7 @@ def context_assembly(spark, sf):
     SELECT question_id, 'Use the context.' || chr(10) || chr(10)
         || 'REGULATORY CONTEXT (retrieved from public sources):' || chr(10) || context || chr(10)
         || CASE WHEN question_id % 2 = 0
-                THEN chr(10) || 'LIVE PIPELINE DATA:' || chr(10) || 'row ' || question_id || chr(10)
+                THEN chr(10) || 'LIVE PIPELINE DATA:' || chr(10) || (SELECT live_data FROM live) || chr(10)
                 ELSE '' END
         || chr(10) || 'QUESTION: q' || question_id || chr(10) || chr(10) || 'Name the sources.' AS prompt
     FROM contexts""",
@@ -300,9 +416,8 @@ def context_assembly(spark, sf):
 def prompt_with_live_data(spark, sf):
     contexts = answers.context_assembly(turns(spark, sf))
     asked = contexts.withColumn("question", F.concat(F.lit("q"), F.col("question_id").cast("string")))
-    live = F.when(
-        F.col("question_id") % 2 == 0, F.concat(F.lit("row "), F.col("question_id").cast("string"))
-    )
+    # One text for all prompts, so it goes into the plan as a single value.
+    live = F.when(F.col("question_id") % 2 == 0, live_section(spark, sf).scalar())
     prompts = answers.build_prompt(asked, "question", "Use the context.", "Name the sources.", live)
     return prompts.select("question_id", "prompt")
 

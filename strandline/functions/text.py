@@ -26,6 +26,7 @@ WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 CHUNK_WORDS = 400
 CHUNK_OVERLAP_WORDS = 80
 MIN_CHUNK_CHARS = 100
+# What a caller may give as the length of text whose extent is unknown.
 UNANCHORED_CHARS = 8000
 
 
@@ -42,22 +43,23 @@ def html_to_text(html: Column) -> Column:
 
 
 def between_anchors(
-    text: Column, start_anchor: Column, end_anchor: Column, unanchored_chars: int = UNANCHORED_CHARS
+    text: Column, start_anchor: Column, end_anchor: Column, unanchored_chars: int | None = None
 ) -> Column:
     """The part of ``text`` from one anchor up to the next occurrence of another.
 
     An absent (NULL) start anchor means the beginning of the text. Where an
-    anchor is not found the extent is unknown, and ``unanchored_chars`` is the
-    length taken instead; that limit is part of the rule, and a found pair of
-    anchors may be any distance apart.
+    anchor is not found the extent is unknown: the text to its end is taken, or
+    the first ``unanchored_chars`` of it if given. A found pair of anchors may be
+    any distance apart.
     """
+    limit = F.length(text) if unanchored_chars is None else F.lit(unanchored_chars)
     given_start = F.coalesce(start_anchor, F.lit(""))
     given_end = F.coalesce(end_anchor, F.lit(""))
     start = F.when(given_start == "", F.lit(1)).otherwise(F.position(given_start, text))  # 0: missing
     end = F.when(given_end == "", F.lit(0)).otherwise(F.position(given_end, text, start))
     return (
-        F.when(start == 0, F.substring(text, 1, unanchored_chars))
-        .when(end == 0, F.substring(text, start, unanchored_chars))
+        F.when(start == 0, F.substring(text, F.lit(1), limit))
+        .when(end == 0, F.substring(text, start, limit))
         .otherwise(F.substring(text, start, end - start))
     )
 

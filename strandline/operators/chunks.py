@@ -19,7 +19,7 @@ def main_content(
     anchors: DataFrame,
     source: str = "source_id",
     text: str = "text",
-    unanchored_chars: int = T.UNANCHORED_CHARS,
+    unanchored_chars: int | None = None,
 ) -> DataFrame:
     """Cut each text to the part between its source's anchors.
 

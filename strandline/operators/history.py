@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from strandline.operators.envelope import DELETE, INSERTS, LOG_ORDER, UPDATE
 from strandline.operators.ordered import with_next, with_previous
-from strandline.operators.skew import HotKeys, find_hot_keys
+from strandline.operators.skew import HOT, SLICE, HotKeys, crowded, find_hot_keys
+from strandline.session import shared_dir
 
 _NEXT = "__next"
 _PREVIOUS = "__previous"
@@ -31,15 +32,18 @@ def drop_redelivered(
     """One row per change, however often the log holds it; the earliest position wins.
 
     A grouped minimum rather than a ranking window: copies collapse before the
-    shuffle, even where they are a large part of the log.
+    shuffle, even where they are a large part of the log. They are grouped by a
+    digest of 128 bits, which is short to sort by.
     """
-    position = [c for c in changes.columns if c not in identity]
-    first = F.min_by(F.struct(*position), F.struct(*[F.col(c) for c in order_by]))
+    # NULL adds nothing to a hash, so which columns are NULL goes in as well.
+    parts = [F.col(c) for c in identity] + [F.col(c).isNull() for c in identity]
+    digest = {f"__digest_{i}": F.xxhash64(F.lit(i), *parts) for i in (0, 1)}
+    first = F.min_by(F.struct(*changes.columns), F.struct(*[F.col(c) for c in order_by]))
     return (
-        changes.groupBy(*identity)
+        changes.withColumns(digest)
+        .groupBy(*digest)
         .agg(first.alias("first"))
-        .select(*identity, *[F.col("first")[c].alias(c) for c in position])
-        .select(*changes.columns)
+        .select(*[F.col("first")[c].alias(c) for c in changes.columns])
     )
 
 
@@ -76,7 +80,8 @@ def history(
 
     One shuffle by key. ``hot`` is the result of ``find_hot_keys``; by default
     it is looked for, in the message keys of ``log`` first where that is given,
-    and ``None`` skips that pass.
+    and ``None`` skips that pass. Where one of those is crowded, the decoded
+    changes are written to the shared folder, so that the log is decoded once.
     """
     if deletes not in ("close", "ignore"):
         raise ValueError("deletes must be 'close' or 'ignore'")
@@ -85,21 +90,29 @@ def history(
     if operation and deletes == "ignore":
         changes = changes.where(F.col(operation) != DELETE)
     if hot == "find":
-        hot = find_hot_keys(changes, keys, at, log=log)
+        if log is not None and crowded(log):
+            path = shared_dir(changes.sparkSession, "decoded-changes")
+            changes.write.parquet(path)
+            changes = changes.sparkSession.read.schema(changes.schema).parquet(path)
+            log = None
+            hot = find_hot_keys(changes, keys, order_by)
+        else:
+            hot = None if log is not None else find_hot_keys(changes, keys, order_by)
     if changed_columns:
         state = F.struct(*[F.col(c) for c in changed_columns])
         if operation:
             state = F.struct((F.col(operation) == DELETE).alias("gone"), state.alias("state"))
         changes = (
-            with_previous(changes, keys, order_by, state, _PREVIOUS, hot)
+            with_previous(changes, keys, order_by, state, _PREVIOUS, hot, keep_slices=True)
             .where(F.col(_PREVIOUS).isNull() | ~F.col(_PREVIOUS)["value"].eqNullSafe(state))
             .drop(_PREVIOUS)
         )
+    names = [c for c in changes.columns if c not in (SLICE, HOT)]
     versions = with_next(changes, keys, order_by, F.col(at), _NEXT, hot)
     if operation and deletes == "close":
         versions = versions.where(F.col(operation) != DELETE)
     return versions.select(
-        *changes.columns,
+        *names,
         F.col(at).alias("valid_from"),
         F.col(_NEXT)["value"].alias("valid_to"),
         F.col(_NEXT).isNull().alias("is_current"),
@@ -180,6 +193,41 @@ def history_sample(versions: DataFrame, key: str, order_by: Sequence[str], keys_
     return versions.join(changed, key, "left_semi").orderBy(key, "valid_from", *order_by)
 
 
+def changed_keys(
+    changes: DataFrame,
+    key: str,
+    order_by: Sequence[str] = LOG_ORDER,
+    *,
+    operation: str = "operation",
+    keys_shown: int = 2,
+) -> DataFrame:
+    """The first few keys that have a closed version, without folding anything.
+
+    A version is closed when any change of its key comes after it: when a key has
+    more versions than the one its last change may be.
+    """
+    is_version = F.col(operation) != DELETE
+    last = F.max_by(is_version, F.struct(*[F.col(c) for c in order_by])).cast("int")
+    return (
+        changes.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg((F.count_if(is_version) > last).alias("closed"))
+        .where("closed")
+        .select(key)
+        .orderBy(key)
+        .limit(keys_shown)
+    )
+
+
+def history_sample_from_log(
+    changes: DataFrame, key: str, order_by: Sequence[str] = LOG_ORDER, keys_shown: int = 2, **options
+) -> DataFrame:
+    """``history_sample``, folding the changes of the keys shown only."""
+    wanted = F.broadcast(changed_keys(changes, key, order_by, keys_shown=keys_shown))  # keys_shown rows
+    few = changes.join(wanted, key, "left_semi")
+    return history(few, key, order_by, hot=None, **options).orderBy(key, "valid_from", *order_by[1:])
+
+
 def as_of(versions: DataFrame, moment: Column | dt.datetime | str) -> DataFrame:
     """The versions valid at one moment; intervals include their start only."""
     at = moment if isinstance(moment, Column) else F.lit(moment)

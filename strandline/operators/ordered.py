@@ -38,8 +38,9 @@ def _has_key(keys: Sequence[str]) -> Column:
     return present
 
 
-def _add(df, keys, order_by, hot, within, edge_value, edge_from_slices, combine, out):
-    sliced = with_slices(df, keys, order_by, hot)
+def _add(df, keys, order_by, hot, within, edge_value, edge_from_slices, combine, out, keep=False):
+    # Rows that an earlier step has sliced stay where they are.
+    sliced = df if SLICE in df.columns else with_slices(df, keys, order_by, hot)
     result = sliced.withColumn(out, F.when(_has_key(keys), within))
     if hot is not None and hot.cuts is not None:
         edges = (
@@ -51,7 +52,7 @@ def _add(df, keys, order_by, hot, within, edge_value, edge_from_slices, combine,
         result = result.join(F.broadcast(edges), [*keys, SLICE], "left").withColumn(
             out, combine(F.col(out), F.col(_EDGE))
         )
-    return result.drop(SLICE, HOT, _EDGE)
+    return result.drop(_EDGE) if keep else result.drop(SLICE, HOT, _EDGE)
 
 
 def with_next(
@@ -84,8 +85,12 @@ def with_previous(
     value: Column,
     out: str,
     hot: HotKeys | None = None,
+    keep_slices: bool = False,
 ) -> DataFrame:
-    """Add ``out``: a struct holding ``value`` of the key's previous row, or NULL."""
+    """Add ``out``: a struct holding ``value`` of the key's previous row, or NULL.
+
+    With ``keep_slices`` the next step finds the rows sliced, and needs no shuffle.
+    """
     boxed = F.struct(value.alias("value"))
     return _add(
         df,
@@ -97,6 +102,7 @@ def with_previous(
         edge_from_slices=F.lag(_EDGE).over(_across_slices(keys)),
         combine=F.coalesce,
         out=out,
+        keep=keep_slices,
     )
 
 

@@ -1,14 +1,15 @@
-"""Cosine top-k: exact by one scan, approximate by reading a part of the cells.
-
-Question vectors are few and vectors many, so the questions travel to the
-vectors. Each task multiplies its Arrow batches with the question matrix and
-leaves at most k rows per question; nothing pairs every question with every
-vector as rows. A closing window ranks those leftovers.
+"""Cosine top-k: exact over all cells, approximate over the likeliest ones.
+
+The collection lies in cells; a question goes to the cells it asks, and meets the
+vectors there by an equi-join on the cell. Crowded cells are cut into parts, and
+the questions of much-asked ones into blocks, so that a group is a bounded number
+of questions and vectors: one matrix product, of which at most k rows per question
+are left. The exact search is the same with a single cell. Nothing pairs questions
+and vectors as rows, and neither side passes through the driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,72 +17,58 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandline.session import shared_dir
 from strandline.sources.tables import balanced
 
-# Questions compared in one scan of the vectors. Larger sets take more scans.
-QUESTIONS_PER_SCAN = 2_048
+# Vectors and questions in one group.
+VECTORS_PER_GROUP, QUESTIONS_PER_GROUP = 50_000, 2_048
 # Distances held at once by a task.
 _DISTANCES_AT_ONCE = 4_000_000
 TOP_K = 3
 DISTANCE_DIGITS = 12
-# Cosine distance ends at 2; beyond is what was not probed.
-_FARTHEST = 3.0
+# Vectors of a cell, on average, and cells a question asks.
+VECTORS_PER_CELL, PROBES = 4_096, 32
+# Neighbours that are sent to the chunks; more are joined by a shuffle.
+_BROADCAST_ROWS = 100_000
 
 
 def similarity(distance: Column) -> Column:
     return F.round(1 - distance, 3)
 
 
-def _partial_top_k(ids, matrix, probed, k):
-    """The task function: the best k vectors of a partition, for every question.
-
-    State is k rows per question, whatever the partition's size.
-    """
-
-    def merge(best, distances, vector_ids):
-        # Everything tied with the k-th stays in until the vector ids decide.
-        rows = np.flatnonzero(distances <= _reach(best, k))
-        if len(rows) > k:
-            rows = rows[distances[rows] <= np.partition(distances[rows], k - 1)[k - 1]]
-        d = np.concatenate([best[0], distances[rows]])
-        v = np.concatenate([best[1], vector_ids[rows]])
-        order = np.lexsort((v, d))[:k]
-        return d[order], v[order]
-
-    def _reach(best, k):
-        return best[0][-1] if len(best[0]) == k else _FARTHEST
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-30)
-        step = max(1, _DISTANCES_AT_ONCE // len(ids))
-        best = [(np.empty(0), np.empty(0, dtype=np.int64)) for _ in ids]
-        reach = np.full(len(ids), _FARTHEST)
-        for whole in batches:
-            for start in range(0, whole.num_rows, step):
-                batch = whole.slice(start, step)
-                vectors = np.asarray(batch.column("vector").flatten(), dtype=np.float64)
-                vectors = vectors.reshape(batch.num_rows, -1)
-                norms = np.maximum(np.linalg.norm(vectors, axis=1), 1e-30)
-                # Rounded, so that copies of a vector tie in whichever batch they are.
-                distances = np.round(1.0 - (unit @ vectors.T) / norms, DISTANCE_DIGITS)
-                if probed is not None:
-                    cells = np.asarray(batch.column("cell"))
-                    for at, allowed in enumerate(probed):
-                        distances[at, ~np.isin(cells, allowed)] = np.inf
-                vector_ids = np.asarray(batch.column("vector_id"))
-                for at in np.flatnonzero(distances.min(axis=1) <= reach):
-                    best[at] = merge(best[at], distances[at], vector_ids)
-                    reach[at] = _reach(best[at], k)
-        counts = [len(d) for d, _ in best]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(np.array(ids, dtype=np.int64), counts)),
-                pa.array(np.concatenate([v for _, v in best])),
-                pa.array(np.concatenate([d for d, _ in best])),
-            ],
-            names=["query_id", "vector_id", "distance"],
-        )
+def _unit(matrix: np.ndarray) -> np.ndarray:
+    return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-30)
+
+
+def _matrix(table: pa.Table) -> np.ndarray:
+    flat = table.column("vector").combine_chunks()
+    flat = flat.flatten() if not isinstance(flat, pa.ChunkedArray) else pa.concat_arrays(flat.chunks).flatten()
+    return np.asarray(flat, dtype=np.float64).reshape(table.num_rows, -1)
+
+
+def _top_k(k: int):
+    """The group function: the best ``k`` of the vectors for each question."""
+
+    def run(questions: pa.Table, vectors: pa.Table) -> pa.Table:
+        found = ([], [], [])
+        if questions.num_rows and vectors.num_rows:
+            asked, ids = _unit(_matrix(questions)), np.asarray(questions.column("query_id"))
+            matrix, vector_ids = _unit(_matrix(vectors)), np.asarray(vectors.column("vector_id"))
+            step = max(1, _DISTANCES_AT_ONCE // len(matrix))
+            for start in range(0, len(ids), step):
+                # Rounded, so that copies of a vector tie in whichever group they are.
+                distances = np.round(1.0 - asked[start : start + step] @ matrix.T, DISTANCE_DIGITS)
+                for at, row in zip(ids[start : start + step], distances, strict=True):
+                    # Everything tied with the k-th stays in until the vector ids decide.
+                    near = np.arange(len(row))
+                    if len(row) > k:
+                        near = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
+                    near = near[np.lexsort((vector_ids[near], row[near]))[:k]]
+                    found[0].append(np.full(len(near), at))
+                    found[1].append(vector_ids[near])
+                    found[2].append(row[near])
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        columns = [pa.array(np.concatenate(x) if x else [], t) for x, t in zip(found, kinds, strict=True)]
+        return pa.table(columns, names=["query_id", "vector_id", "distance"])
 
     return run
 
@@ -98,34 +85,24 @@ def _rank(found: DataFrame, k: int) -> DataFrame:
 _FOUND = "query_id bigint, vector_id bigint, distance double"
 
 
-def _search(vectors: DataFrame, questions: DataFrame, k: int, cells_of=None) -> DataFrame:
-    """Search in blocks of questions; the driver holds one block at a time.
+def _counted(rows: DataFrame, name: str, each: int) -> DataFrame:
+    return rows.groupBy("cell").agg(F.ceil(F.count("*") / each).cast("int").alias(name))
 
-    A single block, the usual case, stays a lazy plan. With more, the answers
-    of each are written to the shared folder before the next is begun.
-    """
-    spark = vectors.sparkSession
-    blocks = math.ceil(questions.count() / QUESTIONS_PER_SCAN)
-    if blocks == 0:
-        return _rank(spark.createDataFrame([], _FOUND), k)
-    folder = shared_dir(spark, "neighbours") if blocks > 1 else None
-    for block in range(blocks):
-        part = F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block
-        rows = questions.where(part).collect()
-        if not rows:
-            continue
-        ids = [r["query_id"] for r in rows]
-        matrix = np.array([r["vector"] for r in rows], dtype=np.float64)
-        probed, scanned = None, vectors
-        if cells_of is not None:
-            probed = cells_of(matrix)
-            wanted = sorted({int(c) for row in probed for c in row})
-            scanned = vectors.where(F.col("cell").isin(wanted))
-        ranked = _rank(scanned.mapInArrow(_partial_top_k(ids, matrix, probed, k), _FOUND), k)
-        if folder is None:
-            return ranked
-        ranked.write.parquet(f"{folder}/block={block}")
-    return spark.read.parquet(folder).drop("block")
+
+def _search(vectors: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """Top k where ``cell`` is equal; both sides have one."""
+    parts = _counted(vectors.select("cell"), "parts", VECTORS_PER_GROUP)
+    blocks = _counted(questions.select("cell"), "blocks", QUESTIONS_PER_GROUP)
+    sizes = parts.join(blocks, "cell")
+    all_parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    own_part = F.pmod(F.xxhash64("vector_id"), F.col("parts")).cast("int").alias("part")
+    own_block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block")
+    left = questions.join(sizes, "cell").select("query_id", "vector", "cell", own_block, all_parts)
+    right = vectors.join(sizes, "cell").select("vector_id", "vector", "cell", own_part, all_blocks)
+    group = ["cell", "part", "block"]
+    found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(_top_k(k), _FOUND)
+    return _rank(found, k)
 
 
 def knn_cosine(vectors: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -135,15 +112,25 @@ def knn_cosine(vectors: DataFrame, questions: DataFrame, k: int = TOP_K) -> Data
     ``query_id`` and ``vector``. Columns: query_id, vector_id, rank, distance,
     similarity.
     """
-    clean = vectors.select("vector_id", "vector").where(F.col("vector").isNotNull())
-    return _search(clean, questions.select("query_id", "vector"), k)
+    known = F.col("vector").isNotNull()
+    everywhere = F.lit(0).alias("cell")
+    return _search(
+        vectors.where(known).select("vector_id", "vector", everywhere),
+        questions.where(known).select("query_id", "vector", everywhere),
+        k,
+    )
 
 
-def _hyperplanes(dimensions: int, bits: int) -> np.ndarray:
+def hyperplanes(dimensions: int, bits: int) -> np.ndarray:
     # Seeded: the index and every search must use the same planes.
     return np.random.default_rng(20_240_229).standard_normal((bits, dimensions))
 
 
+def bits_for(vectors: int, per_cell: int = VECTORS_PER_CELL) -> int:
+    """Cells double with the collection, so that a cell's size stays the same."""
+    return max(1, int(np.ceil(np.log2(max(vectors, 1) / per_cell))))
+
+
 def _cell_numbers(planes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(planes.shape[0])
@@ -159,15 +146,17 @@ def _cell_numbers(planes: np.ndarray):
     return run
 
 
-def index_rebuild(vectors: DataFrame, path: str, dimensions: int, bits: int = 6) -> DataFrame:
+def index_rebuild(
+    vectors: DataFrame, path: str, dimensions: int, per_cell: int = VECTORS_PER_CELL
+) -> DataFrame:
     """Write the whole collection anew, partitioned by cell, and read it back.
 
-    A cell is the pattern of sides a vector is on of ``bits`` random
-    hyperplanes; near vectors share most sides. Cells need no training and no
-    shuffle to compute. A crowded cell is split over writers and files.
+    A cell is the pattern of sides a vector is on of random hyperplanes, as
+    many as the collection needs; near vectors share most sides. Cells need no
+    training and no shuffle to compute. A crowded cell is split over files.
     """
-    planes = _hyperplanes(dimensions, bits)
     clean = vectors.select("vector_id", "vector").where(F.col("vector").isNotNull())
+    planes = hyperplanes(dimensions, bits_for(clean.count(), per_cell))
     kind = clean.schema["vector"].dataType.simpleString()
     cells = clean.mapInArrow(_cell_numbers(planes), f"vector_id bigint, vector {kind}, cell int")
     balanced(cells, "cell").write.mode("error").partitionBy("cell").parquet(path)
@@ -178,31 +167,64 @@ def open_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _probed(planes: np.ndarray, probes: int):
+    """Each question once for each of its likeliest cells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            margins = _unit(_matrix(pa.Table.from_batches([batch]))) @ planes.T
+            rows, cells = [], []
+            for at, own in enumerate(margins):
+                # What it costs to be in a cell, for all cells: bit by bit they double.
+                cost = np.zeros(1)
+                for margin in own:
+                    crossed = margin * margin
+                    cost = np.concatenate([cost + (crossed if margin > 0 else 0.0),
+                                           cost + (0.0 if margin > 0 else crossed)])
+                nearest = np.argsort(np.round(cost, DISTANCE_DIGITS), kind="stable")[:probes]
+                rows.append(np.full(len(nearest), at))
+                cells.append(nearest)
+            asked = batch.take(pa.array(np.concatenate(rows)))
+            yield pa.RecordBatch.from_arrays(
+                [*asked.columns, pa.array(np.concatenate(cells).astype("int32"))],
+                names=["query_id", "vector", "cell"],
+            )
+
+    return run
+
+
 def knn_approx(
     index: DataFrame,
     questions: DataFrame,
     dimensions: int,
     k: int = TOP_K,
-    bits: int = 6,
-    probes: int = 32,
+    per_cell: int = VECTORS_PER_CELL,
+    probes: int = PROBES,
 ) -> DataFrame:
-    """Like ``knn_cosine``, reading only the ``probes`` likeliest cells per question.
+    """Like ``knn_cosine``, asking only the ``probes`` likeliest cells per question.
+
+    The cell is a partition column and the join's key, so cells nobody asks are
+    not opened. Cells are taken in order of how little a question would have to
+    move to be in them; as many probes as there are cells give the exact answer.
+    """
+    planes = hyperplanes(dimensions, bits_for(index.count(), per_cell))
+    asked = questions.select("query_id", "vector").where(F.col("vector").isNotNull())
+    kind = asked.schema["vector"].dataType.simpleString()
+    spread = asked.mapInArrow(_probed(planes, probes), f"query_id bigint, vector {kind}, cell int")
+    return _search(index.select("vector_id", "vector", "cell"), spread, k)
+
+
+def retrieve_chunks(neighbours: DataFrame, chunks: DataFrame, chunk_id: str = "vector_id") -> DataFrame:
+    """Each neighbour with its chunk's columns: text, source, title, url, date.
 
-    The cell is a partition column, so unprobed cells are never opened. Cells
-    are taken in order of how little a question would have to move to be in them.
+    The neighbours are few: as long as they are, they travel to the chunks.
     """
-    planes = _hyperplanes(dimensions, bits)
-
-    def cells_of(matrix: np.ndarray) -> list[np.ndarray]:
-        unit = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-30)
-        margins = unit @ planes.T  # (questions, bits)
-        patterns = (np.arange(1 << bits)[:, None] >> np.arange(bits)) & 1  # (cells, bits)
-        crossed = patterns[None] != (margins > 0)[:, None]
-        cost = (crossed * (margins**2)[:, None]).sum(axis=2)
-        return list(np.argsort(cost, axis=1, kind="stable")[:, :probes])
-
-    asked = questions.select("query_id", "vector")
-    return _search(index.select("vector_id", "vector", "cell"), asked, k, cells_of)
+    found = neighbours.withColumnRenamed("vector_id", chunk_id)
+    if found.count() <= _BROADCAST_ROWS:
+        found = F.broadcast(found)
+    return chunks.join(found, chunk_id)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,7 +57,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_DIR_KEY, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # one process, no other nodes
             raise ValueError(f"set {CHECKPOINT_DIR_KEY} to a folder every node can reach")
         base = os.path.join(tempfile.gettempdir(), "strandline-local")
     return f"{base.rstrip('/')}/strandline/{purpose}-{uuid.uuid4().hex}"

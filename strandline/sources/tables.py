@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -64,7 +64,7 @@ def spread(table: DataFrame) -> DataFrame:
     For work that is heavy per row. A table of many files is left as it is.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
 
 
 def write_overwrite(table: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
@@ -75,11 +75,14 @@ def write_overwrite(table: DataFrame, root: str, partition_by: Sequence[str] = (
 
 
 def create_if_absent(table: DataFrame, path: str) -> bool:
-    """Write the table unless one is there; says whether it was written."""
-    if _exists(table.sparkSession, path):
-        return False
-    table.write.mode("overwrite").parquet(path)
-    return True
+    """Write the table unless one is there; says whether none was there before.
+
+    What another writer has put there in the meantime is left alone.
+    """
+    absent = not _exists(table.sparkSession, path)
+    if absent:
+        table.write.mode("ignore").parquet(path)
+    return absent
 
 
 def write_append(table: DataFrame, path: str) -> str:
@@ -92,19 +95,39 @@ def typed(table: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     return table.select(*[F.col(name).cast(kind).alias(name) for name, kind in schema.items()])
 
 
+_RELEASES = "releases"
+
+
 def publish_full_refresh(table: DataFrame, schema: Mapping[str, str], root: str, view: str) -> DataFrame:
-    """Replace a published table as a whole and read it back.
+    """Replace the table published under ``root`` as a whole and read it back.
 
-    Executors write the files in parallel. Readers of ``view`` see the old
-    version until the new one is complete.
+    Executors write the files in parallel. The rows in the files are counted
+    and must be as many as were written; then one more line in the list of
+    releases names the new version. ``open_published`` finds the newest in any
+    session, and readers of ``view`` in this one see the old version until then.
     """
     spark = table.sparkSession
-    path = write_overwrite(typed(table, schema), root)
+    written = Observation()
+    path = write_overwrite(typed(table, schema).observe(written, F.count("*").alias("rows")), root)
     published = spark.read.parquet(path)
+    rows = published.count()
+    if rows != written.get["rows"]:
+        raise RuntimeError(f"{path} holds {rows} rows of {written.get['rows']}")
+    version = path.rsplit("/", 1)[1]
+    spark.range(1).select(
+        F.current_timestamp().alias("released_at"), F.lit(version).alias("version"), F.lit(rows).alias("rows")
+    ).write.mode("append").parquet(f"{root.rstrip('/')}/{_RELEASES}")
     published.createOrReplaceTempView(view)
     return published
 
 
+def open_published(spark: SparkSession, root: str) -> DataFrame:
+    """The newest release below ``root``, whoever published it."""
+    root = root.rstrip("/")
+    newest = spark.read.parquet(f"{root}/{_RELEASES}").agg(F.max_by("version", "released_at")).first()[0]
+    return spark.read.parquet(f"{root}/{newest}")
+
+
 def publish_jdbc(
     table: DataFrame, schema: Mapping[str, str], url: str, target: str, options: Mapping[str, str]
 ) -> None:

@@ -12,14 +12,16 @@ from strandline.operators.envelope import WRITES, Entity, read_changes
 def guard_duplicates(log: DataFrame, within: str = "1 hour") -> DataFrame:
     """Drop events a relay delivered again under new offsets.
 
-    The same key and text is the same change: the text holds the operation,
+    A message without a value is no copy of another and always passes. Else
+    the same key and text is the same change: the text holds the operation,
     the source time and both images. What has been seen is remembered for
     ``within``. The clock is that of the micro-batches, so no event is ever too
     late and none is lost; ``history.drop_redelivered`` removes copies that
     come back after that time.
     """
+    place = F.concat_ws("/", *[F.col(c).cast("string") for c in ("topic", "partition", "offset")])
     return (
-        log.withColumn("__digest", F.sha2(F.col("value"), 256))
+        log.withColumn("__digest", F.coalesce(F.sha2(F.col("value"), 256), place))
         .withColumn("__seen_at", F.current_timestamp())
         .withWatermark("__seen_at", within)
         .dropDuplicatesWithinWatermark(["topic", "key", "__digest"])

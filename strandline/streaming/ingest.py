@@ -20,8 +20,8 @@ BRONZE_SCHEMA = (
 )
 
 
-def kafka_options(servers: str, topics: Sequence[str], per_trigger: int | None = 1000) -> dict[str, str]:
-    """Options to subscribe from the earliest offset, in bounded batches.
+def kafka_options(servers: str, topics: Sequence[str], per_trigger: int | None = None) -> dict[str, str]:
+    """Options to subscribe from the earliest offset; ``per_trigger`` bounds a batch.
 
     Security settings are the caller's to add (``kafka.security.protocol`` …).
     """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,20 +24,37 @@ def start_relay(
     fmt: str,
     options: Mapping[str, str],
     checkpoint: str,
+    ledger: str,
     path: str | None = None,
 ) -> StreamingQuery:
-    """Relay what is available to a streaming sink (``kafka`` reads the topic column)."""
-    writer = (
+    """Relay what is available, batch by batch (``kafka`` reads the topic column).
+
+    With a ``path`` each micro-batch has its own folder ``batch_id=N``. Its number
+    of events goes into the ``ledger`` likewise; a batch that is run again replaces
+    both, so the ledger counts every event once.
+    """
+
+    def forward(batch: DataFrame, batch_id: int) -> None:
+        passed = Observation()
+        writer = (
+            batch.observe(passed, F.count("*").alias("events")).write.format(fmt).options(**options)
+        )
+        if path:
+            writer.mode("overwrite").save(f"{path.rstrip('/')}/batch_id={batch_id}")
+        else:
+            writer.mode("append").save()
+        counted = batch.sparkSession.range(1).select(F.lit(passed.get["events"]).alias("events"))
+        counted.write.mode("overwrite").parquet(f"{ledger.rstrip('/')}/batch_id={batch_id}")
+
+    return (
         relay(log, topic_map)
-        .writeStream.format(fmt)
-        .outputMode("append")
-        .options(**options)
+        .writeStream.foreachBatch(forward)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
+        .start()
     )
-    return writer.start(path) if path else writer.start()
 
 
-def forwarded(query: StreamingQuery) -> int:
-    """How many events the query has passed on, by its own progress reports."""
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+def forwarded(spark: SparkSession, ledger: str) -> DataFrame:
+    """(batch_id, events): what the relay has passed on, in all its runs."""
+    return spark.read.parquet(ledger).select("batch_id", "events")

@@ -211,6 +211,19 @@ def test_slices_bound_the_rows_per_task(spark):
     assert largest <= 200  # one slice, give or take the sketch's rounding
 
 
+def test_rows_of_one_moment_are_cut_up_too(spark):
+    from strandline.operators.skew import SLICE, with_slices
+
+    df = spark.range(20_000).selectExpr("1L AS key", "TIMESTAMP '2026-01-01 00:00:00' AS at", "id AS offset")
+    hot = find_hot_keys(df, ["key"], ["at", "offset"], rows_per_slice=1000)
+    sliced = with_slices(df, ["key"], ["at", "offset"], hot)
+    sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
+    assert len(sizes) >= 18 and max(sizes) <= 2000
+    versions = history.history(df, "key", ("at", "offset"), operation=None, hot=hot)
+    assert versions.where("is_current").collect()[0]["offset"] == 19_999
+    assert versions.where("valid_to IS NOT NULL").count() == 19_999
+
+
 def test_cold_tables_are_not_sliced(spark):
     df = changes(spark, random_log(500, 3))
     assert find_hot_keys(df, ["key"], "at").cuts is None
@@ -271,6 +284,47 @@ def test_asof_join_against_brute_force(spark, slice_rows, how):
     assert got == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("flip", [False, True])
+def test_asof_join_prefers_the_version_that_lasts(spark, flip):
+    rows = [(1, moment(5), moment(5), "old"), (1, moment(5), None, "new")]
+    versions = spark.createDataFrame(
+        rows[::-1] if flip else rows, "key long, valid_from timestamp, valid_to timestamp, value string"
+    ).coalesce(1)
+    facts = spark.createDataFrame([(1, moment(5)), (1, moment(9))], "key long, happened timestamp")
+    joined = asof.asof_join(facts, versions, "key", "happened", version_columns=["value"])
+    assert [r.value for r in joined.collect()] == ["new", "new"]
+
+
+# --- kept history -----------------------------------------------------------------
+
+
+def test_kept_history_reads_only_the_buckets_it_touches(spark, tmp_path):
+    import shutil
+
+    from strandline.operators import kept
+
+    rows = random_log(400, 2)
+    df = changes(spark, rows)
+    root = str(tmp_path / "kept")
+    first = df.where("offset % 3 != 1")
+    kept.apply_batch(first, root, "key", ORDER, buckets=8)
+    kept.apply_batch(first.where("offset % 2 = 0"), root, "key", ORDER, buckets=8)  # again: no change
+    kept.apply_batch(df.where("offset % 3 = 1"), root, "key", ORDER, buckets=8)
+    columns = ["key", "offset", "valid_from", "valid_to", "is_current"]
+    want = sorted(map(str, history.history(df, "key", ORDER).select(*columns).collect()))
+    assert sorted(map(str, kept.kept_history(spark, root).select(*columns).collect())) == want
+
+    one = df.where("key = 3").limit(1).withColumn("offset", F.lit(10_000).cast("long"))
+    bucket = one.select(F.pmod(F.xxhash64("key"), F.lit(8))).first()[0]
+    others = [f for b, f in kept._generations(spark, root).items() if b != bucket]
+    for folder in others:  # unreadable from here on
+        shutil.move(folder, folder + "-away")
+    kept.apply_batch(one, root, "key", ORDER, buckets=8)
+    for folder in others:
+        shutil.move(folder + "-away", folder)
+    assert kept.kept_history(spark, root).count() >= len(want)
+
+
 def test_asof_join_refuses_ambiguous_columns(spark):
     facts = spark.createDataFrame([(1, moment(0), "a")], "key long, happened timestamp, value string")
     folded = history.history(changes(spark, LOG), "key", ORDER)

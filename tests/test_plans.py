@@ -57,9 +57,38 @@ def test_readings_are_aggregated_before_they_are_joined(spark):
     assert any("partial_sum" in l for l in lines[below - 6 : below])
 
 
-def test_price_filter_reaches_the_scan(spark):
+def test_prices_read_two_columns(spark):
     text = plan(marts.monthly_prices(spark, SF_DIR))
-    assert re.search(r"PushedFilters: \[[^\]]*LessThan\(o_orderdate", text)
+    assert re.search(r"ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>", text)
+
+
+def test_only_changed_versions_are_one_shuffle(spark):
+    changes = I.user_changes(spark, SF_DIR)
+    versions = history.history(
+        changes, "user_id", ("ts", "event_id"), operation=None, changed_columns=["event_type"], hot=None
+    )
+    assert shuffles(plan(versions)) == 1
+
+
+def test_complete_days_are_one_aggregation(spark):
+    from strandline.sources import prices as P
+
+    events = I.table(spark, SF_DIR, "events").select("event_type", "event_id", "ts")
+    text = plan(P.complete_days_only(events, "ts", ["event_type"]))
+    assert text.count("partial_bit_or") == 1 and text.count("HashAggregate") == 2
+
+
+def test_a_sample_folds_only_its_keys(spark, log):
+    changes = envelope.read_changes(log, envelope.METER_READINGS, (*envelope.WRITES, "d"))
+    text = plan(history.history_sample_from_log(changes, "reading_id", I.METER_ORDER))
+    assert text.count("FileScan") == 2 and "BroadcastHashJoin" in text and "LeftSemi" in text
+
+
+def test_redelivered_copies_are_grouped_by_a_digest(spark, log):
+    changes = envelope.read_changes(log, envelope.METER_READINGS)
+    identity = [*envelope.METER_READINGS.columns, "operation", "cdc_timestamp"]
+    text = plan(history.drop_redelivered(changes, identity, I.METER_ORDER))
+    assert re.search(r"Exchange hashpartitioning\(__digest_0#\d+L, __digest_1#\d+L", text)
 
 
 def test_shared_parts_are_scanned_once(spark):

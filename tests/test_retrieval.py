@@ -53,12 +53,13 @@ def test_exact_search_against_brute_force(spark, data):
         assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], atol=2e-3)
 
 
-def test_many_questions_take_several_scans(spark, data, monkeypatch):
+def test_crowded_sides_are_cut_into_groups(spark, data, monkeypatch):
     vectors, questions = data
     questions = np.delete(questions, 3, axis=0)
     table, asked = frame(spark, vectors, "vector_id"), frame(spark, questions, "query_id")
     whole = collected(retrieval.knn_cosine(table, asked))
-    monkeypatch.setattr(retrieval, "QUESTIONS_PER_SCAN", 3)
+    monkeypatch.setattr(retrieval, "QUESTIONS_PER_GROUP", 3)
+    monkeypatch.setattr(retrieval, "VECTORS_PER_GROUP", 100)
     assert collected(retrieval.knn_cosine(table, asked)) == whole
 
 
@@ -72,21 +73,33 @@ def test_index_holds_everything_and_all_probes_are_exact(spark, data, tmp_path):
     vectors, questions = data
     questions = np.delete(questions, 3, axis=0)
     table, asked = frame(spark, vectors, "vector_id"), frame(spark, questions, "query_id")
-    index = retrieval.index_rebuild(table, str(tmp_path / "index"), 16, bits=3)
-    assert index.count() == 700
+    index = retrieval.index_rebuild(table, str(tmp_path / "index"), 16, per_cell=100)
+    assert index.count() == 700 and retrieval.bits_for(700, 100) == 3
     exact = retrieval.knn_cosine(table, asked)
-    every = retrieval.knn_approx(index, asked, 16, bits=3, probes=8)
+    every = retrieval.knn_approx(index, asked, 16, per_cell=100, probes=8)
     assert collected(every) == collected(exact)
-    some = retrieval.knn_approx(index, asked, 16, bits=3, probes=5)
+    some = retrieval.knn_approx(index, asked, 16, per_cell=100, probes=5)
     share = retrieval.recall(some, exact).first().recall
     assert 0.5 <= share <= 1.0
 
 
-def test_unprobed_cells_are_not_read(spark, data, tmp_path):
+def test_only_probed_cells_are_compared(spark, data, tmp_path):
     vectors, questions = data
-    index = retrieval.index_rebuild(
-        frame(spark, vectors, "vector_id"), str(tmp_path / "pruned"), 16, bits=3
-    )
+    index = retrieval.index_rebuild(frame(spark, vectors, "vector_id"), str(tmp_path / "one"), 16, per_cell=100)
     asked = frame(spark, questions[:1], "query_id")
-    plan = retrieval.knn_approx(index, asked, 16, bits=3, probes=1)._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [(cell" in plan, plan
+    found = retrieval.knn_approx(index, asked, 16, k=700, per_cell=100, probes=1)
+    cells = {r.cell for r in found.join(index, "vector_id").select("cell").distinct().collect()}
+    assert len(cells) == 1
+    cell = cells.pop()
+    assert found.count() == index.where(f"cell = {cell}").count()
+
+
+def test_cells_double_with_the_collection():
+    assert [retrieval.bits_for(n, 100) for n in (0, 100, 200, 201, 400, 10**6)] == [1, 1, 1, 2, 2, 14]
+
+
+def test_chunks_come_with_their_neighbours(spark):
+    found = spark.createDataFrame([(1, 7, 1, 0.9)], "query_id long, vector_id long, rank int, similarity double")
+    chunks = spark.createDataFrame([(7, "t", "u"), (8, "x", "y")], "vector_id long, text string, url string")
+    row = retrieval.retrieve_chunks(found, chunks).first()
+    assert (row.query_id, row.rank, row.text, row.url) == (1, 1, "t", "u")

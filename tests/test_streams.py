@@ -68,9 +68,15 @@ def test_table_can_be_partitioned(spark, tmp_path):
 def test_relay_renames_listed_topics_only(spark, tmp_path):
     source, table, mark = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     write_messages(spark, source, 0, 30)
-    done = relay.start_relay(stream(spark, source), {"a": "target"}, "parquet", {}, mark, table)
-    done.awaitTermination()
-    assert relay.forwarded(done) == 30
+    ledger = str(tmp_path / "ledger")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        done = relay.start_relay(stream(spark, source), {"a": "target"}, "parquet", {}, mark, ledger, table)
+        done.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    counted = [r.events for r in relay.forwarded(spark, ledger).collect()]
+    assert sum(counted) == 30 and len(counted) > 2
     out = spark.read.parquet(table).select("topic", F.col("value").cast("string").alias("v"))
     got = {r.v: r.topic for r in out.collect()}
     assert got == {f"v{i}": "target" if i % 2 == 0 else "b" for i in range(30)}
@@ -197,3 +203,33 @@ def test_create_if_absent_then_append(spark, tmp_path):
 def test_verify_table(spark):
     row = tables.verify_table(spark.range(3, 9), ["id"]).first()
     assert (row.row_count, row.columns, row.sample_row) == (6, "id", '{"id":3}')
+
+
+def test_published_tables_outlive_the_session(spark, tmp_path):
+    root = str(tmp_path / "published")
+    schema = {"a": "bigint"}
+    tables.publish_full_refresh(spark.range(3).selectExpr("id AS a"), schema, root, "first_view")
+    tables.publish_full_refresh(spark.range(5).selectExpr("id AS a"), schema, root, "second_view")
+    other = spark.newSession()
+    assert tables.open_published(other, root).count() == 5
+    assert not other.catalog.tableExists("second_view")
+
+
+def test_messages_without_a_value_are_never_copies(spark, tmp_path):
+    rows = [("k", None, "t", 0, i) for i in range(3)] + [("k", "v", "t", 0, i) for i in (3, 4)]
+    schema = "key string, value string, topic string, partition int, offset long"
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    spark.createDataFrame(rows, schema).write.parquet(source)
+    log = spark.readStream.schema(schema).parquet(source)
+    SC.guard_duplicates(log).writeStream.format("parquet").option("checkpointLocation", mark).trigger(
+        availableNow=True
+    ).start(out).awaitTermination()
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_a_table_another_writer_made_stays(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "raced")
+    monkeypatch.setattr(tables, "_exists", lambda *_: False)
+    spark.range(2).write.parquet(path)
+    tables.create_if_absent(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 2

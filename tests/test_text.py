@@ -103,7 +103,8 @@ def test_gate_takes_the_first_of_equals_and_the_threshold_itself(spark):
     )
     rows = {r.question_id: r for r in answers.faithfulness_gate(df).collect()}
     assert (rows[1].best_supporting_chunk, rows[1].flagged) == ("b", False)
-    assert rows[1].all_scores == [0.5, 2.0, 2.0]
+    listed = {r.question_id: r.all_scores for r in answers.faithfulness_gate(df, all_scores=True).collect()}
+    assert listed[1] == [0.5, 2.0, 2.0]
     assert (rows[2].best_supporting_chunk, rows[2].flagged) == ("x", True)
     assert rows[2].max_entailment_score == 2.0  # rounded for display, judged unrounded
 
@@ -113,10 +114,19 @@ def test_gate_without_the_list_takes_any_number_of_chunks(spark):
         "1 AS question_id", "CAST(id AS INT) AS rank", "CAST(id AS STRING) AS source",
         "CAST(id AS DOUBLE) / 1000 AS entailment",
     )
-    row = answers.faithfulness_gate(df, all_scores=False).first()
-    assert (row.best_supporting_chunk, row.flagged) == ("5000", False)
-    with pytest.raises(Exception, match="ranked chunks"):
-        answers.faithfulness_gate(df).collect()
+    row = answers.faithfulness_gate(df, all_scores=True).first()
+    assert (row.best_supporting_chunk, row.flagged, len(row.all_scores)) == ("5000", False, 5000)
+    assert answers.answer_scores(df).count() == 5000
+
+
+def test_context_of_many_chunks(spark):
+    df = spark.range(1, 1102).selectExpr(
+        "id % 2 AS question_id", "CAST(id AS INT) AS rank", "'s' AS source", "'d' AS date", "'t' || id AS text"
+    ).unionByName(spark.range(1, 1102).selectExpr(
+        "2L AS question_id", "CAST(id AS INT) AS rank", "'s' AS source", "'d' AS date", "'t' || id AS text"))
+    assert answers.context_rows(df).count() == 2202
+    context = answers.context_assembly(df).where("question_id = 2").first().context
+    assert context.count("[Source ") == 1101 and context.endswith("t1101")
 
 
 def test_context_and_prompt(spark):
@@ -156,8 +166,11 @@ def test_live_section(spark):
     df = spark.createDataFrame(rows, "facility_name string, compliance_pct int, line string")
     text = answers.live_section(df).first().live_data
     assert text.split("\n") == [answers.LINES_HEADING, "line c", "line a", "line b"]
-    with pytest.raises(Exception, match="more than 2 facilities"):
-        answers.live_section(df, at_most=2).collect()
+    many = spark.range(5000).selectExpr(
+        "'f' || id AS facility_name", "CAST(id AS INT) AS compliance_pct", "'line ' || id AS line"
+    )
+    lines = answers.live_section(many).first().live_data.split("\n")
+    assert lines[1:] == [f"line {i}" for i in range(5000)]
 
 
 def test_sources_in_first_seen_order(spark):
