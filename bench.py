@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -67,6 +68,7 @@ def main() -> None:
         "bench",
         f"local[{cpus}]",
         spark__ui__enabled="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
         spark__sql__shuffle__partitions=cpus if cpus.isdigit() else "8",
         spark__driver__memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
         spark__ui__showConsoleProgress="false",

@@ -6,10 +6,11 @@ Each function has a SQL twin, used by the oracle queries.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.functions.decode import encode_decimal
 from strandline.session import shared_dir
 from strandline.sources.tables import spread
 
@@ -150,6 +151,14 @@ def investments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- change logs ------------------------------------------------------------
 
 
+def encode_decimal(value: Column, scale: int) -> Column:
+    """Base64 of the scaled integer in the fewest whole bytes, as the wire has it."""
+    unscaled = (value * F.lit(Decimal(10) ** scale)).cast("bigint")
+    magnitude = F.when(unscaled < 0, F.bitwise_not(unscaled)).otherwise(unscaled)
+    size = F.floor((F.length(F.bin(magnitude)) + 8) / 8).cast("int")  # with a sign bit
+    return F.base64(F.unhex(F.right(F.lpad(F.hex(unscaled), 16, "0"), size * 2)))
+
+
 def _millis(moment: Column) -> Column:
     return F.unix_millis(moment.cast("timestamp"))
 

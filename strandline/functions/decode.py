@@ -34,14 +34,6 @@ def decode_decimal(encoded: Column, precision: int, scale: int) -> Column:
     return F.when(F.length(raw).between(1, 8), scaled)
 
 
-def encode_decimal(value: Column, scale: int) -> Column:
-    """Inverse of :func:`decode_decimal`, in the shortest whole number of bytes."""
-    unscaled = (value * F.lit(Decimal(10) ** scale)).cast("bigint")
-    magnitude = F.when(unscaled < 0, F.bitwise_not(unscaled)).otherwise(unscaled)
-    size = F.floor((F.length(F.bin(magnitude)) + 8) / 8).cast("int")  # with a sign bit
-    return F.base64(F.unhex(F.right(F.lpad(F.hex(unscaled), 16, "0"), size * 2)))
-
-
 def decode_epoch_days(days: Column) -> Column:
     """Days since 1970-01-01 as DATE."""
     return F.date_from_unix_date(days.try_cast("int"))

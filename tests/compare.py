@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 from decimal import Decimal
 
@@ -103,6 +104,7 @@ def main() -> int:
         "compare",
         "local[8]",
         spark__ui__enabled="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="compare-"),
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
     )

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from registry.inputs import encode_decimal
 from strandline.functions import decode
 from strandline.operators import envelope
 
@@ -47,7 +48,7 @@ def test_decimals_round_trip_at_every_byte_boundary(spark):
         "wire",
         decode.decode_decimal(F.col("wire"), 14, 2).alias("decoded"),
         value.alias("value"),
-        decode.encode_decimal(value, 2).alias("encoded"),
+        encode_decimal(value, 2).alias("encoded"),
     ).collect()
     for row in rows:
         assert row.decoded == row.value, row
