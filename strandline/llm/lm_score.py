@@ -37,8 +37,12 @@ from pyspark.sql import functions as F
 from strandline.llm.common import arrow, as_bytes, documents, remainder, scratch, slices, words
 
 END = b""  # no word is empty
-SHORTLIST, CLASSES, DIMENSIONS = 512, 32, 32
-ROUNDS, BATCH, NOISE, RATE = 3, 4096, 64, 0.15
+SHORTLIST, CLASSES, DIMENSIONS = 512, 256, 32
+ROUNDS, BATCH, NOISE, RATE = 3, 512, 64, 0.2
+#: Sequences of one task's share, the most tasks there are, the fewest steps of a
+#: share in a round (a small one is read again), parameters that are averaged
+#: together, and pairs of tokens whose sums over all symbols are made at once.
+SHARE, MOST_SHARES, LEAST_STEPS, BLOCK, PAIRS = 200_000, 4096, 150, 1024, 4096
 #: Words whose counts are sent to every task, and the longest of them in bytes.
 COMMON, COMMON_BYTES = 200_000, 64
 #: Distinct words or sequences that a task gathers before it passes them on.
@@ -250,37 +254,40 @@ def train(
     n, total = counted.agg(F.count("*"), F.sum("n")).first()
     if not n:
         return now
-    dealt = scratch(
-        spark,
-        counted.withColumn("place", F.xxhash64("key")).repartition(
-            max(1, min(n // 200_000 + 1, 4096)), "key"
-        ).sortWithinPartitions("place"),
-        "sequences",
-    )
+    # All sequences together are at most the cube of the symbols, so a share stays small.
+    shares = min(n // SHARE + 1, MOST_SHARES)
+    dealt = scratch(spark, counted.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(shares))), "sequences")
     for round in range(rounds):
         start, rate = now.flat(), RATE / (1 + round)
 
-        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trainer = Trainer(
-                Parameters.of(start, size, dimensions), noise, total / n, rate, seed=round
-            )
-            seen = 0
-            for batch in batches:
-                key, count = batch.column("key").to_numpy(), batch.column("n").to_numpy()
-                for i in range(0, len(key), BATCH):
-                    part, many = key[i : i + BATCH], count[i : i + BATCH]
-                    trainer.step(part // (size * size), part // size % size, part % size, many)
-                    seen += int(many.sum())
-            if seen:
-                value = trainer.now.flat().astype(np.float64)
-                rows = {"i": np.arange(len(value)), "sum": value * seen, "seen": np.full(len(value), float(seen))}
-                schema = pa.schema([("i", pa.int64()), ("sum", pa.float64()), ("seen", pa.float64())])
-                yield arrow(rows, schema)
-
-        sums = dealt.select("key", "n").mapInArrow(learn, "i long, sum double, seen double")
-        means = sums.groupBy("i").agg((F.sum("sum") / F.sum("seen")).alias("mean")).toPandas()
-        flat = np.zeros(len(means), np.float32)
-        flat[means["i"].to_numpy()] = means["mean"].to_numpy()
+        def learn(share: tuple, rows: pa.Table) -> pa.Table:
+            order = np.argsort(rows.column("key").to_numpy(), kind="stable")
+            keys, counts = (rows.column(c).to_numpy()[order] for c in ("key", "n"))
+            seed = round * MOST_SHARES + share[0].as_py()
+            trainer = Trainer(Parameters.of(start, size, dimensions), noise, total / n, rate, seed)
+            steps = 0
+            while steps < LEAST_STEPS:
+                order = trainer.rng.permutation(len(keys))
+                for i in range(0, len(order), BATCH):
+                    key, many = keys[order[i : i + BATCH]], counts[order[i : i + BATCH]]
+                    trainer.step(key // (size * size), key // size % size, key % size, many)
+                    steps += 1
+            seen = float(counts.sum())
+            value = trainer.now.flat().astype("<f8") * seen
+            blocks = [value[i : i + BLOCK].tobytes() for i in range(0, len(value), BLOCK)]
+            columns = {"block": pa.array(range(len(blocks)), pa.int64()), "sums": pa.array(blocks, pa.binary())}
+            columns |= {"share": pa.array([share[0].as_py()] * len(blocks), pa.int64())}
+            return pa.table(columns | {"seen": pa.array([seen] * len(blocks), pa.float64())})
+
+        def mean(block: tuple, rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by("share")  # so that sums come out the same every time
+            sums = np.sum([np.frombuffer(x, "<f8") for x in rows.column("sums").to_pylist()], axis=0)
+            value = (sums / np.sum(rows.column("seen").to_numpy())).astype("<f4")
+            return pa.table({"block": pa.array([block[0].as_py()], pa.int64()), "mean": pa.array([value.tobytes()])})
+
+        parts = dealt.groupBy("share").applyInArrow(learn, "block long, sums binary, share long, seen double")
+        means = parts.groupBy("block").applyInArrow(mean, "block long, mean binary").collect()
+        flat = np.frombuffer(b"".join(bytes(r["mean"]) for r in sorted(means, key=lambda r: r["block"])), "<f4")
         now = Parameters.of(flat, size, dimensions)
     return now
 
@@ -303,8 +310,8 @@ class Scorer:
         """``pairs``: two back * size + one back."""
         new = np.unique(pairs)
         new = new[np.isnan(self.sums[new])]
-        for i in range(0, len(new), BATCH):
-            some = new[i : i + BATCH]
+        for i in range(0, len(new), PAIRS):
+            some = new[i : i + PAIRS]
             scores = self.predicted(some % self.size, some // self.size) @ self.p.after.T + self.p.bias
             top = scores.max(axis=1, keepdims=True)
             self.sums[some] = np.log(np.exp(scores - top).sum(axis=1)) + top[:, 0]
