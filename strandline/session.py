@@ -30,7 +30,16 @@ CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session.
+
+    Tasks in Python import this package from where the driver has it, unless it
+    is installed on the workers or sent to them.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -45,7 +54,7 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
