@@ -6,7 +6,6 @@ only. Over UTF-8 bytes both are what ``bytes.split()`` and ``bytes.lower()`` do.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -31,11 +30,6 @@ BROADCAST_BYTES = 32 << 20
 def prepare(spark: SparkSession) -> SparkSession:
     """The library's settings, and Arrow batches limited by bytes as well as rows."""
     configure(spark)
-    # Workers import this package from where the driver has it, unless it is installed.
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
