@@ -7,7 +7,8 @@ has keys of, late events included, and writes them as a new generation; the
 others are not opened. Which generation of a bucket counts is the highest in the
 list of generations, to which one write adds all buckets of a batch at once:
 readers see a batch whole or not at all, and a run that failed before it leaves
-only files nobody reads.
+only files nobody reads. There is one writer at a time; old generations stay for
+readers that began with them, until the caller removes them.
 
 Buckets are of a hash of the key. Where keys of one time belong together (running
 numbers), ``bucket`` can be a range of them, so that a batch touches few.
@@ -70,7 +71,7 @@ def apply_batch(
         before = spark.read.option("basePath", root).parquet(*paths).drop("generation", *_FOLDED)
         batch = batch.unionByName(before)
     once = batch.dropDuplicates([*keys, *order_by])
-    # Deletes stay, as rows that end at once for readers, to close what comes later.
+    # Deletes stay among the rows, to close what a later batch brings; readers skip them.
     folded = history(once, keys, order_by, operation=None, hot="find")
     generation = uuid.uuid4().hex
     folded.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{root}/generation={generation}")
@@ -84,5 +85,7 @@ def kept_history(spark: SparkSession, root: str, operation: str = "operation") -
     """All versions, from the newest generation of each bucket."""
     root = root.rstrip("/")
     paths = list(_generations(spark, root).values())
+    if not paths:
+        raise ValueError(f"no history below {root}")
     kept = spark.read.option("basePath", root).parquet(*paths)
     return kept.where(F.col(operation) != DELETE).drop(_BUCKET, "generation")
