@@ -30,8 +30,9 @@ from strandline.llm.common import as_bytes, documents
 
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Text of a batch, and of the documents whose lines one shard indexes on average.
-BATCH_TEXT, SHARD_TEXT = 16 << 20, 32 << 20
-LEAST_TASKS = 32
+BATCH_TEXT, SHARD_TEXT = 4 << 20, 32 << 20
+#: Batches that a task gets on average, and the fewest tasks.
+TASK_BATCHES, LEAST_TASKS = 4, 32
 NO_ID = -(1 << 63)
 #: Places in a level for each hash that is left.
 SPARE = 1.5
@@ -146,7 +147,8 @@ def key_hash(line: bytes, min_chars: int = MIN_CHARS) -> bytes | None:
 
 def dealt(docs: DataFrame, batches: int) -> DataFrame:
     batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
-    return docs.select("doc_id", "text", batch.alias("batch")).repartition(batches, "batch")
+    tasks = max(LEAST_TASKS, batches // TASK_BATCHES)
+    return docs.select("doc_id", "text", batch.alias("batch")).repartition(tasks, "batch")
 
 
 def listed(in_batches: DataFrame, shards: int, min_chars: int) -> DataFrame:
