@@ -33,7 +33,6 @@ _CUTS_PER_GROUP = 64
 # Rows of a slice that are looked at to place its end.
 _SAMPLE_PER_SLICE = 256
 MIN_ROWS_PER_SLICE = 1_000_000
-_NULL_KEY_SLICES = 4_096
 
 SLICE = "__slice"
 HOT = "__hot"
@@ -152,9 +151,9 @@ def with_slices(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], hot
     missing = F.lit(False)
     for key in keys:
         missing = missing | F.col(key).isNull()
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in order_by]), F.lit(_NULL_KEY_SLICES)).cast("int")
+    spread = F.xxhash64(*[F.col(c) for c in order_by])
     if hot is None or hot.cuts is None:
-        number = F.when(missing, spread).otherwise(F.lit(0))
+        number = F.when(missing, spread).otherwise(F.lit(0).cast("long"))
         return df.withColumn(SLICE, number).withColumn(HOT, F.lit(False))
 
     at = F.struct(*[F.col(c) for c in hot.order_by])
@@ -165,7 +164,7 @@ def with_slices(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], hot
     return (
         df.withColumn(_HASH, _key_hash(keys))
         .join(F.broadcast(hot.cuts), _HASH, "left")  # about _MAX_SLICES cut points in all
-        .withColumn(SLICE, F.when(missing, spread).when(is_hot, number).otherwise(F.lit(0)))
+        .withColumn(SLICE, F.when(missing, spread).when(is_hot, number.cast("long")).otherwise(F.lit(0).cast("long")))
         .withColumn(HOT, is_hot & ~missing)
         .drop(_HASH, _FINE, _COARSE)
     )
