@@ -44,9 +44,9 @@ ROUNDS, BATCH, NOISE, RATE = 3, 512, 64, 0.2
 #: together, and pairs of tokens whose sums over all symbols are made at once.
 SHARE, MOST_SHARES, LEAST_STEPS, BLOCK, PAIRS = 200_000, 4096, 150, 1024, 4096
 #: Words whose counts are sent to every task, and the longest of them in bytes.
-COMMON, COMMON_BYTES = 200_000, 64
+COMMON, COMMON_BYTES = 100_000, 64
 #: Distinct words or sequences that a task gathers before it passes them on.
-GATHERED = 2_000_000
+GATHERED = 1_000_000
 LN10 = float(np.log(10))
 
 
@@ -127,6 +127,7 @@ class Tally:
         if self.rows > self.limit:
             self.parts = [self.sums()]
             self.rows = len(self.parts[0])
+            pa.default_memory_pool().release_unused()
 
     def sums(self) -> pa.Table:
         every = pa.concat_tables(self.parts) if self.parts else self.schema.empty_table()
@@ -251,12 +252,13 @@ def train(
 ) -> Parameters:
     """Parameters after ``rounds`` over the sequence counts."""
     now, noise, size = first_parameters(symbols, dimensions), noise_of(symbols.counts), symbols.size
+    counted = scratch(spark, counted, "sequences")
     n, total = counted.agg(F.count("*"), F.sum("n")).first()
     if not n:
         return now
     # All sequences together are at most the cube of the symbols, so a share stays small.
     shares = min(n // SHARE + 1, MOST_SHARES)
-    dealt = scratch(spark, counted.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(shares))), "sequences")
+    dealt = counted.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(shares)))
     for round in range(rounds):
         start, rate = now.flat(), RATE / (1 + round)
 
@@ -431,16 +433,22 @@ def scores(docs: DataFrame, counts: DataFrame, model, spark: SparkSession) -> Da
 def symbols_of(counts: DataFrame, shortlist: int = SHORTLIST, classes: int = CLASSES, common: int = COMMON):
     """The symbols, and the ``common`` most frequent words with their counts."""
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = (
-        counts.filter(F.octet_length("word") <= COMMON_BYTES)
-        .orderBy(F.desc("n"), "word")
-        .limit(common)
-        .toPandas()
-    )
-    often = dict(zip(map(bytes, top["word"]), map(int, top["n"]), strict=True))
+    short_words = counts.filter(F.octet_length("word").between(1, COMMON_BYTES))
+    top = short_words.orderBy(F.desc("n"), "word").limit(shortlist - 1).collect()
+    # Counts in steps of a tenth: the lowest step from which on no more than ``common`` words are.
+    step = F.floor(F.log("n") / F.log(F.lit(1.1))).cast("int")
+    steps = short_words.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    lowest, held = None, 0
+    for row in steps:
+        held += row["count"]
+        if held > common:
+            break
+        lowest = row["step"]
+    more = short_words.filter(step >= lowest).collect() if lowest is not None else []
+    often = {bytes(r["word"]): int(r["n"]) for r in [*top, *more]}
     ends = int(counts.filter(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     often[END] = ends
-    short = [END, *[w for w in often if w != END][: shortlist - 1]]
+    short = [END, *[bytes(r["word"]) for r in top]]
     key = F.crc32(F.substring("word", -2, 2)) % classes
     of_class = {
         r["class"]: (int(r["n"]), r["words"])
