@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strandline.llm.common import arrow, as_bytes, documents, prepare, slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-PIECE_CHARS = 16_384
+PIECE_CHARS = 2_048
 WINDOW_CHARS = 64
 _SPLIT = re.compile(r"(?<=\S)[ \t\n\r]")
 
