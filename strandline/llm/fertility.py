@@ -34,7 +34,7 @@ VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 50, 50, 3
 #: Words whose tokens a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class Band(NamedTuple):
@@ -52,7 +52,7 @@ class Band(NamedTuple):
 # Fixed values. Alphabets have pieces of several letters in the vocabulary; of the
 # others' characters many are spelled in three bytes.
 BANDS = {
-    "latin": Band(1.5, 9.0, 0.10, 3.4, 0.28, 6.35),
+    "latin": Band(1.3, 9.0, 0.10, 3.4, 0.28, 6.35),
     "cyrillic": Band(1.0, 9.0, 0.20, 3.0, 0.28, 5.8),
     "greek": Band(0.6, 6.0, 0.60, 2.2, 0.25, 4.5),
     "semitic": Band(0.4, 6.0, 0.80, 2.0, 0.25, 4.2),
