@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import arrow, as_bytes, documents, prepare, remainder, slices
+from strandline.llm.common import arrow, as_bytes, documents, prepare, remainder, scratch, slices
 
 SAMPLE_ROWS, SAMPLE_BYTES = 4_000, 12 << 20
 DICTIONARY_BYTES, PIECE_BYTES, LEVEL = 112 << 10, 2048, 3
@@ -110,17 +110,22 @@ def learn(
     for quality in (0, 1):
         of_class = agreed.filter(F.col("quality") == quality).orderBy("place").limit(sample_rows)
         some = of_class if some is None else some.unionByName(of_class)
-    texts = (
-        docs.join(F.broadcast(some), "doc_id")
+    sample = scratch(
+        docs.sparkSession,
+        docs.select("doc_id", "text")
+        .join(F.broadcast(some), "doc_id")  # 2 * sample_rows
         .groupBy("doc_id", "quality", "place")
-        .agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
-        .withColumn(
-            "upto", F.sum(F.octet_length("text")).over(Window.partitionBy("quality").orderBy("place"))
-        )
+        .agg(F.max(F.coalesce("text", F.lit(""))).alias("text")),
+        "labelled",
+    )
+    upto = F.sum("bytes").over(Window.partitionBy("quality").orderBy("place"))
+    fitting = (
+        sample.select("doc_id", "quality", "place", F.octet_length("text").alias("bytes"))
+        .withColumn("upto", upto)
         .filter(F.col("upto") <= sample_bytes)
-        .select("quality", "place", "text")
-        .collect()
+        .select("doc_id")
     )
+    texts = sample.join(F.broadcast(fitting), "doc_id").select("quality", "place", "text").collect()
     kinds: dict[int, list[bytes]] = {0: [], 1: []}
     for row in sorted(texts, key=lambda r: r["place"]):
         kinds[row["quality"]].append(row["text"].encode())
