@@ -570,7 +570,9 @@ def compliance_from_logs(spark, sf):
     invested = history.current_from_log(investment_changes(spark, sf), "investment_id")
     invested = S.current_investments(invested)
     changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
-    readings = S.current_readings(history.current_from_log(changes, "reading_id", I.METER_ORDER))
+    path = shared_dir(spark, "current-readings")  # several marts read it: decoded once
+    S.current_readings(history.current_from_log(changes, "reading_id", I.METER_ORDER)).write.parquet(path)
+    readings = spark.read.parquet(path)
     monthly = E.monthly_consumption(readings, facilities)
     prices = S.wholesale_prices(I.prices(spark, sf))
     entitled = E.subsidy_entitlement(monthly, facilities, prices)
