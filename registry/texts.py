@@ -280,6 +280,38 @@ def knn_approx_recall(spark, sf):
     return retrieval.recall(_approximate(spark, sf, _PROBES), exact)
 
 
+# The same with probes that follow the number of cells, so that recall holds.
+_PROBES_BY_BITS = ", ".join(
+    f"({bits}, {retrieval.probes_for(bits, _DIMENSIONS, _PER_CELL)})" for bits in range(1, _MOST_BITS + 1)
+)
+_SIZED = _APPROXIMATE.replace(
+    f"<= {_PROBES})",
+    f"<= (SELECT probes FROM (VALUES {_PROBES_BY_BITS}) b(bits, probes) JOIN size USING (bits)))",
+)
+
+
+@query(
+    "knn_approx_sized",
+    f"""{_SIZED} SELECT query_id, vector_id, rank, round(1 - distance, 3) + 0.0 AS similarity
+    FROM approximate WHERE rank <= 3""",
+)
+def knn_approx_sized(spark, sf):
+    return _approximate(spark, sf, None).drop("distance")
+
+
+@query(
+    "knn_approx_sized_recall",
+    f"""{_SIZED} SELECT count(*) AS neighbours, count(a.vector_id) AS found,
+        count(a.vector_id) / CAST(count(*) AS DOUBLE) AS recall
+    FROM (SELECT * FROM nearest WHERE rank <= 3) n
+    LEFT JOIN (SELECT * FROM approximate WHERE rank <= 3) a
+         ON n.query_id = a.query_id AND n.vector_id = a.vector_id""",
+)
+def knn_approx_sized_recall(spark, sf):
+    exact = retrieval.knn_cosine(vectors(spark, sf), questions(spark, sf))
+    return retrieval.recall(_approximate(spark, sf, None), exact)
+
+
 @query(
     "retrieve_chunks",
     f"""{_NEAREST} SELECT query_id, rank, round(1 - distance, 3) + 0.0 AS similarity, doc_id AS chunk_id,

@@ -11,6 +11,8 @@ and vectors as rows, and neither side passes through the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from math import erf, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,13 @@ VECTORS_PER_GROUP, QUESTIONS_PER_GROUP = 50_000, 2_048
 _DISTANCES_AT_ONCE = 4_000_000
 TOP_K = 3
 DISTANCE_DIGITS = 12
-# Vectors of a cell, on average, and cells a question asks.
-VECTORS_PER_CELL, PROBES = 4_096, 32
+# Vectors of a cell, on average.
+VECTORS_PER_CELL = 4_096
+# The share of the neighbours that the probes are counted for. Above the 0.9 that
+# a search must find, as measured recall scatters by the questions asked.
+TARGET_RECALL = 0.93
+# Seeded questions by which probes are counted, and cells of theirs held at once.
+_TRIAL_QUESTIONS, _TRIAL_CELLS = 256, 1 << 24
 # Neighbours that are sent to the chunks; more are joined by a shuffle.
 _BROADCAST_ROWS = 100_000
 
@@ -131,6 +138,48 @@ def bits_for(vectors: int, per_cell: int = VECTORS_PER_CELL) -> int:
     return max(1, int(np.ceil(np.log2(max(vectors, 1) / per_cell))))
 
 
+def _far_neighbour(vectors: int, dimensions: int, k: int) -> float:
+    """The cosine that the k-th neighbour has among random vectors of any direction.
+
+    Where vectors crowd, neighbours are nearer and share more sides.
+    """
+    at = np.linspace(-1, 1, 200_001)
+    density = np.maximum(1 - at * at, 0) ** ((dimensions - 3) / 2) if dimensions > 2 else np.ones_like(at)
+    above = np.cumsum(density[::-1])[::-1] / density.sum()
+    return float(at[np.searchsorted(-above, -min(1.0, k / max(vectors, 1)))])
+
+
+@lru_cache(64)
+def probes_for(
+    bits: int, dimensions: int, per_cell: int = VECTORS_PER_CELL, k: int = TOP_K, target: float = TARGET_RECALL
+) -> int:
+    """How many of the ``2 ** bits`` cells a question must ask to find ``target`` of
+    its neighbours, on average.
+
+    A neighbour at angle t of a question with margin m to a plane is on the same
+    side with probability Phi(m / tan t); the product over the planes is its chance
+    of being in a cell. The chances are summed in the order in which cells are
+    asked, for seeded questions and the k-th neighbour of random vectors, which is
+    the farthest that a collection of this size and dimension has to offer.
+    """
+    cells = 1 << bits
+    cosine = _far_neighbour(cells * per_cell // 2, dimensions, k)
+    if cosine <= 0:
+        return cells
+    slope = cosine / np.sqrt(max(1 - cosine * cosine, 1e-12))
+    trials = max(8, min(_TRIAL_QUESTIONS, _TRIAL_CELLS // cells))
+    margins = np.abs(np.random.default_rng(7).standard_normal((trials, bits)))
+    found = np.zeros(cells)
+    for row in margins:
+        cost, chance = np.zeros(1), np.ones(1)
+        for margin in row:
+            same = 0.5 * (1 + erf(margin * slope / sqrt(2)))
+            cost = np.concatenate([cost, cost + margin * margin])
+            chance = np.concatenate([chance * same, chance * (1 - same)])
+        found += np.cumsum(chance[np.argsort(cost, kind="stable")])
+    return min(cells, int(np.searchsorted(found / trials, target)) + 1)
+
+
 def _cell_numbers(planes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(planes.shape[0])
@@ -201,15 +250,19 @@ def knn_approx(
     dimensions: int,
     k: int = TOP_K,
     per_cell: int = VECTORS_PER_CELL,
-    probes: int = PROBES,
+    probes: int | None = None,
 ) -> DataFrame:
-    """Like ``knn_cosine``, asking only the ``probes`` likeliest cells per question.
+    """Like ``knn_cosine``, asking only the ``probes`` likeliest cells per question,
+    by default as many as the number of cells asks for.
 
     The cell is a partition column and the join's key, so cells nobody asks are
     not opened. Cells are taken in order of how little a question would have to
     move to be in them; as many probes as there are cells give the exact answer.
     """
-    planes = hyperplanes(dimensions, bits_for(index.count(), per_cell))
+    bits = bits_for(index.count(), per_cell)
+    planes = hyperplanes(dimensions, bits)
+    if probes is None:
+        probes = probes_for(bits, dimensions, per_cell, k)
     asked = questions.select("query_id", "vector").where(F.col("vector").isNotNull())
     kind = asked.schema["vector"].dataType.simpleString()
     spread = asked.mapInArrow(_probed(planes, probes), f"query_id bigint, vector {kind}, cell int")

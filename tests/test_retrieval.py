@@ -103,3 +103,15 @@ def test_chunks_come_with_their_neighbours(spark):
     chunks = spark.createDataFrame([(7, "t", "u"), (8, "x", "y")], "vector_id long, text string, url string")
     row = retrieval.retrieve_chunks(found, chunks).first()
     assert (row.query_id, row.rank, row.text, row.url) == (1, 1, "t", "u")
+
+
+@pytest.mark.parametrize("n", [500, 6_000])
+def test_recall_holds_as_cells_double(spark, tmp_path, n):
+    rng = np.random.default_rng(11)
+    vectors, questions = rng.standard_normal((n, 64)), rng.standard_normal((60, 64))
+    table, asked = frame(spark, vectors, "vector_id"), frame(spark, questions, "query_id")
+    index = retrieval.index_rebuild(table, str(tmp_path / "index"), 64, per_cell=32)
+    found = retrieval.knn_approx(index, asked, 64, per_cell=32)
+    assert retrieval.recall(found, retrieval.knn_cosine(table, asked)).first().recall >= 0.9
+    bits = retrieval.bits_for(n, 32)
+    assert retrieval.probes_for(bits, 64, 32) < 1 << bits
