@@ -3,11 +3,15 @@
 A public vocabulary made from ordinary text needs few tokens for ordinary text.
 Three measures say how ordinary a text is: characters of its words per token, the
 share of tokens that are single bytes because the vocabulary has no piece for
-them, and the entropy of its tokens. Each has a band for each script. Entropy
-grows with length until the common pieces have been seen, so its floor does too.
-
-A text fails the base rules, or is judged by the bands of the script that most of
-its lettered words are in. Words are encoded once for each batch and counted as
+them, and the entropy of its tokens. What is ordinary is read from all documents
+that pass the base rules: for each script and language, and each half power of two
+of tokens, the median and the spread of the side that junk does not reach. A bound
+is so many spreads from the median, between lengths by interpolation. Equal measures
+count once, so that copies don't narrow a band. Languages of under ``LEAST_TEXTS``
+texts, and texts without a language, use their script's fixed bands.
+
+A text fails the base rules, or is judged by the bands of its language and of the
+script that most of its lettered words are in. Words are encoded once for each batch and counted as
 often as they occur; the vocabulary starts a piece at every blank, so words don't
 depend on their neighbours.
 
@@ -28,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import arrow, as_bytes, documents, prepare, slices, words
+from strandline.llm.common import arrow, as_bytes, documents, prepare, scratch, slices, words
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = b"#*$%&|<>"
@@ -49,7 +53,7 @@ class Band(NamedTuple):
     flat: float
 
 
-# Fixed values. Alphabets have pieces of several letters in the vocabulary; of the
+# Fixed values, for languages with too few texts to derive bands from. Alphabets have pieces of several letters in the vocabulary; of the
 # others' characters many are spelled in three bytes.
 BANDS = {
     "latin": Band(1.3, 9.0, 0.10, 3.4, 0.28, 6.35),
@@ -63,6 +67,25 @@ BANDS = {
     "none": Band(0.25, 9.0, 1.00, 1.5, 0.25, 3.5),
 }
 SCRIPTS = list(BANDS)
+#: A derived band needs so many texts, and so many of each length it is known at.
+LEAST_TEXTS, LEAST_OF_LENGTH = 200, 30
+#: Spreads (median to 84 %) that a text may be from the median: entropy and characters
+#: per token below it, bytes above it; and the least spread of each.
+ENTROPY_SPREADS, CHARS_SPREADS, BYTES_SPREADS = 3.5, 6.0, 6.0
+LEAST_SPREADS = (0.05, 0.01, 0.01)
+
+
+class Derived(NamedTuple):
+    """Bounds at lengths ``at`` (log2 of tokens, rising)."""
+
+    at: tuple[float, ...]
+    least_entropy: tuple[float, ...]
+    least_chars: tuple[float, ...]
+    most_bytes: tuple[float, ...]
+
+
+#: By script and language.
+Bands = dict[tuple[str, str], Derived]
 # The first code point of each stretch of letters, and its script.
 STRETCHES = [
     (0x0041, "latin"),
@@ -190,14 +213,32 @@ def measured(batch: pa.RecordBatch, path: str) -> dict[str, np.ndarray]:
     }
 
 
-def judged(m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(base_failed, kept)"""
-    failed = (m["n_words"] < MIN_WORDS) | (
+def base_failed(m: dict[str, np.ndarray]) -> np.ndarray:
+    return (m["n_words"] < MIN_WORDS) | (
         100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"]
     )
+
+
+def judged(
+    m: dict[str, np.ndarray], langs: list[str | None] | None = None, bands: Bands | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(base_failed, kept)"""
+    failed = base_failed(m)
+    length = np.log2(np.maximum(m["n_tokens"], 1))
     band = np.array([BANDS[s] for s in SCRIPTS])[m["script"]]
-    least, most, most_bytes, base, slope, flat = band.T
-    floor = np.minimum(flat, base + slope * np.log2(np.maximum(m["n_tokens"], 1)))
+    least, most, most_bytes, base, slope, flat = band.T.copy()
+    floor = np.minimum(flat, base + slope * length)
+    if bands:
+        names = [SCRIPTS[s] for s in m["script"]]
+        keys = list(zip(names, langs, strict=True))
+        for key in set(keys) & bands.keys():
+            rows, known = np.array([k == key for k in keys]), bands[key]
+            at = length[rows]
+            # Below the shortest known length entropy can't fall faster than log2(tokens).
+            shorter = np.maximum(known.at[0] - at, 0)
+            floor[rows] = np.interp(at, known.at, known.least_entropy) - shorter
+            least[rows] = np.interp(at, known.at, known.least_chars)
+            most_bytes[rows] = np.interp(at, known.at, known.most_bytes)
     ordinary = (
         (m["chars_per_token"] >= least)
         & (m["chars_per_token"] <= most)
@@ -207,44 +248,114 @@ def judged(m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return failed, ~failed & ordinary
 
 
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+MEASURES = ["chars_per_token", "byte_share", "token_entropy"]
+_SCHEMA = pa.schema(
+    [(c, pa.int64()) for c in ["doc_id", *COUNTS, "n_tokens"]]
+    + [(c, pa.float64()) for c in MEASURES]
+    + [("script", pa.string()), ("base_failed", pa.bool_()), ("kept", pa.bool_())]
+)
+_MEASURED = pa.schema([*list(_SCHEMA)[:-1], ("lang", pa.string())])
+
+
+def _columns(schema: pa.Schema) -> str:
+    types = {"int64": "long", "double": "double", "string": "string", "bool": "boolean"}
+    return ", ".join(f"{f.name} {types[str(f.type)]}" for f in schema)
+
+
+def language(docs: DataFrame) -> Column:
+    """The documents' language as text; null where they have no such column."""
+    named = any(c.lower() == "lang" for c in docs.columns)
+    return (F.col("lang") if named else F.lit(None)).cast("string").alias("lang")
+
+
+def measures(docs: DataFrame, path: str) -> DataFrame:
+    """Counts and measures of every text, with its language."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = measured(batch, path)
+            names = [SCRIPTS[s] for s in found["script"]]
+            rows = found | {c: batch.column(c) for c in ("doc_id", "lang")}
+            yield arrow(rows | {"script": names, "base_failed": base_failed(found)}, _MEASURED)
+
+    return docs.select("doc_id", "text", language(docs)).mapInArrow(measure, _columns(_MEASURED))
+
+
+def derive(rows: DataFrame) -> Bands:
+    """Bands from all of the measures' ``rows`` that pass the base rules.
+
+    Values are rounded, so that percentiles are exact over a bounded number of them
+    and don't depend on how the rows lie. What comes to the driver is a row for each
+    language, script and length of ``LEAST_OF_LENGTH`` texts.
+    """
+    length = F.log2("n_tokens")
+    texts = (
+        rows.filter("NOT base_failed AND n_tokens > 0 AND lang IS NOT NULL")
+        .select(
+            "script", "lang", "n_words", "word_chars", "n_tokens",
+            F.floor(2 * length).alias("step"),
+            F.round(length, 2).alias("length"),
+            F.round("token_entropy", 3).alias("entropy"),
+            F.round("chars_per_token", 3).alias("chars"),
+            F.round("byte_share", 3).alias("bytes"),
+        )
+        .distinct()
+    )
+    two = "percentile({}, array(0.5, 0.84)) AS {}"
+    parts = [F.expr(two.format(c, c)) for c in ("entropy", "chars", "bytes")]
+    values = [F.count("*").alias("n"), F.expr("percentile(length, 0.5) AS at"), *parts]
+    groups: dict[tuple[str, str], list] = {}
+    known = texts.groupBy("script", "lang", "step").agg(*values).filter(F.col("n") >= LEAST_OF_LENGTH)
+    for r in known.collect():
+        groups.setdefault((r["script"], r["lang"]), []).append(r)
+    found: Bands = {}
+    for key, steps in groups.items():
+        if sum(r["n"] for r in steps) < LEAST_TEXTS:
+            continue
+        steps.sort(key=lambda r: r["at"])
+        bounds = []
+        for name, spreads, least in zip(
+            ("entropy", "chars", "bytes"), (-ENTROPY_SPREADS, -CHARS_SPREADS, BYTES_SPREADS), LEAST_SPREADS, strict=True
+        ):
+            middle, high = np.array([r[name] for r in steps]).T
+            spread = np.maximum(high - middle, max(float(np.median(high - middle)), least))
+            bounds.append(tuple((middle + spreads * spread).tolist()))
+        found[key] = Derived(tuple(r["at"] for r in steps), *bounds)
+    return found
+
+
 def quality(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The counts, measures and verdict of every text."""
     path = path or public_tokenizers.path(VOCABULARY)
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    measures = ["chars_per_token", "byte_share", "token_entropy"]
-    schema = pa.schema(
-        [(c, pa.int64()) for c in ["doc_id", *counts, "n_tokens"]]
-        + [(c, pa.float64()) for c in measures]
-        + [("script", pa.string()), ("base_failed", pa.bool_()), ("kept", pa.bool_())]
-    )
+    rows = scratch(docs.sparkSession, measures(docs, path), "measures")
+    bands = derive(rows)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = measured(batch, path)
-            failed, kept = judged(found)
-            names = [SCRIPTS[s] for s in found["script"]]
-            rows = found | {"doc_id": batch.column("doc_id"), "script": names}
-            yield arrow(rows | {"base_failed": failed, "kept": kept}, schema)
+        for batch in batches:
+            found = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in [*COUNTS, "n_tokens", *MEASURES]}
+            names = batch.column("script").to_pylist()
+            found["script"] = np.array([SCRIPTS.index(s) for s in names], np.int64)
+            _, kept = judged(found, batch.column("lang").to_pylist(), bands)
+            yield arrow({c: batch.column(c) for c in _SCHEMA.names[:-1]} | {"kept": kept}, _SCHEMA)
 
-    types = {"int64": "long", "double": "double", "string": "string", "bool": "boolean"}
-    return docs.select("doc_id", "text").mapInArrow(
-        judge, ", ".join(f"{f.name} {types[str(f.type)]}" for f in schema)
-    )
+    return rows.mapInArrow(judge, _columns(_SCHEMA))
 
 
-def is_kept(text: str, path: str | None = None) -> Column:
+def is_kept(text: str, lang: Column, bands: Bands, path: str | None = None) -> Column:
     """The verdict as a column, for a filter that leaves the other columns alone."""
     path = path or public_tokenizers.path(VOCABULARY)
 
     @F.arrow_udf("boolean")
-    def verdict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in texts:
+    def verdict(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, langs in columns:
             parts = [pa.array([], pa.bool_())]
-            for batch in slices([pa.record_batch({"text": column})]):
-                parts.append(pa.array(judged(measured(batch, path))[1]))
+            for batch in slices([pa.record_batch({"text": texts, "lang": langs})]):
+                found = measured(batch, path)
+                parts.append(pa.array(judged(found, batch.column("lang").to_pylist(), bands)[1]))
             yield pa.concat_arrays(parts)
 
-    return verdict(F.col(text))
+    return verdict(F.col(text), lang)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,4 +365,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kept_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents that pass, with their columns."""
     prepare(spark)
-    return docs.filter(is_kept("text"))
+    path = public_tokenizers.path(VOCABULARY)
+    bands = derive(scratch(spark, measures(docs, path), "measures"))
+    return docs.filter(is_kept("text", language(docs), bands, path))

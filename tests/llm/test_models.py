@@ -101,6 +101,30 @@ def test_clean_documents_stay():
     assert (kept | failed).mean() > 0.999
 
 
+def test_bands_follow_the_language(spark):
+    import os
+
+    where = "/root/testdata/sf0.1"
+    if not os.path.isdir(where):
+        pytest.skip("no test tables")
+    docs = spark.read.parquet(f"{where}/documents.parquet")
+    labels = spark.read.parquet(f"{where}/labels.parquet").select("doc_id", "quality")
+    rows = fertility.quality(docs).join(labels, "doc_id").filter("NOT base_failed").toPandas()
+    junk, clean = rows[rows.quality == 0], rows[rows.quality == 1]
+    assert (~junk.kept).mean() > 0.9
+    assert clean.kept.mean() > 0.999
+
+
+def test_each_measure_binds():
+    row = {"n_words": 100, "n_repeat_words": 0, "script": 0, "n_tokens": 256}
+    usual = {"chars_per_token": 2.2, "byte_share": 0.0, "token_entropy": 6.0}
+    bands = {("latin", "en"): fertility.Derived((7.0, 9.0), (5.0, 5.6), (2.0, 2.0), (0.06, 0.06))}
+    cases = [{}, {"chars_per_token": 1.9}, {"byte_share": 0.08}, {"token_entropy": 5.2}]
+    m = {k: np.array([(row | usual | c)[k] for c in cases]) for k in row | usual}
+    assert fertility.judged(m, ["en"] * 4, bands)[1].tolist() == [True, False, False, False]
+    assert fertility.judged(m, ["xx"] * 4, bands)[1].tolist() == [True, True, True, False]
+
+
 # --- quality model ----------------------------------------------------------
 
 
