@@ -6,7 +6,9 @@ dictionaries. How much smaller the good one makes it, for each byte of the text,
 is monotonely calibrated on labelled texts that no dictionary has seen.
 
 Learning reads a bounded sample of labelled rows: for each class the first
-``sample_rows`` ids in the order of a hash, as far as ``sample_bytes`` reach.
+``sample_rows`` ids in the order of a hash, as far as ``sample_bytes`` reach; a text
+that doesn't fit any more is passed over for the next. A text of more than
+``TEXT_PIECES`` pieces stands in the sample with so many of them, chosen by a hash.
 Texts alternate between dictionary and calibration. The sample is all that comes
 to the driver. Class sizes for the calibration are counted over all labels.
 
@@ -16,6 +18,7 @@ is the share of label 1, or 0.5 without labels; texts of any length are compress
 whole; equal rows get equal scores; an empty table gives an empty result.
 """
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -23,12 +26,14 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.common import arrow, as_bytes, documents, prepare, remainder, scratch, slices
 
 SAMPLE_ROWS, SAMPLE_BYTES = 4_000, 12 << 20
+#: Pieces of a labelled text that learning reads.
+TEXT_PIECES = 32
 DICTIONARY_BYTES, PIECE_BYTES, LEVEL = 112 << 10, 2048, 3
 #: A piece of dictionary training must be seen by at least so many samples.
 LEAST_SAMPLES = 16
@@ -48,6 +53,25 @@ def in_pieces(text: bytes) -> list[bytes]:
     return [text[i : i + PIECE_BYTES] for i in range(0, len(text), PIECE_BYTES)]
 
 
+def sampled(text: bytes, place: str) -> bytes:
+    """The text, or of a long one ``TEXT_PIECES`` pieces in their order."""
+    pieces = in_pieces(text)
+    if len(pieces) <= TEXT_PIECES:
+        return text
+    chosen = sorted(range(len(pieces)), key=lambda i: (zlib.crc32(f"{place}/{i}".encode()), i))
+    return b"".join(pieces[i] for i in sorted(chosen[:TEXT_PIECES]))
+
+
+def fitting(rows: list, limit: int) -> list[tuple]:
+    """(doc_id, quality) of the rows that fit into ``limit`` bytes of their class, by place."""
+    found, held = [], {0: 0, 1: 0}
+    for row in sorted(rows, key=lambda r: r["place"]):
+        if held[row["quality"]] + row["bytes"] <= limit:
+            held[row["quality"]] += row["bytes"]
+            found.append((row["doc_id"], row["quality"]))
+    return found
+
+
 @lru_cache(2)
 def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     known = zstandard.ZstdCompressionDict(dictionary)
@@ -103,32 +127,40 @@ def learn(
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
         .filter("quality = other")
-        .select("doc_id", "quality", F.md5(F.col("doc_id").cast("string")).alias("place"))
+        .select("doc_id", F.col("quality").cast("int"), F.md5(F.col("doc_id").cast("string")).alias("place"))
     )
     totals = {r["quality"]: r["count"] for r in agreed.groupBy("quality").count().collect()}
     some = None
     for quality in (0, 1):
         of_class = agreed.filter(F.col("quality") == quality).orderBy("place").limit(sample_rows)
         some = of_class if some is None else some.unionByName(of_class)
-    sample = scratch(
-        docs.sparkSession,
-        docs.select("doc_id", "text")
+    labelled = (
+        docs.select(F.col("doc_id").cast("long"), "text")
         .join(F.broadcast(some), "doc_id")  # 2 * sample_rows
         .groupBy("doc_id", "quality", "place")
-        .agg(F.max(F.coalesce("text", F.lit(""))).alias("text")),
-        "labelled",
+        .agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
     )
-    upto = F.sum("bytes").over(Window.partitionBy("quality").orderBy("place"))
-    fitting = (
-        sample.select("doc_id", "quality", "place", F.octet_length("text").alias("bytes"))
-        .withColumn("upto", upto)
-        .filter(F.col("upto") <= sample_bytes)
-        .select("doc_id")
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("quality", pa.int32()), ("place", pa.string()), ("part", pa.binary())]
+    )
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.column("place").to_pylist()
+            part = [sampled(t, p) for t, p in zip(as_bytes(batch), places, strict=True)]
+            yield arrow({c: batch.column(c) for c in ("doc_id", "quality", "place")} | {"part": part}, schema)
+
+    sample = scratch(
+        docs.sparkSession,
+        labelled.mapInArrow(parts, "doc_id long, quality int, place string, part binary"),
+        "labelled",
     )
-    texts = sample.join(F.broadcast(fitting), "doc_id").select("quality", "place", "text").collect()
+    sizes = sample.select("doc_id", "quality", "place", F.octet_length("part").alias("bytes"))
+    chosen = docs.sparkSession.createDataFrame(fitting(sizes.collect(), sample_bytes), "doc_id long, quality int")
+    texts = sample.join(F.broadcast(chosen), ["doc_id", "quality"]).select("quality", "place", "part").collect()
     kinds: dict[int, list[bytes]] = {0: [], 1: []}
     for row in sorted(texts, key=lambda r: r["place"]):
-        kinds[row["quality"]].append(row["text"].encode())
+        kinds[row["quality"]].append(bytes(row["part"]))
     n = sum(totals.values())
     if min(map(len, kinds.values())) < 2:
         return Model(b"", b"", (0.0,), (totals.get(1, 0) / n if n else 0.5,))

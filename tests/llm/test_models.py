@@ -176,6 +176,22 @@ def test_without_labels(spark, labelled, folder, empty):
     assert model.score == (1.0,)
 
 
+def test_a_very_long_text_does_not_displace_the_others(spark, labelled):
+    import hashlib
+
+    docs, labels = labelled
+    first = min((i for i in range(700) if i % 4 == 0), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    long = spark.createDataFrame([(first, "LONG$$$ " * (20 * 2**20 // 8))], "doc_id long, text string")
+    rest = docs.filter(f"doc_id IS NOT NULL AND doc_id <> {first} AND doc_id < 700")
+    model = quality_model.learn(rest.unionByName(long), labels.select("doc_id", "quality"))
+    assert model.bad and model.good and model.score[0] < 0.2 < 0.8 < model.score[-1]
+
+
+def test_what_does_not_fit_is_passed_over():
+    rows = [{"doc_id": i, "quality": 0, "place": str(i), "bytes": b} for i, b in enumerate((4, 9, 5, 2, 1))]
+    assert [i for i, _ in quality_model.fitting(rows, 10)] == [0, 2, 4]
+
+
 def test_calibration_rises():
     rng = np.random.default_rng(0)
     x = rng.normal(size=500)
