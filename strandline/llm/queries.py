@@ -6,6 +6,7 @@ import corpus_pipeline
 from strandline.llm import (
     bpe,
     chat,
+    chunk_bpe,
     exact_dedup,
     fertility,
     line_dedup,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_chat_format": chat.op8,
     "op9_fertility_rules": fertility.op9,
     "op10_exact_dedup": exact_dedup.op10,
+    "op11_chunk_reuse_bpe": chunk_bpe.op11,
     "pipeline": corpus_pipeline.run,
 }
 
