@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from strandline.llm import (
+    ball_codes,
     bpe,
     chat,
     chunk_bpe,
@@ -11,6 +12,7 @@ from strandline.llm import (
     fertility,
     line_dedup,
     lm_score,
+    merkle,
     mixing,
     quality_model,
     simhash,
@@ -29,6 +31,8 @@ QUERIES = {
     "op9_fertility_rules": fertility.op9,
     "op10_exact_dedup": exact_dedup.op10,
     "op11_chunk_reuse_bpe": chunk_bpe.op11,
+    "op12_ball_codes": ball_codes.op12,
+    "op13_merkle_manifest": merkle.op13,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -37,4 +41,6 @@ ORACLES = {
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op8_chat_format": chat.OP8_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
+    "op12_ball_codes": ball_codes.OP12_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }
