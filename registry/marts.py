@@ -12,6 +12,7 @@ from strandline.operators import answers, quality
 from strandline.plans import build
 from strandline.plans import compliance as C
 from strandline.plans import entitlement as E
+from strandline.plans import repayment as R
 from strandline.plans import staging as S
 from strandline.session import shared_dir
 
@@ -433,6 +434,76 @@ def live_section(spark, sf):
 def reinvestment_deadline(spark, sf):
     return C.reinvestment_deadlines(entitlement(spark, sf), I.investments(spark, sf))
 
+# Month by month: an obligation takes what was paid by its deadline and is not taken yet.
+_MATCHED = f"""WITH RECURSIVE {_ENTITLEMENT}, investments AS ({I.INVESTMENTS_SQL}),
+    owed AS MATERIALIZED (
+        SELECT facility_id, consumption_month, CAST(consumption_month + INTERVAL 48 MONTH AS DATE) AS deadline,
+               CAST(subsidy_entitlement_eur * 0.5 AS DECIMAL(18,3)) AS obligation_eur,
+               row_number() OVER (PARTITION BY facility_id ORDER BY consumption_month) AS k
+        FROM entitlement WHERE subsidy_eligible
+    ),
+    paid AS MATERIALIZED (
+        SELECT facility_id, investment_date AS paid_on, CAST(sum(amount_eur) AS DECIMAL(18,3)) AS paid_eur
+        FROM investments WHERE status = 'confirmed' GROUP BY ALL HAVING sum(amount_eur) > 0
+    ),
+    by_then AS MATERIALIZED (
+        SELECT o.facility_id, consumption_month, deadline, obligation_eur, k,
+               CAST(coalesce(sum(paid_eur), 0) AS DECIMAL(18,3)) AS money
+        FROM owed o LEFT JOIN paid p ON o.facility_id = p.facility_id AND paid_on <= deadline
+        GROUP BY ALL
+    ),
+    steps AS (
+        SELECT facility_id, CAST(0 AS BIGINT) AS k, CAST(0 AS DECIMAL(18,3)) AS met, CAST(0 AS DECIMAL(18,3)) AS upto
+        FROM by_then WHERE k = 1
+        UNION ALL
+        SELECT b.facility_id, b.k, CAST(least(b.obligation_eur, b.money - s.upto) AS DECIMAL(18,3)),
+               CAST(s.upto + least(b.obligation_eur, b.money - s.upto) AS DECIMAL(18,3))
+        FROM steps s JOIN by_then b ON b.facility_id = s.facility_id AND b.k = s.k + 1
+    ),
+    repaid AS MATERIALIZED (
+        SELECT facility_id, consumption_month, deadline, obligation_eur, met AS invested_in_time_eur,
+               CAST(obligation_eur - met AS DECIMAL(18,3)) AS principal_to_repay_eur, upto - met AS met_before, upto
+        FROM steps JOIN by_then USING (facility_id, k)
+    )"""
+
+
+@query("reinvestment_matching", f"{_MATCHED} SELECT * EXCLUDE (met_before, upto) FROM repaid")
+def reinvestment_matching(spark, sf):
+    """Principal to repay for each month, payments going to the earliest deadline first."""
+    return R.repayment(entitlement(spark, sf), I.investments(spark, sf))
+
+
+@query(
+    "reinvestment_allocations",
+    f"""{_MATCHED}, line AS (
+        SELECT *, sum(paid_eur) OVER (PARTITION BY facility_id ORDER BY paid_on) AS pay_end FROM paid
+    )
+    SELECT r.facility_id, r.consumption_month, paid_on,
+           CAST(least(r.upto, pay_end) - greatest(r.met_before, pay_end - paid_eur) AS DECIMAL(18,3)) AS amount
+    FROM repaid r JOIN line l ON r.facility_id = l.facility_id
+         AND r.met_before < pay_end AND pay_end - paid_eur < r.upto AND r.met_before < r.upto""",
+)
+def reinvestment_allocations(spark, sf):
+    """Which day's investments met which month's obligation."""
+    paid = R.confirmed_payments(I.investments(spark, sf))
+    return R.allocations(R.match_deadlines(R.monthly_obligations(entitlement(spark, sf)), paid), paid)
+
+
+@query(
+    "reinvestment_overdue",
+    f"""{_MATCHED} SELECT facility_id, CAST(sum(obligation_eur) AS DECIMAL(18,3)) AS obligation_eur,
+        CAST(coalesce(sum(principal_to_repay_eur) FILTER (deadline < DATE '2001-07-01'), 0) AS DECIMAL(18,3))
+            AS overdue_eur,
+        CAST(coalesce(sum(principal_to_repay_eur) FILTER (deadline >= DATE '2001-07-01'), 0) AS DECIMAL(18,3))
+            AS still_to_meet_eur,
+        min(deadline) FILTER (deadline >= DATE '2001-07-01' AND principal_to_repay_eur > 0) AS next_deadline,
+        count(*) FILTER (deadline < DATE '2001-07-01' AND principal_to_repay_eur > 0) AS months_overdue
+    FROM repaid GROUP BY facility_id""",
+)
+def reinvestment_overdue(spark, sf):
+    repaid = R.repayment(entitlement(spark, sf), I.investments(spark, sf))
+    return R.repayment_by_facility(repaid, F.expr("DATE '2001-07-01'"))
+
 
 # --- quality ------------------------------------------------------------------------
 
