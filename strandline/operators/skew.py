@@ -138,6 +138,13 @@ def find_hot_keys(
     return HotKeys(keys, order_by, spark.read.schema(cuts.schema).parquet(path))
 
 
+def kept_small(spark, table: DataFrame, purpose: str) -> DataFrame:
+    """A small table that tasks must agree on, written to the shared folder."""
+    path = shared_dir(spark, purpose)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def crowded(log: DataFrame, message_key: str = "key", rows_per_slice: int | None = None) -> bool:
     """Whether a message key has more rows than one slice."""
     return bool(_slice_counts(_hashed(log, [message_key]), rows_per_slice)[1])
