@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry import inputs as I
-from registry.core import query
+from registry.core import ORACLES, query
 from registry.marts import LIVE_SQL, live_section
 from strandline.functions import text as T
 from strandline.functions import vector
@@ -162,17 +162,13 @@ def vectors(spark, sf):
 
 
 def questions(spark, sf):
-    """One question per label: the label's first vector."""
-    return (
-        vectors(spark, sf)
-        .groupBy(F.col("label").cast("bigint").alias("query_id"))
-        .agg(F.min_by("vector", "vector_id").alias("vector"))
-    )
+    """Every vector whose id is divisible by 100, as a question to all of them."""
+    asked = I.table(spark, sf, "embeddings").where("vec_id % 100 = 0")
+    return asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
 
 
 _NEAREST = """WITH questions AS (
-    SELECT CAST(label AS BIGINT) AS query_id, arg_min(embedding, vec_id) AS vector
-    FROM embeddings GROUP BY label),
+    SELECT vec_id AS query_id, embedding AS vector FROM embeddings WHERE vec_id % 100 = 0),
 scored AS (
     SELECT query_id, vec_id AS vector_id,
            round(1 - list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(vector AS DOUBLE[])), 12)
@@ -194,20 +190,22 @@ def knn_cosine(spark, sf):
 
 
 # Small cells, so that the small tables have some to choose from.
-_PER_CELL, _PROBES, _DIMENSIONS, _MOST_BITS = 32, 24, 64, 16
+_PER_CELL, _DIMENSIONS, _MOST_BITS = 32, 64, 16
 
 
 def _index(spark, sf):
     return retrieval.index_rebuild(vectors(spark, sf), shared_dir(spark, "vector-index"), _DIMENSIONS, _PER_CELL)
 
 
-def _approximate(spark, sf, probes):
-    return retrieval.knn_approx(
-        _index(spark, sf), questions(spark, sf), _DIMENSIONS, per_cell=_PER_CELL, probes=probes
-    )
+def _approximate(spark, sf, probes=None):
+    return retrieval.knn_approx(_index(spark, sf), questions(spark, sf), probes=probes)
 
 
-# The planes are fixed values; a table uses the first of them, by its size.
+# The planes are fixed values; a table uses the first of them, by its size, and asks as many
+# cells as their number asks for.
+_PROBES_BY_BITS = ", ".join(
+    f"({bits}, {retrieval.probes_for(bits, _DIMENSIONS, _PER_CELL)})" for bits in range(1, _MOST_BITS + 1)
+)
 _PLANES = ", ".join(
     f"({bit}, {plane!r})" for bit, plane in enumerate(retrieval.hyperplanes(_DIMENSIONS, _MOST_BITS).tolist())
 )
@@ -230,7 +228,8 @@ costs AS (
     FROM margins, (SELECT unnest(range(1 << bits)) AS cell FROM size) c GROUP BY query_id, c.cell),
 probed AS (
     SELECT query_id, cell FROM costs
-    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY cost, cell) <= {_PROBES}),
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY cost, cell)
+        <= (SELECT probes FROM (VALUES {_PROBES_BY_BITS}) b(bits, probes) JOIN size USING (bits))),
 approximate AS (
     SELECT s.query_id, s.vector_id, distance,
            CAST(row_number() OVER (PARTITION BY s.query_id ORDER BY distance, s.vector_id) AS INTEGER) AS rank
@@ -243,7 +242,7 @@ approximate AS (
     "SELECT count(*) AS vectors, count(DISTINCT vec_id) AS distinct_ids FROM embeddings",
 )
 def index_rebuild(spark, sf):
-    return _index(spark, sf).agg(
+    return _index(spark, sf).rows.agg(
         F.count("*").alias("vectors"), F.count_distinct("vector_id").alias("distinct_ids")
     )
 
@@ -254,7 +253,7 @@ def index_rebuild(spark, sf):
     FROM approximate WHERE rank <= 3""",
 )
 def knn_approx(spark, sf):
-    return _approximate(spark, sf, _PROBES).drop("distance")
+    return _approximate(spark, sf).drop("distance")
 
 
 @query(
@@ -264,7 +263,7 @@ def knn_approx(spark, sf):
 )
 def knn_approx_all_cells(spark, sf):
     """With every cell probed the approximate search is the exact one."""
-    return _approximate(spark, sf, 1 << _MOST_BITS).drop("distance")
+    return _approximate(spark, sf, "all").drop("distance")
 
 
 @query(
@@ -277,39 +276,37 @@ def knn_approx_all_cells(spark, sf):
 )
 def knn_approx_recall(spark, sf):
     exact = retrieval.knn_cosine(vectors(spark, sf), questions(spark, sf))
-    return retrieval.recall(_approximate(spark, sf, _PROBES), exact)
+    return retrieval.recall(_approximate(spark, sf), exact)
 
 
-# The same with probes that follow the number of cells, so that recall holds.
-_PROBES_BY_BITS = ", ".join(
-    f"({bits}, {retrieval.probes_for(bits, _DIMENSIONS, _PER_CELL)})" for bits in range(1, _MOST_BITS + 1)
-)
-_SIZED = _APPROXIMATE.replace(
-    f"<= {_PROBES})",
-    f"<= (SELECT probes FROM (VALUES {_PROBES_BY_BITS}) b(bits, probes) JOIN size USING (bits)))",
-)
+def _grown(spark, sf):
+    """An index built from the even ids, with the others added to its cells."""
+    path, every = shared_dir(spark, "grown-index"), vectors(spark, sf)
+    retrieval.index_rebuild(every.where("vector_id % 2 = 0"), path, _DIMENSIONS, _PER_CELL)
+    retrieval.index_add(path, every.where("vector_id % 2 <> 0"))
+    return retrieval.open_index(spark, path)
 
 
 @query(
-    "knn_approx_sized",
-    f"""{_SIZED} SELECT query_id, vector_id, rank, round(1 - distance, 3) + 0.0 AS similarity
-    FROM approximate WHERE rank <= 3""",
+    "knn_approx_grown",
+    f"""{_NEAREST} SELECT query_id, vector_id, rank, round(1 - distance, 3) + 0.0 AS similarity
+    FROM nearest WHERE rank <= 3""",
 )
+def knn_approx_grown(spark, sf):
+    """An index that rows were added to is searched by the planes it was built with."""
+    found = retrieval.knn_approx(_grown(spark, sf), questions(spark, sf), probes="all")
+    return found.drop("distance")
+
+
+# The name these had while others asked a fixed number of cells.
+@query("knn_approx_sized", ORACLES["knn_approx"])
 def knn_approx_sized(spark, sf):
-    return _approximate(spark, sf, None).drop("distance")
+    return knn_approx(spark, sf)
 
 
-@query(
-    "knn_approx_sized_recall",
-    f"""{_SIZED} SELECT count(*) AS neighbours, count(a.vector_id) AS found,
-        count(a.vector_id) / CAST(count(*) AS DOUBLE) AS recall
-    FROM (SELECT * FROM nearest WHERE rank <= 3) n
-    LEFT JOIN (SELECT * FROM approximate WHERE rank <= 3) a
-         ON n.query_id = a.query_id AND n.vector_id = a.vector_id""",
-)
+@query("knn_approx_sized_recall", ORACLES["knn_approx_recall"])
 def knn_approx_sized_recall(spark, sf):
-    exact = retrieval.knn_cosine(vectors(spark, sf), questions(spark, sf))
-    return retrieval.recall(_approximate(spark, sf, None), exact)
+    return knn_approx_recall(spark, sf)
 
 
 @query(
@@ -343,10 +340,8 @@ def retrieve_chunks(spark, sf):
     FROM embeddings e JOIN questions q ON e.label = q.label""",
 )
 def similarity_round(spark, sf):
-    """Every vector against its own label's question."""
-    asked = questions(spark, sf).select(
-        F.col("query_id").cast("int").alias("label"), F.col("vector").alias("question")
-    )
+    """Every vector against its own label's first."""
+    asked = vectors(spark, sf).groupBy("label").agg(F.min_by("vector", "vector_id").alias("question"))
     distance = F.round(vector.cosine_distance(F.col("vector"), F.col("question")), 12)
     return (
         vectors(spark, sf)

@@ -1,24 +1,25 @@
-"""Cosine top-k: exact over all cells, approximate over the likeliest ones.
-
-The collection lies in cells; a question goes to the cells it asks, and meets the
-vectors there by an equi-join on the cell. Crowded cells are cut into parts, and
-the questions of much-asked ones into blocks, so that a group is a bounded number
-of questions and vectors: one matrix product, of which at most k rows per question
-are left. The exact search is the same with a single cell. Nothing pairs questions
-and vectors as rows, and neither side passes through the driver.
+"""Cosine top-k: exact over all vectors, approximate over the likeliest cells.
+
+The exact search deals vectors out over parts and questions over blocks; a group is a
+bounded number of both, and one matrix product, of which at most k rows per question are
+left. The approximate one has the collection in cells; a question goes to the cells it
+asks, and crowded cells are cut into parts and blocks the same way. Nothing pairs
+questions and vectors as rows, and neither side passes through the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from math import erf, sqrt
+from math import ceil, erf, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandline.session import shared_dir
 from strandline.sources.tables import balanced
 
 # Vectors and questions in one group.
@@ -36,6 +37,8 @@ TARGET_RECALL = 0.93
 _TRIAL_QUESTIONS, _TRIAL_CELLS = 256, 1 << 24
 # Neighbours that are sent to the chunks; more are joined by a shuffle.
 _BROADCAST_ROWS = 100_000
+# Where the parts of an index lie.
+_CELLS, _PLANES = "cells", "planes"
 
 
 def similarity(distance: Column) -> Column:
@@ -92,23 +95,23 @@ def _rank(found: DataFrame, k: int) -> DataFrame:
 _FOUND = "query_id bigint, vector_id bigint, distance double"
 
 
-def _counted(rows: DataFrame, name: str, each: int) -> DataFrame:
-    return rows.groupBy("cell").agg(F.ceil(F.count("*") / each).cast("int").alias(name))
+def _own(column: str, parts: Column | int, name: str) -> Column:
+    number = parts if isinstance(parts, Column) else F.lit(parts)
+    return F.pmod(F.xxhash64(column), number).cast("int").alias(name)
 
 
-def _search(vectors: DataFrame, questions: DataFrame, k: int) -> DataFrame:
-    """Top k where ``cell`` is equal; both sides have one."""
-    parts = _counted(vectors.select("cell"), "parts", VECTORS_PER_GROUP)
-    blocks = _counted(questions.select("cell"), "blocks", QUESTIONS_PER_GROUP)
-    sizes = parts.join(blocks, "cell")
-    all_parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    own_part = F.pmod(F.xxhash64("vector_id"), F.col("parts")).cast("int").alias("part")
-    own_block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block")
-    left = questions.join(sizes, "cell").select("query_id", "vector", "cell", own_block, all_parts)
-    right = vectors.join(sizes, "cell").select("vector_id", "vector", "cell", own_part, all_blocks)
-    group = ["cell", "part", "block"]
-    found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(_top_k(k), _FOUND)
+def _each(number: Column | int, name: str) -> Column:
+    number = number if isinstance(number, Column) else F.lit(number)
+    return F.explode(F.sequence(F.lit(0), number - 1)).alias(name)
+
+
+def _fresh(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns under new identities, so that a table can be searched for its own rows."""
+    return df.select(*[F.col(c).alias(c) for c in columns])
+
+
+def _met(questions: DataFrame, vectors: DataFrame, group: list[str], k: int) -> DataFrame:
+    found = questions.groupBy(*group).cogroup(vectors.groupBy(*group)).applyInArrow(_top_k(k), _FOUND)
     return _rank(found, k)
 
 
@@ -117,19 +120,39 @@ def knn_cosine(vectors: DataFrame, questions: DataFrame, k: int = TOP_K) -> Data
 
     ``vectors`` has ``vector_id`` and ``vector``, ``questions`` has
     ``query_id`` and ``vector``. Columns: query_id, vector_id, rank, distance,
-    similarity.
+    similarity. Both are counted first; no vector is read for that.
     """
+    parts = max(1, ceil(vectors.count() / VECTORS_PER_GROUP))
+    blocks = max(1, ceil(questions.count() / QUESTIONS_PER_GROUP))
     known = F.col("vector").isNotNull()
-    everywhere = F.lit(0).alias("cell")
-    return _search(
-        vectors.where(known).select("vector_id", "vector", everywhere),
-        questions.where(known).select("query_id", "vector", everywhere),
-        k,
+    asked = _fresh(questions.where(known), "query_id", "vector").select(
+        "query_id", "vector", _own("query_id", blocks, "block"), _each(parts, "part")
     )
+    there = _fresh(vectors.where(known), "vector_id", "vector").select(
+        "vector_id", "vector", _own("vector_id", parts, "part"), _each(blocks, "block")
+    )
+    return _met(asked, there, ["part", "block"], k)
+
+
+def _counted(rows: DataFrame, name: str, each: int) -> DataFrame:
+    return rows.groupBy("cell").agg(F.ceil(F.count("*") / each).cast("int").alias(name))
+
+
+def _search(vectors: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """Top k where ``cell`` is equal; both sides have one."""
+    vectors = _fresh(vectors, "vector_id", "vector", "cell")
+    questions = _fresh(questions, "query_id", "vector", "cell")
+    parts = _counted(vectors.select("cell"), "parts", VECTORS_PER_GROUP)
+    blocks = _counted(questions.select("cell"), "blocks", QUESTIONS_PER_GROUP)
+    sizes = parts.join(blocks, "cell")
+    block, part = _own("query_id", F.col("blocks"), "block"), _own("vector_id", F.col("parts"), "part")
+    asked = questions.join(sizes, "cell").select("query_id", "vector", "cell", block, _each(F.col("parts"), "part"))
+    there = vectors.join(sizes, "cell").select("vector_id", "vector", "cell", part, _each(F.col("blocks"), "block"))
+    return _met(asked, there, ["cell", "part", "block"], k)
 
 
 def hyperplanes(dimensions: int, bits: int) -> np.ndarray:
-    # Seeded: the index and every search must use the same planes.
+    # Seeded, so that an index built again has the same cells; each keeps its own planes.
     return np.random.default_rng(20_240_229).standard_normal((bits, dimensions))
 
 
@@ -195,25 +218,59 @@ def _cell_numbers(planes: np.ndarray):
     return run
 
 
+@dataclass(frozen=True)
+class VectorIndex:
+    """A collection in cells, with the planes that make them, as they lie in the index."""
+
+    rows: DataFrame  # vector_id, vector, cell
+    planes: np.ndarray
+    per_cell: int
+
+    @property
+    def cells(self) -> int:
+        return 1 << len(self.planes)
+
+
 def index_rebuild(
     vectors: DataFrame, path: str, dimensions: int, per_cell: int = VECTORS_PER_CELL
-) -> DataFrame:
+) -> VectorIndex:
     """Write the whole collection anew, partitioned by cell, and read it back.
 
     A cell is the pattern of sides a vector is on of random hyperplanes, as
     many as the collection needs; near vectors share most sides. Cells need no
-    training and no shuffle to compute. A crowded cell is split over files.
+    training and no shuffle to compute. A crowded cell is split over files. The
+    planes are written last, beside the cells: a search reads them from there, so
+    it can't ask by others than the index was built with.
     """
+    spark = vectors.sparkSession
     clean = vectors.select("vector_id", "vector").where(F.col("vector").isNotNull())
     planes = hyperplanes(dimensions, bits_for(clean.count(), per_cell))
     kind = clean.schema["vector"].dataType.simpleString()
     cells = clean.mapInArrow(_cell_numbers(planes), f"vector_id bigint, vector {kind}, cell int")
-    balanced(cells, "cell").write.mode("error").partitionBy("cell").parquet(path)
-    return open_index(vectors.sparkSession, path)
+    balanced(cells, "cell").write.mode("error").partitionBy("cell").parquet(f"{path}/{_CELLS}")
+    made = [(bit, plane.tolist(), per_cell) for bit, plane in enumerate(planes)]
+    listed = spark.createDataFrame(made, "bit int, plane array<double>, per_cell int").coalesce(1)
+    listed.write.mode("error").parquet(f"{path}/{_PLANES}")
+    return open_index(spark, path)
+
+
+def index_add(index_path: str, vectors: DataFrame) -> None:
+    """Append vectors to the cells of an index, by its own planes."""
+    planes = open_index(vectors.sparkSession, index_path).planes
+    clean = vectors.select("vector_id", "vector").where(F.col("vector").isNotNull())
+    kind = clean.schema["vector"].dataType.simpleString()
+    cells = clean.mapInArrow(_cell_numbers(planes), f"vector_id bigint, vector {kind}, cell int")
+    balanced(cells, "cell").write.mode("append").partitionBy("cell").parquet(f"{index_path}/{_CELLS}")
+
+
+def open_index(spark: SparkSession, path: str) -> VectorIndex:
+    listed = spark.read.parquet(f"{path}/{_PLANES}").orderBy("bit").collect()  # one row for each bit
+    rows = spark.read.schema(f"vector_id bigint, vector {_kind(spark, path)}, cell int").parquet(f"{path}/{_CELLS}")
+    return VectorIndex(rows, np.array([r.plane for r in listed]), listed[0].per_cell)
 
 
-def open_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def _kind(spark: SparkSession, path: str) -> str:
+    return spark.read.parquet(f"{path}/{_CELLS}").schema["vector"].dataType.simpleString()
 
 
 def _probed(planes: np.ndarray, probes: int):
@@ -245,36 +302,35 @@ def _probed(planes: np.ndarray, probes: int):
 
 
 def knn_approx(
-    index: DataFrame,
-    questions: DataFrame,
-    dimensions: int,
-    k: int = TOP_K,
-    per_cell: int = VECTORS_PER_CELL,
-    probes: int | None = None,
+    index: VectorIndex, questions: DataFrame, k: int = TOP_K, probes: int | str | None = None
 ) -> DataFrame:
     """Like ``knn_cosine``, asking only the ``probes`` likeliest cells per question,
-    by default as many as the number of cells asks for.
+    by default as many as the number of cells asks for, and all of them for ``"all"``.
 
     The cell is a partition column and the join's key, so cells nobody asks are
     not opened. Cells are taken in order of how little a question would have to
     move to be in them; as many probes as there are cells give the exact answer.
     """
-    bits = bits_for(index.count(), per_cell)
-    planes = hyperplanes(dimensions, bits)
+    bits, dimensions = index.planes.shape
     if probes is None:
-        probes = probes_for(bits, dimensions, per_cell, k)
+        probes = probes_for(bits, dimensions, index.per_cell, k)
+    elif probes == "all":
+        probes = index.cells
     asked = questions.select("query_id", "vector").where(F.col("vector").isNotNull())
     kind = asked.schema["vector"].dataType.simpleString()
-    spread = asked.mapInArrow(_probed(planes, probes), f"query_id bigint, vector {kind}, cell int")
-    return _search(index.select("vector_id", "vector", "cell"), spread, k)
+    spread = asked.mapInArrow(_probed(index.planes, probes), f"query_id bigint, vector {kind}, cell int")
+    return _search(index.rows, spread, k)
 
 
 def retrieve_chunks(neighbours: DataFrame, chunks: DataFrame, chunk_id: str = "vector_id") -> DataFrame:
     """Each neighbour with its chunk's columns: text, source, title, url, date.
 
-    The neighbours are few: as long as they are, they travel to the chunks.
+    The search is run once: its few rows are written to the shared folder, counted
+    there, and travel to the chunks as long as they are few.
     """
-    found = neighbours.withColumnRenamed("vector_id", chunk_id)
+    spark, path = neighbours.sparkSession, shared_dir(neighbours.sparkSession, "neighbours")
+    neighbours.withColumnRenamed("vector_id", chunk_id).write.parquet(path)
+    found = spark.read.parquet(path)
     if found.count() <= _BROADCAST_ROWS:
         found = F.broadcast(found)
     return chunks.join(found, chunk_id)

@@ -126,3 +126,18 @@ def test_price_blocks_are_parsed_once(spark):
         P.parse_blocks(blocks, "document"), F.timestamp_seconds(F.lit(0)), F.current_timestamp()
     )
     assert plan(series).count("from_json") == 1
+
+
+@pytest.mark.parametrize("name", ["knn_cosine", "knn_approx"])
+def test_vector_search_has_no_product(spark, name):
+    from registry import QUERIES
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES[name](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Cartesian" not in text and "NestedLoop" not in text
+    if name == "knn_cosine":  # the vectors, and the few of them that are questions
+        assert "Join" not in text and text.count("FileScan") == 2

@@ -74,11 +74,11 @@ def test_index_holds_everything_and_all_probes_are_exact(spark, data, tmp_path):
     questions = np.delete(questions, 3, axis=0)
     table, asked = frame(spark, vectors, "vector_id"), frame(spark, questions, "query_id")
     index = retrieval.index_rebuild(table, str(tmp_path / "index"), 16, per_cell=100)
-    assert index.count() == 700 and retrieval.bits_for(700, 100) == 3
+    assert index.rows.count() == 700 and retrieval.bits_for(700, 100) == 3
     exact = retrieval.knn_cosine(table, asked)
-    every = retrieval.knn_approx(index, asked, 16, per_cell=100, probes=8)
+    every = retrieval.knn_approx(index, asked, probes="all")
     assert collected(every) == collected(exact)
-    some = retrieval.knn_approx(index, asked, 16, per_cell=100, probes=5)
+    some = retrieval.knn_approx(index, asked, probes=5)
     share = retrieval.recall(some, exact).first().recall
     assert 0.5 <= share <= 1.0
 
@@ -87,11 +87,11 @@ def test_only_probed_cells_are_compared(spark, data, tmp_path):
     vectors, questions = data
     index = retrieval.index_rebuild(frame(spark, vectors, "vector_id"), str(tmp_path / "one"), 16, per_cell=100)
     asked = frame(spark, questions[:1], "query_id")
-    found = retrieval.knn_approx(index, asked, 16, k=700, per_cell=100, probes=1)
-    cells = {r.cell for r in found.join(index, "vector_id").select("cell").distinct().collect()}
+    found = retrieval.knn_approx(index, asked, k=700, probes=1)
+    cells = {r.cell for r in found.join(index.rows, "vector_id").select("cell").distinct().collect()}
     assert len(cells) == 1
     cell = cells.pop()
-    assert found.count() == index.where(f"cell = {cell}").count()
+    assert found.count() == index.rows.where(f"cell = {cell}").count()
 
 
 def test_cells_double_with_the_collection():
@@ -111,7 +111,45 @@ def test_recall_holds_as_cells_double(spark, tmp_path, n):
     vectors, questions = rng.standard_normal((n, 64)), rng.standard_normal((60, 64))
     table, asked = frame(spark, vectors, "vector_id"), frame(spark, questions, "query_id")
     index = retrieval.index_rebuild(table, str(tmp_path / "index"), 64, per_cell=32)
-    found = retrieval.knn_approx(index, asked, 64, per_cell=32)
+    found = retrieval.knn_approx(index, asked)
     assert retrieval.recall(found, retrieval.knn_cosine(table, asked)).first().recall >= 0.9
     bits = retrieval.bits_for(n, 32)
     assert retrieval.probes_for(bits, 64, 32) < 1 << bits
+
+
+def test_a_table_is_searched_for_its_own_rows(spark, data, tmp_path):
+    vectors = np.delete(data[0], 3, axis=0)
+    table = frame(spark, vectors, "vector_id")
+    own = table.where("vector_id % 100 = 0").select(table.vector_id.alias("query_id"), "vector")
+    want = brute_force(vectors, vectors[::100], 3)
+    got = collected(retrieval.knn_cosine(table, own))
+    assert {q // 100: [i for i, _ in rows] for q, rows in got.items()} == {q: [i for i, _ in r] for q, r in want.items()}
+    index = retrieval.index_rebuild(table, str(tmp_path / "own"), 16, per_cell=100)
+    own = index.rows.where("vector_id % 100 = 0").select(index.rows.vector_id.alias("query_id"), "vector")
+    assert collected(retrieval.knn_approx(index, own, probes="all")) == got
+
+
+def test_an_index_keeps_its_planes(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    vectors = rng.standard_normal((3000, 32))
+    table, path = frame(spark, vectors, "vector_id"), str(tmp_path / "index")
+    assert retrieval.index_rebuild(table.where("vector_id < 1000"), path, 32, per_cell=50).cells == 32
+    retrieval.index_add(path, table.where("vector_id >= 1000"))
+    index = retrieval.open_index(spark, path)
+    assert index.cells == 32 and index.rows.count() == 3000
+    own = table.where("vector_id % 100 = 0").select(table.vector_id.alias("query_id"), "vector")
+    exact = retrieval.knn_cosine(table, own)
+    assert retrieval.recall(retrieval.knn_approx(index, own), exact).first().recall >= 0.9
+    assert collected(retrieval.knn_approx(index, own, probes="all")) == collected(exact)
+
+
+def test_neighbours_are_searched_once(spark, data):
+    from pyspark.sql import functions as F
+
+    vectors = np.delete(data[0], 3, axis=0)
+    table = frame(spark, vectors, "vector_id")
+    own = table.where("vector_id % 100 = 0").select(table.vector_id.alias("query_id"), "vector")
+    chunks = table.select("vector_id", F.lit("text").alias("text"))
+    df = retrieval.retrieve_chunks(retrieval.knn_cosine(table, own), chunks)
+    assert df.count() == 21
+    assert "CoGroups" not in df._jdf.queryExecution().executedPlan().toString()
