@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry import inputs as I
-from registry.core import query
+from registry.core import ORACLES, query
 from registry.marts import SUMMARY_SQL, _rounded
 from strandline.functions import decode
 from strandline.operators import asof, envelope, history, kept, skew
 from strandline.plans import compliance as C
 from strandline.plans import entitlement as E
+from strandline.plans import incremental as N
 from strandline.plans import staging as S
 from strandline.session import shared_dir
 
@@ -290,6 +291,18 @@ def scd2_incremental(spark, sf):
     return kept.kept_history(spark, root).select(*_VERSION_COLUMNS)
 
 
+@query("scd2_incremental_by_range", f"WITH {_VERSIONS} SELECT {_VERSION_SELECT} FROM versions")
+def scd2_incremental_by_range(spark, sf):
+    """Buckets of running numbers that the caller chooses; some numbers have none."""
+    root = shared_dir(spark, "kept-by-range")
+    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    number = F.expr("CASE WHEN reading_id % 17 <> 0 THEN reading_id DIV 40000 END")
+    month = F.month("cdc_timestamp") % 2
+    for part in (1, 0):
+        kept.apply_batch(changes.where(month == part), root, "reading_id", I.METER_ORDER, bucket=number)
+    return kept.kept_history(spark, root).select(*_VERSION_COLUMNS)
+
+
 @query(
     "scd2_history_without_deletes",
     f"""WITH {_LOGGED}, folded AS (
@@ -553,6 +566,17 @@ def asof_join_inner(spark, sf):
 # --- from the raw logs to the last mart ----------------------------------------------
 
 
+def followed_marts(spark, sf):
+    """The marts after two batches of the meter log, prices of half the months coming with the second."""
+    root = shared_dir(spark, "followed-marts")
+    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    prices = S.wholesale_prices(I.prices(spark, sf))
+    part = F.pmod(F.xxhash64("bronze_offset", "facility_id", "cdc_timestamp"), F.lit(2))
+    for number, known in ((1, F.month("price_month") % 2 == 0), (0, F.lit(True))):
+        N.apply_changes(changes.where(part == number), root, prices.where(known), I.METER_ORDER, buckets=16, facility_buckets=8)
+    return root, prices
+
+
 _PLAIN_READINGS = f"readings AS ({I.READINGS_SQL})"
 _LOGGED_READINGS = f"""{_VERSIONS},
 readings AS (SELECT facility_id, reading_timestamp, CAST(reported_kwh AS DECIMAL(12,3)) AS reported_kwh,
@@ -579,3 +603,26 @@ def compliance_from_logs(spark, sf):
     complied = C.investment_compliance(C.facility_subsidies(entitled), C.investment_pivot(invested))
     overall = C.compliance_summary(facilities, monthly, entitled, complied)
     return _rounded(overall, "avg_monthly_kwh")
+
+
+@query("marts_from_changes", ORACLES["compliance_from_logs"])
+def marts_from_changes(spark, sf):
+    """The last mart, kept up to date by two batches of changes."""
+    root, _ = followed_marts(spark, sf)
+    made = N.compliance_summary(spark, root, I.facilities(spark, sf), I.investments(spark, sf))
+    return _rounded(made, "avg_monthly_kwh")
+
+
+@query(
+    "running_totals_from_changes",
+    ORACLES["compliance_from_logs"].replace(
+        "SELECT * FROM summary",
+        """SELECT facility_id, consumption_month, total_kwh, subsidy_entitlement_eur, cumulative_subsidy_eur
+        FROM entitlement""",
+    ),
+)
+def running_totals_from_changes(spark, sf):
+    """Entitlement and its running total per facility and month, from the kept sums."""
+    root, prices = followed_marts(spark, sf)
+    entitled = N.subsidy_entitlement(spark, root, I.facilities(spark, sf), prices)
+    return entitled.select("facility_id", "consumption_month", "total_kwh", "subsidy_entitlement_eur", "cumulative_subsidy_eur")

@@ -12,37 +12,73 @@ readers that began with them, until the caller removes them.
 
 Buckets are of a hash of the key. Where keys of one time belong together (running
 numbers), ``bucket`` can be a range of them, so that a batch touches few.
+
+Tables that follow from the history (``plans/incremental.py``) lie beside it, in buckets of
+their own, and are named in the same list, so that they move on together with it.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strandline.operators.envelope import DELETE, LOG_ORDER
 from strandline.operators.history import history
 
-_BUCKET = "bucket"
+BUCKET = "bucket"
+HISTORY = "history"
+# The bucket of rows whose own is NULL.
+NO_BUCKET = -1
 _LIST = "generations"
+_LISTED = f"store string, {BUCKET} int, folder string, generation long"
 _FOLDED = ("valid_from", "valid_to", "is_current")
 
 
-def _generations(spark: SparkSession, root: str) -> dict[int, str]:
+def folders(spark: SparkSession, root: str, store: str = HISTORY) -> dict[int, str]:
     """The folder of each bucket; one row per bucket, whatever the buckets hold."""
-    from pyspark.errors import AnalysisException
-
     try:
-        listed = spark.read.parquet(f"{root}/{_LIST}")
-    except AnalysisException:  # no batch yet
-        return {}
-    newest = listed.groupBy(_BUCKET).agg(F.max_by("folder", "generation").alias("folder"))
-    return {r[_BUCKET]: r["folder"] for r in newest.collect()}
+        listed = spark.read.schema(_LISTED).parquet(f"{root.rstrip('/')}/{_LIST}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}  # no batch yet
+    newest = listed.where(F.col("store") == store).groupBy(BUCKET).agg(F.max_by("folder", "generation").alias("folder"))
+    return {r[BUCKET]: r["folder"] for r in newest.collect()}
 
 
-def apply_batch(
+def rows_of(spark: SparkSession, root: str, paths: Iterable[str], schema: StructType | str) -> DataFrame:
+    """The rows of some buckets' folders; none for no folder."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    paths = [path for path in paths if path]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", root.rstrip("/")).parquet(*paths)
+    return rows.select(*schema.names)
+
+
+def staged(rows: DataFrame, root: str, store: str, touched: Iterable[int]) -> list[tuple[str, int, str]]:
+    """Write the new rows of the touched buckets; nobody reads them before ``publish``."""
+    folder = f"{root.rstrip('/')}/{store}/generation={uuid.uuid4().hex}"
+    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
+    written = rows.sparkSession.read.schema(rows.schema).parquet(folder).select(BUCKET).distinct()
+    there = {r[0] for r in written.collect()}  # the touched buckets, at most
+    # A bucket that became empty has no folder, and is listed as having none.
+    return [(store, b, f"{folder}/{BUCKET}={b}" if b in there else "") for b in touched]
+
+
+def publish(spark: SparkSession, root: str, entries: list[tuple[str, int, str]]) -> None:
+    """Name the new folders, all at once."""
+    listed = spark.createDataFrame(entries, f"store string, {BUCKET} int, folder string")
+    listed = listed.withColumn("generation", F.unix_micros(F.current_timestamp()))
+    listed.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{_LIST}")
+
+
+def folded_batch(
     changes: DataFrame,
     root: str,
     key: str | Sequence[str],
@@ -50,42 +86,54 @@ def apply_batch(
     *,
     buckets: int = 1024,
     bucket: Column | None = None,
-    operation: str = "operation",
-) -> None:
-    """Bring the history below ``root`` up to date with a batch of changes.
+) -> tuple[list[tuple[str, int, str]], list[str]]:
+    """Fold a batch into the buckets it touches, without naming the result yet.
 
-    A change that is there already, by key and place in the order, counts once, so
-    a batch may be applied again. ``buckets`` and ``bucket`` are the same for all
-    batches; each bucket should be small enough for one task.
+    The entries to ``publish``, and the folders that the same buckets had before.
     """
     spark, root = changes.sparkSession, root.rstrip("/")
     keys = [key] if isinstance(key, str) else list(key)
     number = F.pmod(F.xxhash64(*keys), F.lit(buckets)) if bucket is None else bucket
-    batch = changes.withColumn(_BUCKET, number.cast("int"))
-    touched = [r[0] for r in batch.select(_BUCKET).distinct().collect()]  # at most ``buckets``
+    batch = changes.withColumn(BUCKET, F.coalesce(number.cast("int"), F.lit(NO_BUCKET)))
+    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most ``buckets``
     if not touched:
-        return
-    kept = _generations(spark, root)
-    paths = [kept[b] for b in touched if b in kept]
-    if paths:
-        before = spark.read.option("basePath", root).parquet(*paths).drop("generation", *_FOLDED)
-        batch = batch.unionByName(before)
-    once = batch.dropDuplicates([*keys, *order_by])
+        return [], []
+    kept = folders(spark, root)
+    paths = [kept[b] for b in touched if kept.get(b)]
+    before = rows_of(spark, root, paths, batch.schema)
+    once = batch.unionByName(before).dropDuplicates([*keys, *order_by])
     # Deletes stay among the rows, to close what a later batch brings; readers skip them.
     folded = history(once, keys, order_by, operation=None, hot="find")
-    generation = uuid.uuid4().hex
-    folded.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{root}/generation={generation}")
-    entries = [(b, f"{root}/generation={generation}/{_BUCKET}={b}") for b in touched]
-    listed = spark.createDataFrame(entries, f"{_BUCKET} int, folder string")
-    listed = listed.withColumn("generation", F.unix_micros(F.current_timestamp()))
-    listed.coalesce(1).write.mode("append").parquet(f"{root}/{_LIST}")
+    return staged(folded, root, HISTORY, touched), paths
+
+
+def apply_batch(
+    changes: DataFrame,
+    root: str,
+    key: str | Sequence[str],
+    order_by: Sequence[str] = LOG_ORDER,
+    *,
+    buckets: int = 1024,
+    bucket: Column | None = None,
+    operation: str = "operation",
+) -> None:
+    """Bring the history below ``root`` up to date with a batch of changes.
+
+    A change that is there already, by key and place in the order, counts once, so
+    a batch may be applied again. ``buckets`` and ``bucket`` are the same for all
+    batches; each bucket should be small enough for one task. Rows whose bucket is NULL
+    have one of their own.
+    """
+    entries, _ = folded_batch(changes, root, key, order_by, buckets=buckets, bucket=bucket)
+    if entries:
+        publish(changes.sparkSession, root, entries)
 
 
 def kept_history(spark: SparkSession, root: str, operation: str = "operation") -> DataFrame:
     """All versions, from the newest generation of each bucket."""
     root = root.rstrip("/")
-    paths = list(_generations(spark, root).values())
+    paths = [path for path in folders(spark, root).values() if path]
     if not paths:
         raise ValueError(f"no history below {root}")
     kept = spark.read.option("basePath", root).parquet(*paths)
-    return kept.where(F.col(operation) != DELETE).drop(_BUCKET, "generation")
+    return kept.where(F.col(operation) != DELETE).drop(BUCKET, "generation")

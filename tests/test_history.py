@@ -316,7 +316,7 @@ def test_kept_history_reads_only_the_buckets_it_touches(spark, tmp_path):
 
     one = df.where("key = 3").limit(1).withColumn("offset", F.lit(10_000).cast("long"))
     bucket = one.select(F.pmod(F.xxhash64("key"), F.lit(8))).first()[0]
-    others = [f for b, f in kept._generations(spark, root).items() if b != bucket]
+    others = [f for b, f in kept.folders(spark, root).items() if b != bucket]
     for folder in others:  # unreadable from here on
         shutil.move(folder, folder + "-away")
     kept.apply_batch(one, root, "key", ORDER, buckets=8)
