@@ -14,6 +14,7 @@ from strandline.session import shared_dir
 from strandline.sources import prices as P
 from strandline.sources import tables
 from strandline.streaming import changes as SC
+from strandline.streaming import history as SH
 from strandline.streaming import ingest, relay
 
 _TOPICS = {"source.readings": "target.readings", "source.investments": "target.investments"}
@@ -44,22 +45,24 @@ _EVENT_LOG = """log AS (
     FROM events)"""
 
 
-# A second log whose files are known: one for each of so many parts of the events, in order.
-_PARTS, _PARTS_PER_TRIGGER = 8, 2
+# A second log whose files are known: as many as its size asks for, the same number for each
+# of so many parts of the events, in order.
+_PARTS, _PARTS_PER_TRIGGER, _ROWS_PER_FILE = 8, 2, 1_000_000
 _FILES_PER_TRIGGER = 4
 
 
 def write_parted_log(spark, sf):
-    """The log in ``_PARTS`` files, written one after the other, so a stream reads them in order."""
+    """Where the log lies, and how many files a part has; parts are written one after the other."""
     path, log = shared_dir(spark, "parted-log"), build_event_log(spark, sf)
+    files = 1 + log.count() // (_PARTS * _ROWS_PER_FILE)
     for part in range(_PARTS):
-        log.where(F.col("offset") % _PARTS == part).coalesce(1).write.mode("append").parquet(path)
-    return path
+        log.where(F.col("offset") % _PARTS == part).repartition(files).write.mode("append").parquet(path)
+    return path, files
 
 
-def _ingested_in_parts(spark, sf, name, files):
-    options = {"maxFilesPerTrigger": str(files)}
-    path, root = write_parted_log(spark, sf), shared_dir(spark, name)
+def _ingested_in_parts(spark, sf, name, parts):
+    path, files = write_parted_log(spark, sf)
+    options, root = {"maxFilesPerTrigger": str(files * parts)}, shared_dir(spark, name)
     stream = ingest.stream_source(spark, "parquet", options, ingest.LOG_SCHEMA, path)
     ingest.ingest_once(stream, f"{root}/table", f"{root}/checkpoint")
     return spark.read.schema(ingest.BRONZE_SCHEMA).parquet(f"{root}/table")
@@ -114,7 +117,7 @@ def stream_bronze_project(spark, sf):
     FROM events GROUP BY 1""",
 )
 def stream_ingest_stamp(spark, sf):
-    """One file a micro-batch: the messages of each stamp are those of one file."""
+    """One part a micro-batch: the messages of each stamp are those of one part."""
     bronze = _ingested_in_parts(spark, sf, "stamp", 1)
     return bronze.groupBy("ingested_at").agg(
         F.min(F.col("offset") % _PARTS).alias("part"),
@@ -195,9 +198,8 @@ def topic_relay(spark, sf):
 def relay_progress(spark, sf):
     """What the relay says it forwarded in each batch, next to what arrived."""
     root = shared_dir(spark, "relay-progress")
-    log = ingest.stream_source(
-        spark, "parquet", {"maxFilesPerTrigger": "1"}, ingest.LOG_SCHEMA, write_parted_log(spark, sf)
-    )
+    path, files = write_parted_log(spark, sf)
+    log = ingest.stream_source(spark, "parquet", {"maxFilesPerTrigger": str(files)}, ingest.LOG_SCHEMA, path)
     relay.start_relay(
         log, _TOPICS, "parquet", {}, f"{root}/checkpoint", f"{root}/ledger", f"{root}/table"
     ).awaitTermination()
@@ -246,6 +248,26 @@ def stream_duplicate_guard(spark, sf):
     return out.drop("bronze_partition", "ingested_at", "batch_id")
 
 
+@query(
+    "stream_history",
+    """SELECT user_id, event_id, event_type, ts AS valid_from,
+        lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to,
+        lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
+    FROM events""",
+)
+def stream_history(spark, sf):
+    """Versions opened, closed and split by a stream in which events come in no order of time."""
+    root, kinds = shared_dir(spark, "stream-history"), "user_id long, event_id long, event_type string, ts timestamp"
+    path, files = f"{root}/in", max(3, 1 + I.table(spark, sf, "events").count() // _ROWS_PER_FILE)
+    mixed = I.user_changes(spark, sf).select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    mixed.repartition(files, F.xxhash64("event_id")).write.parquet(path)
+    stream = ingest.stream_source(spark, "parquet", {"maxFilesPerTrigger": str(files // 3 + 1)}, kinds, path)
+    told = SH.stream_versions(stream, "user_id", ("ts", "event_id"), lateness="60 days")
+    SH.follow(told, f"{root}/told", f"{root}/checkpoint").awaitTermination()
+    rows = SH.latest(spark, f"{root}/told", "user_id", ("ts", "event_id"), operation=None)
+    return rows.select("user_id", "event_id", "event_type", "valid_from", "valid_to", "is_current")
+
+
 # --- tables --------------------------------------------------------------------------
 
 
