@@ -3,7 +3,9 @@
 A text, lower-cased in A-Z, has a 64-bit fingerprint. Its upper bits are the
 quotient, the rest the remainder. Every task builds a counting quotient filter of
 its fingerprints: which quotients occur, how many remainders each has, the
-remainders in order, and how often each occurs. Filters of one range of quotients
+remainders in order, and how often those occur that occur again. A filter has about
+as many quotients as fingerprints, so its size follows what is in it, however many
+ranges there are. Filters of one range of quotients
 meet in one task and are merged by their sorted remainders; nothing is lost, as
 all bits are kept. A fingerprint counted once belongs to a text without a copy,
 whose bytes never move. Texts of the others are grouped by their bytes, after
@@ -40,7 +42,7 @@ from strandline.llm.common import (
 )
 
 #: Rows whose fingerprints one merging task holds, about; and the fewest ranges.
-RANGE_ROWS, RANGES = 250_000, 64
+RANGE_ROWS, RANGES = 1_000_000, 64
 #: Fingerprints that a task gathers before it writes a filter.
 FILTER_ROWS = 1_000_000
 
@@ -49,9 +51,13 @@ FILTER_ROWS = 1_000_000
 
 
 def geometry(rows: int) -> tuple[int, int]:
-    """(range bits, quotient bits in a range): all filters of a job share them."""
+    """(range bits, most quotient bits in a range): all filters of a job share them."""
     ranges = max(RANGES, rows // RANGE_ROWS + 1)
-    return (ranges - 1).bit_length(), 16
+    return (ranges - 1).bit_length(), 20
+
+
+def _narrow(largest: int) -> str:
+    return "<u1" if largest < 1 << 8 else "<u2" if largest < 1 << 16 else "<u4"
 
 
 def build(prints: np.ndarray, counts: np.ndarray, quotient_bits: int, skip_bits: int) -> bytes:
@@ -61,29 +67,37 @@ def build(prints: np.ndarray, counts: np.ndarray, quotient_bits: int, skip_bits:
     first = np.flatnonzero(np.r_[True, prints[1:] != prints[:-1]]) if len(prints) else []
     distinct = prints[first]
     totals = np.add.reduceat(counts, first).astype("<u8") if len(distinct) else counts.astype("<u8")
-    rest_bits = 64 - skip_bits - quotient_bits
+    bits = min(quotient_bits, max(3, len(distinct).bit_length()))
+    rest_bits = 64 - skip_bits - bits
     own = distinct & np.uint64((1 << (64 - skip_bits)) - 1)
     quotients = (own >> np.uint64(rest_bits)).astype(np.int64)
-    runs = np.bincount(quotients, minlength=1 << quotient_bits)
+    runs = np.bincount(quotients, minlength=1 << bits)
     occupied = np.packbits(runs > 0)
     remainders = own & np.uint64((1 << rest_bits) - 1)
-    parts = (occupied, runs[runs > 0].astype("<u4"), remainders.astype("<u8"), totals)
-    head = np.array([len(distinct), int((runs > 0).sum())], "<u8")
-    return b"".join(x.tobytes() for x in (head, *parts))
+    again = np.flatnonzero(totals > 1)
+    head = np.array([len(distinct), int((runs > 0).sum()), len(again), bits], "<u4")
+    parts = (occupied, runs[runs > 0].astype(_narrow(len(distinct))), remainders.astype("<u8"))
+    return b"".join(x.tobytes() for x in (head, *parts, again.astype("<u4"), totals[again]))
 
 
 def contents(payload: bytes, prefix: int, quotient_bits: int, skip_bits: int):
     """(fingerprints in order, counts) of a filter: nothing was lost."""
-    n, n_runs = (int(x) for x in np.frombuffer(payload, "<u8", 2))
+    n, n_runs, n_again, bits = (int(x) for x in np.frombuffer(payload, "<u4", 4))
     at = 16
-    bitmap = np.frombuffer(payload, np.uint8, (1 << quotient_bits) // 8, at)
-    at += len(bitmap)
-    runs = np.frombuffer(payload, "<u4", n_runs, at)
-    at += 4 * n_runs
-    remainders = np.frombuffer(payload, "<u8", n, at)
-    counts = np.frombuffer(payload, "<u8", n, at + 8 * n)
+
+    def part(kind: str, count: int) -> np.ndarray:
+        nonlocal at
+        found = np.frombuffer(payload, kind, count, at)
+        at += found.nbytes
+        return found
+
+    bitmap = part("<u1", (1 << bits) // 8)
+    runs, remainders = part(_narrow(n), n_runs), part("<u8", n)
+    counts = np.ones(n, np.uint64)
+    again = part("<u4", n_again)
+    counts[again] = part("<u8", n_again)
     quotients = np.repeat(np.flatnonzero(np.unpackbits(bitmap)), runs).astype(np.uint64)
-    rest_bits = 64 - skip_bits - quotient_bits
+    rest_bits = 64 - skip_bits - bits
     upper = np.uint64((prefix << (64 - skip_bits)) & (2**64 - 1)) if skip_bits else np.uint64(0)
     return upper | (quotients << np.uint64(rest_bits)) | remainders, counts
 

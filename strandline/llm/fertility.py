@@ -32,7 +32,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import arrow, as_bytes, documents, prepare, scratch, slices, words
+from strandline.llm.common import (
+    arrow,
+    as_bytes,
+    documents,
+    fresh_name,
+    if_small,
+    numbered,
+    prepare,
+    scratch,
+    slices,
+    words,
+)
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = b"#*$%&|<>"
@@ -69,8 +80,12 @@ BANDS = {
 SCRIPTS = list(BANDS)
 #: A derived band needs so many texts, and so many of each length it is known at.
 LEAST_TEXTS, LEAST_OF_LENGTH = 200, 30
-#: Spreads (median to 84 %) that a text may be from the median: entropy and characters
-#: per token below it, bytes above it; and the least spread of each.
+#: Points of a measure's distribution that a band is read from, and those of them that span
+#: its half. Of all such spans the shortest is the densest half; its middle point is the mode
+#: taken, and its width, of a normal distribution, 1.349 spreads.
+POINTS, HALF, HALF_WIDTH = 20, 10, 1.349
+#: Spreads that a text may be from the mode: entropy and characters per token below it,
+#: bytes above it; and the least spread of each.
 ENTROPY_SPREADS, CHARS_SPREADS, BYTES_SPREADS = 3.5, 6.0, 6.0
 LEAST_SPREADS = (0.05, 0.01, 0.01)
 
@@ -236,9 +251,10 @@ def judged(
             at = length[rows]
             # Below the shortest known length entropy can't fall faster than log2(tokens).
             shorter = np.maximum(known.at[0] - at, 0)
-            floor[rows] = np.interp(at, known.at, known.least_entropy) - shorter
-            least[rows] = np.interp(at, known.at, known.least_chars)
-            most_bytes[rows] = np.interp(at, known.at, known.most_bytes)
+            # Never looser than the fixed bounds: where junk prevails it can't set the rule.
+            floor[rows] = np.maximum(floor[rows], np.interp(at, known.at, known.least_entropy) - shorter)
+            least[rows] = np.maximum(least[rows], np.interp(at, known.at, known.least_chars))
+            most_bytes[rows] = np.minimum(most_bytes[rows], np.interp(at, known.at, known.most_bytes))
     ordinary = (
         (m["chars_per_token"] >= least)
         & (m["chars_per_token"] <= most)
@@ -269,23 +285,35 @@ def language(docs: DataFrame) -> Column:
     return (F.col("lang") if named else F.lit(None)).cast("string").alias("lang")
 
 
-def measures(docs: DataFrame, path: str) -> DataFrame:
-    """Counts and measures of every text, with its language."""
+def measures(docs: DataFrame, path: str, row: str | None = None) -> DataFrame:
+    """Counts and measures of every text, with its language; ``row`` is a number to carry along."""
+    schema = _MEASURED if row is None else pa.schema([*_MEASURED, ("row", pa.int64())])
+    carried = [] if row is None else [F.col(row).alias("row")]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = measured(batch, path)
             names = [SCRIPTS[s] for s in found["script"]]
-            rows = found | {c: batch.column(c) for c in ("doc_id", "lang")}
-            yield arrow(rows | {"script": names, "base_failed": base_failed(found)}, _MEASURED)
+            rows = found | {c: batch.column(c) for c in batch.schema.names if c != "text"}
+            yield arrow(rows | {"script": names, "base_failed": base_failed(found)}, schema)
+
+    return docs.select("doc_id", "text", language(docs), *carried).mapInArrow(measure, _columns(schema))
+
 
-    return docs.select("doc_id", "text", language(docs)).mapInArrow(measure, _columns(_MEASURED))
+def dense_half(points: list[float]) -> tuple[float, float]:
+    """The middle and the spread of the shortest span of points that holds half of the texts."""
+    at = np.array(points)
+    width = np.round(at[HALF:] - at[:-HALF], 9)
+    first = int(width.argmin())
+    return float(at[first + HALF // 2]), float(width[first] / HALF_WIDTH)
 
 
 def derive(rows: DataFrame) -> Bands:
     """Bands from all of the measures' ``rows`` that pass the base rules.
 
-    Values are rounded, so that percentiles are exact over a bounded number of them
+    Each measure's densest half is looked for, by length, so that junk of another kind
+    does not move the band unless there is more of it than of the rest. Values are
+    rounded, so that percentiles are exact over a bounded number of them
     and don't depend on how the rows lie. What comes to the driver is a row for each
     language, script and length of ``LEAST_OF_LENGTH`` texts.
     """
@@ -302,8 +330,8 @@ def derive(rows: DataFrame) -> Bands:
         )
         .distinct()
     )
-    two = "percentile({}, array(0.5, 0.84)) AS {}"
-    parts = [F.expr(two.format(c, c)) for c in ("entropy", "chars", "bytes")]
+    points = ", ".join(str(i / POINTS) for i in range(POINTS + 1))
+    parts = [F.expr(f"percentile({c}, array({points})) AS {c}") for c in ("entropy", "chars", "bytes")]
     values = [F.count("*").alias("n"), F.expr("percentile(length, 0.5) AS at"), *parts]
     groups: dict[tuple[str, str], list] = {}
     known = texts.groupBy("script", "lang", "step").agg(*values).filter(F.col("n") >= LEAST_OF_LENGTH)
@@ -318,18 +346,17 @@ def derive(rows: DataFrame) -> Bands:
         for name, spreads, least in zip(
             ("entropy", "chars", "bytes"), (-ENTROPY_SPREADS, -CHARS_SPREADS, BYTES_SPREADS), LEAST_SPREADS, strict=True
         ):
-            middle, high = np.array([r[name] for r in steps]).T
-            spread = np.maximum(high - middle, max(float(np.median(high - middle)), least))
+            middle, spread = np.array([dense_half(r[name]) for r in steps]).T
+            spread = np.maximum(spread, max(float(np.median(spread)), least))
             bounds.append(tuple((middle + spreads * spread).tolist()))
         found[key] = Derived(tuple(r["at"] for r in steps), *bounds)
     return found
 
 
-def quality(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """The counts, measures and verdict of every text."""
-    path = path or public_tokenizers.path(VOCABULARY)
-    rows = scratch(docs.sparkSession, measures(docs, path), "measures")
-    bands = derive(rows)
+def verdicts(rows: DataFrame, bands: Bands, carried: list[str]) -> DataFrame:
+    """``carried`` columns of the measures' ``rows``, and kept."""
+    kinds = {f.name: f for f in [*_MEASURED, pa.field("row", pa.int64())]}
+    schema = pa.schema([*(kinds[c] for c in carried), ("kept", pa.bool_())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,25 +364,16 @@ def quality(docs: DataFrame, path: str | None = None) -> DataFrame:
             names = batch.column("script").to_pylist()
             found["script"] = np.array([SCRIPTS.index(s) for s in names], np.int64)
             _, kept = judged(found, batch.column("lang").to_pylist(), bands)
-            yield arrow({c: batch.column(c) for c in _SCHEMA.names[:-1]} | {"kept": kept}, _SCHEMA)
+            yield arrow({c: batch.column(c) for c in carried} | {"kept": kept}, schema)
 
-    return rows.mapInArrow(judge, _columns(_SCHEMA))
+    return rows.mapInArrow(judge, _columns(schema))
 
 
-def is_kept(text: str, lang: Column, bands: Bands, path: str | None = None) -> Column:
-    """The verdict as a column, for a filter that leaves the other columns alone."""
+def quality(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """The counts, measures and verdict of every text."""
     path = path or public_tokenizers.path(VOCABULARY)
-
-    @F.arrow_udf("boolean")
-    def verdict(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, langs in columns:
-            parts = [pa.array([], pa.bool_())]
-            for batch in slices([pa.record_batch({"text": texts, "lang": langs})]):
-                found = measured(batch, path)
-                parts.append(pa.array(judged(found, batch.column("lang").to_pylist(), bands)[1]))
-            yield pa.concat_arrays(parts)
-
-    return verdict(F.col(text), lang)
+    rows = scratch(docs.sparkSession, measures(docs, path), "measures")
+    return verdicts(rows, derive(rows), _SCHEMA.names[:-1])
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,8 +381,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their columns."""
+    """The documents that pass, with their columns; each text is encoded once."""
     prepare(spark)
-    path = public_tokenizers.path(VOCABULARY)
-    bands = derive(scratch(spark, measures(docs, path), "measures"))
-    return docs.filter(is_kept("text", language(docs), bands, path))
+    row = fresh_name(docs, "_row")
+    rows = numbered(spark, docs, row)
+    found = scratch(spark, measures(rows, public_tokenizers.path(VOCABULARY), row), "measures")
+    gone = verdicts(found, derive(found), ["row"]).filter("NOT kept").select(F.col("row").alias(row))
+    gone = scratch(spark, gone, "rejected")
+    return rows.join(if_small(gone, gone.count(), 16), row, "left_anti").select(*docs.columns)

@@ -35,6 +35,24 @@ def test_filters_keep_all_and_merge(a, b):
     assert dict(zip(prints.tolist(), counts.tolist(), strict=True)) == merged
 
 
+def test_filters_follow_their_content():
+    """What a task gathers, for ever more documents: never much more than the fingerprints."""
+    rng = np.random.default_rng(1)
+    every = np.sort(rng.integers(0, 2**64, 200_000, np.uint64))
+    for rows in (10**5, 10**7, 10**9, 5 * 10**10):
+        skip, quotient = exact_dedup.geometry(rows)
+        # As many ranges meet a task's fingerprints as a million of them would fill.
+        part = every[: len(every) // 5] if rows > 10**9 else every
+        prefixes = part >> np.uint64(64 - skip)
+        cuts = np.flatnonzero(np.r_[True, prefixes[1:] != prefixes[:-1]])
+        per_range = max(1, exact_dedup.FILTER_ROWS >> skip)
+        sample = np.split(part, cuts[1:])[:200]
+        sample = [np.unique(np.r_[s, s[0] + np.arange(max(0, per_range - len(s)), dtype=np.uint64)]) for s in sample]
+        held = sum(len(s) for s in sample)
+        size = sum(len(exact_dedup.build(s, np.ones(len(s), np.uint64), quotient, skip)) for s in sample)
+        assert size <= 2 * 8 * held
+
+
 def exact_twin(rows):
     groups = {}
     for doc_id, text, *_ in rows:

@@ -1,7 +1,10 @@
 """Quality rules, the quality model and language-model scores."""
 
+import math
+import os
 import zlib
 from collections import Counter
+from decimal import ROUND_HALF_UP, Decimal
 from math import log10
 
 import numpy as np
@@ -115,6 +118,77 @@ def test_bands_follow_the_language(spark):
     assert clean.kept.mean() > 0.999
 
 
+def half_up(x, digits):
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+
+
+def bands_twin(rows):
+    """Bands from measured rows (dicts), without Spark."""
+    seen, groups = set(), {}
+    for r in rows:
+        if r["base_failed"] or not r["n_tokens"] or r["lang"] is None:
+            continue
+        length = math.log2(r["n_tokens"])
+        values = (half_up(length, 2), *(half_up(r[c], 3) for c in ("token_entropy", "chars_per_token", "byte_share")))
+        one = (r["script"], r["lang"], r["n_words"], r["word_chars"], r["n_tokens"], math.floor(2 * length), *values)
+        if one not in seen:
+            seen.add(one)
+            groups.setdefault(one[:2], {}).setdefault(one[5], []).append(values)
+    bands = {}
+    for key, steps in groups.items():
+        steps = [np.array(v) for v in steps.values() if len(v) >= fertility.LEAST_OF_LENGTH]
+        if sum(map(len, steps)) < fertility.LEAST_TEXTS:
+            continue
+        steps.sort(key=lambda v: np.median(v[:, 0]))
+        bounds = []
+        for column, factor, least in zip((1, 2, 3), (-3.5, -6.0, 6.0), fertility.LEAST_SPREADS):
+            modes, spreads = [], []
+            for v in steps:
+                q = np.percentile(v[:, column], np.arange(0, 101, 5))
+                start = min(range(11), key=lambda i: (round(q[i + 10] - q[i], 9), i))
+                modes.append(q[start + 5])
+                spreads.append(round(q[start + 10] - q[start], 9) / 1.349)
+            spreads = np.maximum(spreads, max(np.median(spreads), least))
+            bounds.append(np.array(modes) + factor * spreads)
+        bands[key] = ([np.median(v[:, 0]) for v in steps], *bounds)
+    return bands
+
+
+def test_bands_equal_a_plain_derivation(spark, monkeypatch):
+    where = "/root/testdata/sf0.01"
+    if not os.path.isdir(where):
+        pytest.skip("no test tables")
+    monkeypatch.setattr(fertility, "LEAST_TEXTS", 60)
+    monkeypatch.setattr(fertility, "LEAST_OF_LENGTH", 8)
+    docs = spark.read.parquet(f"{where}/documents.parquet")
+    rows = fertility.scratch(spark, fertility.measures(docs, public_tokenizers.path(fertility.VOCABULARY)), "m")
+    got, want = fertility.derive(rows), bands_twin([r.asDict() for r in rows.collect()])
+    assert got.keys() == want.keys() and len(got) > 1
+    for key, band in got.items():
+        for a, b in zip(band, want[key]):
+            assert a == pytest.approx(b, abs=1e-6)
+
+
+def test_junk_does_not_set_the_band(spark):
+    """A third and nearly half of a language is junk of lower entropy."""
+    rng = np.random.default_rng(8)
+    kinds = "doc_id long, n_words long, word_chars long, n_tokens long, chars_per_token double, byte_share double, token_entropy double, script string, base_failed boolean, lang string"
+    for junk in (300, 420):
+        rows = [(i, 100 + i, 400 + i, 256, float(rng.normal(2.2, 0.05)), 0.0, float(rng.normal(6.2, 0.1)), "latin", False, "en")
+                for i in range(600 if junk == 300 else 480)]
+        rows += [(10_000 + i, 100, 500 + i, 256, 1.8, 0.0, float(rng.uniform(3.5, 5.2)), "latin", False, "en") for i in range(junk)]
+        band = fertility.derive(spark.createDataFrame(rows, kinds))["latin", "en"]
+        assert 5.6 < band.least_entropy[0] < 6.0 and band.least_chars[0] > 1.8
+
+
+def test_derived_bounds_are_never_looser():
+    row = {"n_words": 100, "n_repeat_words": 0, "script": 0, "n_tokens": 256, "byte_share": 0.0}
+    m = {k: np.array([v] * 2) for k, v in row.items()}
+    m |= {"chars_per_token": np.array([2.0, 1.0]), "token_entropy": np.array([3.0, 6.3])}
+    loose = {("latin", "en"): fertility.Derived((7.0, 9.0), (1.0, 1.0), (0.1, 0.1), (0.9, 0.9))}
+    assert fertility.judged(m, ["en"] * 2, loose)[1].tolist() == [False, False]
+
+
 def test_each_measure_binds():
     row = {"n_words": 100, "n_repeat_words": 0, "script": 0, "n_tokens": 256}
     usual = {"chars_per_token": 2.2, "byte_share": 0.0, "token_entropy": 6.0}
