@@ -208,9 +208,13 @@ def links(spark: SparkSession, distinct: DataFrame, rows: int, radius: int = RAD
             lambda j: F.struct(F.least("mine", j).alias("x"), F.greatest("mine", j).alias("y")),
         ),
     ).otherwise(F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"))))
-    tasks = max(32, rows * len(tables) // TASK_ROWS + 1)
+    # Rows to compare once crowded buckets are cut: each of theirs goes to all tiles of its part.
+    n_crowded, more = crowded.join(parts, ["t", "key"]).select(
+        F.count("*"), F.coalesce(F.sum(F.col("n") * (F.col("parts") - 2)), F.lit(0))
+    ).first()
+    tasks = max(32, (rows * len(tables) + more) // TASK_ROWS + 1)
     ready = (
-        placed.join(if_small(parts, crowded.count(), 24), ["t", "key"], "left")
+        placed.join(if_small(parts, n_crowded, 24), ["t", "key"], "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
         .withColumn("mine", mine)
         .select("print", "t", "key", F.explode(tiles).alias("tile"))
@@ -281,8 +285,12 @@ def components(spark: SparkSession, rows: DataFrame, radius: int = RADIUS) -> Da
     n = distinct.count()
     tree = stars(spark, links(spark, distinct, n, radius)).withColumnsRenamed({"a": "print", "b": "root"})
     member = distinct.join(tree, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = scratch(spark, member.join(ids, "root").select("print", "root", "component_id"), "components")
+    # Only components of several prints are looked up; of the others the print knows all.
+    ids = member.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")).filter("n > 1")
+    ids = scratch(spark, ids.drop("n"), "component-ids")
+    own = F.coalesce("component_id", "least").alias("component_id")
+    found = member.join(if_small(ids, ids.count(), 16), "root", "left").select("print", "root", own)
+    found = scratch(spark, found, "components")
     return if_small(found, n, 24)
 
 
