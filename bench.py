@@ -36,6 +36,9 @@ HEADLINE = (
     "scd2_as_of",
     "asof_join",
     "compliance_from_logs",
+    "reinvestment_matching",
+    "interval_join",
+    "bitemporal_join",
     # Bronze: streams.
     "stream_append_sink",
     "stream_exactly_once",
@@ -51,6 +54,7 @@ HEADLINE = (
     "extract_between_anchors",
     "chunk_metadata",
     "knn_cosine",
+    "knn_approx",
     "faithfulness_gate",
     "context_assembly",
 )
