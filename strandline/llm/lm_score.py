@@ -1,20 +1,24 @@
 """Scores of a log-bilinear language model.
 
-Tokens are lower-cased words, then one end. The ``shortlist`` most frequent tokens
-are symbols of their own; every other word is drawn in two steps, its class (a hash
-of its last two bytes: endings tell languages and marks apart) as a symbol, then the
-word within the class by its smoothed count. So the model normalises over symbols
-and is still a distribution over all words, an unknown one for each class included.
+Tokens are lower-cased words, then one end. The most frequent tokens are symbols of
+their own; every other word is drawn in two steps, its class (a hash of its last two
+bytes: endings tell languages and marks apart) as a symbol, then the word within the
+class by its smoothed count. So the model normalises over symbols and is still a
+distribution over all words, an unknown one for each class included. Shortlist and
+classes grow with the cube root of the vocabulary (``sizes_of``), so the sequences that
+can be learnt grow with the corpus, and the square of the symbols stays a table that a
+task can hold.
 
 The vector predicted for the next symbol is the sum of the two tokens before, each
 weighted by its place; a symbol's score is its product with the symbol's vector plus
 a bias, which starts as its log frequency. Vectors are trained by noise-contrastive
 estimation from the counts of all three-symbol sequences of the training texts. The
-counts are summed over the corpus first, so that training reads each sequence once
-and never more than the cube of the symbols. In each round every task trains on its
-share from common parameters, and their means are the next round's; only these
-parameters come to the driver. For scoring, the sum over all symbols is made once
-for each pair of tokens before, by products of matrices.
+counts are summed over the corpus first, so that training reads each sequence once a
+round. In each round every task trains on its share, a part of it at a time, from common
+parameters, and their means are the next round's; only these parameters come to the
+driver. As a context is a sum of two vectors, the exponential of a score is a product of
+one factor for each token before, and the sums over all symbols for all pairs of tokens
+before are one product of two matrices.
 
 Counts of words beyond the ``common`` most frequent are joined to the texts' words.
 
@@ -31,18 +35,21 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.common import arrow, as_bytes, documents, remainder, scratch, slices, words
 
 END = b""  # no word is empty
-SHORTLIST, CLASSES, DIMENSIONS = 512, 256, 32
+#: Symbols of each kind for each unit of the vocabulary's cube root, the fewest of them,
+#: and the length of their vectors.
+SHORTLIST_GROWTH, CLASS_GROWTH, FEWEST, DIMENSIONS = 16, 4, 16, 32
 ROUNDS, BATCH, NOISE, RATE = 3, 512, 64, 0.2
-#: Sequences of one task's share, the most tasks there are, the fewest steps of a
-#: share in a round (a small one is read again), parameters that are averaged
-#: together, and pairs of tokens whose sums over all symbols are made at once.
-SHARE, MOST_SHARES, LEAST_STEPS, BLOCK, PAIRS = 200_000, 4096, 150, 1024, 4096
+#: Sequences that a task holds at once, the most tasks there are (beyond, a task reads
+#: several parts), the fewest steps of a task in a round (a small share is read again),
+#: parameters that are averaged together, and rows of a matrix that are multiplied at once.
+SHARE, MOST_SHARES, LEAST_STEPS, BLOCK, ROWS = 200_000, 4096, 150, 1024, 1024
 #: Words whose counts are sent to every task, and the longest of them in bytes.
 COMMON, COMMON_BYTES = 100_000, 64
 #: Distinct words or sequences that a task gathers before it passes them on.
@@ -50,6 +57,12 @@ GATHERED = 1_000_000
 LN10 = float(np.log(10))
 
 
+def sizes_of(distinct: int) -> tuple[int, int]:
+    """Shortlist and classes for a vocabulary of ``distinct`` tokens."""
+    root = distinct ** (1 / 3)
+    return max(FEWEST, round(SHORTLIST_GROWTH * root)), max(FEWEST, round(CLASS_GROWTH * root))
+
+
 def class_of(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-2:]) % classes
 
@@ -202,49 +215,71 @@ def sequences(texts: DataFrame, symbols: Symbols) -> DataFrame:
 # --- training ---------------------------------------------------------------
 
 
-def _add_rows(total: np.ndarray, rows: np.ndarray, at: np.ndarray) -> None:
-    """total[at] += rows, rows of one place together."""
+def _by_row(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in ``at``, and the sum of the rows of each."""
     order = np.argsort(at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    total[at[first]] += np.add.reduceat(rows[order], first, axis=0)
+    return at[first], np.add.reduceat(rows[order], first, axis=0)
 
 
 class Trainer:
-    """Noise-contrastive steps with a rate for each parameter (Adagrad)."""
+    """Noise-contrastive steps with a rate for each parameter (Adagrad).
+
+    A step touches only the rows of its tokens, so its cost doesn't grow with the symbols.
+    """
 
     def __init__(self, start: Parameters, noise: np.ndarray, mean_count: float, rate: float, seed: int):
         self.now = Parameters(*(x.copy() for x in start))
         self.squares = Parameters(*(np.full_like(x, 1e-2) for x in start))
-        self.noise, self.rate, self.mean = noise, rate, mean_count
+        self.upto, self.rate, self.mean = np.cumsum(noise), rate, mean_count
         self.log_noise = (np.log(noise) + np.log(NOISE)).astype(np.float32)
         self.rng = np.random.default_rng(seed)
 
+    def move(self, values: np.ndarray, squares: np.ndarray, at, slope: np.ndarray) -> None:
+        squares[at] += slope * slope
+        values[at] += np.float32(self.rate) * slope / np.sqrt(squares[at])
+
     def step(self, two: np.ndarray, one: np.ndarray, next: np.ndarray, count: np.ndarray) -> None:
         before, after, place, bias = self.now
-        weight = (count / (self.mean * len(count))).astype(np.float32)
+        # Slopes are means over the sequences, times the root of their number.
+        weight = (count / (self.mean * np.sqrt(len(count)))).astype(np.float32)
         r1, r2 = before[one], before[two]
         predicted = r1 * place[0] + r2 * place[1]
-        drawn = self.rng.choice(len(self.noise), NOISE, p=self.noise)
+        drawn = np.searchsorted(self.upto, self.rng.random(NOISE) * self.upto[-1], side="right")
+        drawn = np.minimum(drawn, len(self.upto) - 1)
+        far = after[drawn]
         real = (predicted * after[next]).sum(axis=1) + bias[next] - self.log_noise[next]
-        fake = predicted @ after[drawn].T + bias[drawn] - self.log_noise[drawn]
+        fake = predicted @ far.T + bias[drawn] - self.log_noise[drawn]
         up = weight / (1 + np.exp(np.minimum(real, 30)))
         down = -weight[:, None] / (1 + np.exp(-np.maximum(fake, -30)))
-        to_predicted = up[:, None] * after[next] + down @ after[drawn]
-        gradient = Parameters(*(np.zeros_like(x) for x in self.now))
-        _add_rows(gradient.after, up[:, None] * predicted, next)
-        _add_rows(gradient.after, down.T @ predicted, drawn)
-        np.add.at(gradient.bias, next, up)
-        np.add.at(gradient.bias, drawn, down.sum(axis=0))
-        _add_rows(gradient.before, to_predicted * place[0], one)
-        _add_rows(gradient.before, to_predicted * place[1], two)
-        gradient.place[0] = (to_predicted * r1).sum(axis=0)
-        gradient.place[1] = (to_predicted * r2).sum(axis=0)
-        scale = np.float32(len(count))
-        for value, square, slope in zip(self.now, self.squares, gradient, strict=True):
-            slope = slope * scale ** np.float32(0.5)
-            square += slope * slope
-            value += np.float32(self.rate) * slope / np.sqrt(square)
+        to_predicted = up[:, None] * after[next] + down @ far
+        places = np.stack([(to_predicted * r1).sum(axis=0), (to_predicted * r2).sum(axis=0)])
+        # The last column is the slope of the bias.
+        own = np.concatenate([up[:, None] * predicted, up[:, None]], axis=1)
+        others = np.concatenate([down.T @ predicted, down.sum(axis=0)[:, None]], axis=1)
+        at, slope = _by_row(np.concatenate([own, others]), np.concatenate([next, drawn]))
+        self.move(after, self.squares.after, at, slope[:, :-1])
+        self.move(bias, self.squares.bias, at, slope[:, -1])
+        both = np.concatenate([to_predicted * place[0], to_predicted * place[1]])
+        at, slope = _by_row(both, np.concatenate([one, two]))
+        self.move(before, self.squares.before, at, slope)
+        self.move(place, self.squares.place, slice(None), places)
+
+
+def parts_of(batches: Iterator[pa.RecordBatch], size: int = SHARE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and counts of at least ``size`` sequences at a time, and of the rest."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= size:
+            table = pa.Table.from_batches(held)
+            yield table["key"].to_numpy(), table["n"].to_numpy()
+            held, rows = [], 0
+    if rows:
+        table = pa.Table.from_batches(held)
+        yield table["key"].to_numpy(), table["n"].to_numpy()
 
 
 def train(
@@ -256,30 +291,42 @@ def train(
     n, total = counted.agg(F.count("*"), F.sum("n")).first()
     if not n:
         return now
-    # All sequences together are at most the cube of the symbols, so a share stays small.
     shares = min(n // SHARE + 1, MOST_SHARES)
-    dealt = counted.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(shares)))
+    # Dealt and ordered by a hash, so that each part is a mixture, and the same every time.
+    dealt = (
+        counted.withColumn("order", F.xxhash64("key"))
+        .repartition(shares, "order")
+        .sortWithinPartitions("order", "key")
+        .select("key", "n")
+    )
     for round in range(rounds):
-        start, rate = now.flat(), RATE / (1 + round)
-
-        def learn(share: tuple, rows: pa.Table) -> pa.Table:
-            order = np.argsort(rows.column("key").to_numpy(), kind="stable")
-            keys, counts = (rows.column(c).to_numpy()[order] for c in ("key", "n"))
-            seed = round * MOST_SHARES + share[0].as_py()
-            trainer = Trainer(Parameters.of(start, size, dimensions), noise, total / n, rate, seed)
-            steps = 0
-            while steps < LEAST_STEPS:
+        start, rate = spark.sparkContext.broadcast(now), RATE / (1 + round)
+
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            share = TaskContext.get().partitionId()
+            trainer = Trainer(start.value, noise, total / n, rate, round * MOST_SHARES + share)
+
+            def read(keys: np.ndarray, counts: np.ndarray) -> int:
                 order = trainer.rng.permutation(len(keys))
                 for i in range(0, len(order), BATCH):
                     key, many = keys[order[i : i + BATCH]], counts[order[i : i + BATCH]]
                     trainer.step(key // (size * size), key // size % size, key % size, many)
-                    steps += 1
-            seen = float(counts.sum())
+                return -(-len(order) // BATCH)
+
+            seen, steps, part = 0.0, 0, None
+            for part in parts_of(batches):
+                seen += float(part[1].sum())
+                steps += read(*part)
+            if part is None:
+                return
+            while steps < LEAST_STEPS:  # then there was one part
+                steps += read(*part)
             value = trainer.now.flat().astype("<f8") * seen
             blocks = [value[i : i + BLOCK].tobytes() for i in range(0, len(value), BLOCK)]
             columns = {"block": pa.array(range(len(blocks)), pa.int64()), "sums": pa.array(blocks, pa.binary())}
-            columns |= {"share": pa.array([share[0].as_py()] * len(blocks), pa.int64())}
-            return pa.table(columns | {"seen": pa.array([seen] * len(blocks), pa.float64())})
+            columns |= {"share": pa.array([share] * len(blocks), pa.int64())}
+            table = pa.table(columns | {"seen": pa.array([seen] * len(blocks), pa.float64())})
+            yield from table.to_batches(max_chunksize=256)
 
         def mean(block: tuple, rows: pa.Table) -> pa.Table:
             rows = rows.sort_by("share")  # so that sums come out the same every time
@@ -287,7 +334,7 @@ def train(
             value = (sums / np.sum(rows.column("seen").to_numpy())).astype("<f4")
             return pa.table({"block": pa.array([block[0].as_py()], pa.int64()), "mean": pa.array([value.tobytes()])})
 
-        parts = dealt.groupBy("share").applyInArrow(learn, "block long, sums binary, share long, seen double")
+        parts = dealt.mapInArrow(learn, "block long, sums binary, share long, seen double")
         means = parts.groupBy("block").applyInArrow(mean, "block long, mean binary").collect()
         flat = np.frombuffer(b"".join(bytes(r["mean"]) for r in sorted(means, key=lambda r: r["block"])), "<f4")
         now = Parameters.of(flat, size, dimensions)
@@ -298,34 +345,35 @@ def train(
 
 
 class Scorer:
-    """Log10 probabilities of symbols after two others; sums over symbols are kept."""
+    """Log10 probabilities of symbols after two others."""
 
     def __init__(self, parameters: Parameters):
-        self.p = parameters
-        self.size = len(parameters.bias)
-        self.sums = np.full(self.size * self.size, np.nan, np.float32)
-
-    def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.p.before[one] * self.p.place[0] + self.p.before[two] * self.p.place[1]
-
-    def normalise(self, pairs: np.ndarray) -> None:
-        """``pairs``: two back * size + one back."""
-        new = np.unique(pairs)
-        new = new[np.isnan(self.sums[new])]
-        for i in range(0, len(new), PAIRS):
-            some = new[i : i + PAIRS]
-            scores = self.predicted(some % self.size, some // self.size) @ self.p.after.T + self.p.bias
-            top = scores.max(axis=1, keepdims=True)
-            self.sums[some] = np.log(np.exp(scores - top).sum(axis=1)) + top[:, 0]
+        self.p = p = parameters
+        self.size = len(p.bias)
+        # exp(score) is a factor of one back times a factor of two back: all sums over the
+        # next symbol are a product of matrices. Each factor is taken over its row's largest.
+        far = (p.before * p.place[1]) @ p.after.T
+        far_top = far.max(axis=1)
+        np.exp(np.subtract(far, far_top[:, None], out=far), out=far)
+        self.sums = np.empty((self.size, self.size), np.float32)  # one back, two back
+        for i in range(0, self.size, ROWS):
+            near = (p.before[i : i + ROWS] * p.place[0]) @ p.after.T + p.bias
+            top = near.max(axis=1, keepdims=True)
+            found = np.exp(near - top) @ far.T
+            self.sums[i : i + ROWS] = np.log(np.maximum(found, 1e-30)) + top + far_top
+            for one in np.flatnonzero(found.min(axis=1) < 1e-25):  # too far apart for a product
+                two = np.flatnonzero(found[one] < 1e-25)
+                scores = near[one] + (p.before[two] * p.place[1]) @ p.after.T
+                most = scores.max(axis=1, keepdims=True)
+                self.sums[i + one, two] = np.log(np.exp(scores - most).sum(axis=1)) + most[:, 0]
 
     def log10(self, one: np.ndarray, two: np.ndarray, next: np.ndarray) -> np.ndarray:
-        pairs = two * self.size + one
-        self.normalise(pairs)
-        out = np.empty(len(next))
+        p, out = self.p, np.empty(len(next))
         for i in range(0, len(next), 1 << 16):
             part = slice(i, i + (1 << 16))
-            scores = (self.predicted(one[part], two[part]) * self.p.after[next[part]]).sum(axis=1)
-            out[part] = scores + self.p.bias[next[part]] - self.sums[pairs[part]]
+            predicted = p.before[one[part]] * p.place[0] + p.before[two[part]] * p.place[1]
+            scores = (predicted * p.after[next[part]]).sum(axis=1)
+            out[part] = scores + p.bias[next[part]] - self.sums[one[part], two[part]]
         return out / LN10
 
 
@@ -430,9 +478,11 @@ def scores(docs: DataFrame, counts: DataFrame, model, spark: SparkSession) -> Da
     )
 
 
-def symbols_of(counts: DataFrame, shortlist: int = SHORTLIST, classes: int = CLASSES, common: int = COMMON):
+def symbols_of(counts: DataFrame, shortlist: int | None = None, classes: int | None = None, common: int = COMMON):
     """The symbols, and the ``common`` most frequent words with their counts."""
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    by_size = sizes_of(distinct)
+    shortlist, classes = shortlist or by_size[0], classes or by_size[1]
     short_words = counts.filter(F.octet_length("word").between(1, COMMON_BYTES))
     top = short_words.orderBy(F.desc("n"), "word").limit(shortlist - 1).collect()
     # Counts in steps of a tenth: the lowest step from which on no more than ``common`` words are.

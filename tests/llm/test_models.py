@@ -337,6 +337,77 @@ def test_symbols_are_a_distribution_over_all_words(spark):
         assert sum(often[w] + 1 for w in words) + 1 == total
 
 
+def plain_log10(p, one, two, next):
+    """The probability of one symbol, with a sum over all others written out."""
+    context = [float(a) * float(b) + float(c) * float(d) for a, b, c, d in zip(p.before[one], p.place[0], p.before[two], p.place[1])]
+    scores = [sum(x * float(y) for x, y in zip(context, row)) + float(b) for row, b in zip(p.after, p.bias)]
+    top = max(scores)
+    return (scores[next] - top - math.log(sum(math.exp(x - top) for x in scores))) / math.log(10)
+
+
+@pytest.mark.parametrize("common", [lm_score.COMMON, 40])
+def test_scores_equal_plain_sums(spark, odd, odd_rows, common):
+    """Each text's score from given parameters: symbols by the model, words by their class's counts."""
+    counts = lm_score.word_counts(odd)
+    symbols, often = lm_score.symbols_of(counts, 12, 5, common)
+    rng = np.random.default_rng(5)
+    draw = lambda *shape: rng.normal(0, 0.7, shape).astype(np.float32)
+    p = lm_score.Parameters(draw(17, 8), draw(17, 8), draw(2, 8), draw(17))
+    model = spark.sparkContext.broadcast(lm_score.Model(symbols, p, often))
+    docs = odd.selectExpr("doc_id", "false AS held_out", "text")
+    got = lm_score.scores(docs, counts, model, spark).collect()
+
+    seen, number, known = Counter(w for r in odd_rows for w in plain(r[1]).split()), symbols.numbers(), {}
+    inner = Counter()
+    for w, n in seen.items():
+        if w not in number:
+            inner[lm_score.class_of(w, 5)] += n + 1
+
+    def score(text):
+        total, one, two = 0.0, number[b""], number[b""]
+        for w in [*plain(text).split(), b""]:
+            c = lm_score.class_of(w, 5)
+            s = number.get(w, 12 + c)
+            if (one, two, s) not in known:
+                known[one, two, s] = plain_log10(p, one, two, s)
+            total += known[one, two, s] + (0 if w in number else log10((seen[w] + 1) / (inner[c] + 1)))
+            one, two = s, one
+        return total
+
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    want = sorted(((r[0], score(r[1])) for r in odd_rows), key=order)
+    for a, b in zip(sorted(((r.doc_id, r.score) for r in got), key=order), want, strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], rel=1e-4)
+
+
+def test_sums_far_apart():
+    """Factors whose product is nothing in floats are summed one by one."""
+    p = lm_score.Parameters(*(np.array(x, np.float32) for x in ([[30], [-30]], [[5], [-5]], [[1], [1]], [0, 0])))
+    got = lm_score.Scorer(p).log10(np.array([0, 0, 1]), np.array([1, 0, 1]), np.array([0, 0, 0]))
+    assert got == pytest.approx([log10(0.5), 0, -600 / math.log(10)], abs=1e-3)
+
+
+def test_symbols_grow_with_the_vocabulary(spark):
+    sizes = [lm_score.sizes_of(10**k) for k in (0, 3, 6, 9)]
+    assert sizes == [(16, 16), (160, 40), (1600, 400), (16000, 4000)]
+    counts = spark.range(8000).selectExpr("cast(concat('w', id) AS binary) AS word", "id + 1 AS n")
+    symbols, _ = lm_score.symbols_of(counts)
+    assert (len(symbols.shortlist), symbols.classes) == (320, 80)
+
+
+def test_a_large_share_is_read_in_parts(spark, monkeypatch):
+    docs = tiny(spark)
+    counts = lm_score.word_counts(docs)
+    symbols, _ = lm_score.symbols_of(counts)
+    found = lm_score.sequences(docs, symbols)
+    batches = found.coalesce(1).toArrow().to_batches(max_chunksize=50)
+    parts = list(lm_score.parts_of(iter(batches), 120))
+    assert [len(k) for k, _ in parts[:-1]] == [150] * (len(parts) - 1) and len(parts[-1][0]) <= 150
+    assert sum(len(k) for k, _ in parts) == found.count()
+    again = [lm_score.train(spark, found, symbols, rounds=1).flat() for _ in range(2)]
+    assert np.array_equal(*again)
+
+
 def test_sequences(spark, odd, odd_rows):
     counts = lm_score.word_counts(odd)
     symbols, _ = lm_score.symbols_of(counts, shortlist=12, classes=3)
