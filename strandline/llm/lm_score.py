@@ -14,9 +14,9 @@ weighted by its place; a symbol's score is its product with the symbol's vector
 a bias, which starts as its log frequency. Vectors are trained by noise-contrastive
 estimation from the counts of all three-symbol sequences of the training texts. The
 counts are summed over the corpus first, so that training reads each sequence once a
-round. In each round every task trains on its share, a part of it at a time, from common
-parameters, and their means are the next round's; only these parameters come to the
-driver. As a context is a sum of two vectors, the exponential of a score is a product of
+round. In each round the sequences are learnt in parts, each from common parameters, and
+the means over all parts are the next round's; only these parameters come to the driver.
+As a context is a sum of two vectors, the exponential of a score is a product of
 one factor for each token before, and the sums over all symbols for all pairs of tokens
 before are one product of two matrices.
 
@@ -46,10 +46,12 @@ END = b""  # no word is empty
 #: and the length of their vectors.
 SHORTLIST_GROWTH, CLASS_GROWTH, FEWEST, DIMENSIONS = 16, 4, 16, 32
 ROUNDS, BATCH, NOISE, RATE = 3, 512, 64, 0.2
-#: Sequences that a task holds at once, the most tasks there are (beyond, a task reads
-#: several parts), the fewest steps of a task in a round (a small share is read again),
-#: parameters that are averaged together, and rows of a matrix that are multiplied at once.
-SHARE, MOST_SHARES, LEAST_STEPS, BLOCK, ROWS = 200_000, 4096, 150, 1024, 1024
+#: Sequences that are learnt from common parameters at once, the fewest steps of such a part
+#: in a round (a small one is read again), parameters that are averaged together, the groups
+#: of tasks that are summed first, and rows of a matrix that are multiplied at once.
+SHARE, LEAST_STEPS, BLOCK, GROUPS, ROWS = 500_000, 150, 1024, 256, 1024
+#: The sums of a block of parameters over the parts of some tasks, times the tokens seen.
+SUMS = pa.schema([("block", pa.int64()), ("sums", pa.binary()), ("task", pa.int64()), ("seen", pa.float64())])
 #: Words whose counts are sent to every task, and the longest of them in bytes.
 COMMON, COMMON_BYTES = 100_000, 64
 #: Distinct words or sequences that a task gathers before it passes them on.
@@ -229,7 +231,7 @@ class Trainer:
     A step touches only the rows of its tokens, so its cost doesn't grow with the symbols.
     """
 
-    def __init__(self, start: Parameters, noise: np.ndarray, mean_count: float, rate: float, seed: int):
+    def __init__(self, start: Parameters, noise: np.ndarray, mean_count: float, rate: float, seed: list[int]):
         self.now = Parameters(*(x.copy() for x in start))
         self.squares = Parameters(*(np.full_like(x, 1e-2) for x in start))
         self.upto, self.rate, self.mean = np.cumsum(noise), rate, mean_count
@@ -287,57 +289,47 @@ def train(
 ) -> Parameters:
     """Parameters after ``rounds`` over the sequence counts."""
     now, noise, size = first_parameters(symbols, dimensions), noise_of(symbols.counts), symbols.size
-    counted = scratch(spark, counted, "sequences")
+    # Written in the order of a hash, so that each part that is read is a mixture.
+    mixed = counted.sortWithinPartitions(F.xxhash64("key"), "key")
+    counted = scratch(spark, mixed, "sequences").select("key", "n")
     n, total = counted.agg(F.count("*"), F.sum("n")).first()
     if not n:
         return now
-    shares = min(n // SHARE + 1, MOST_SHARES)
-    # Dealt and ordered by a hash, so that each part is a mixture, and the same every time.
-    dealt = (
-        counted.withColumn("order", F.xxhash64("key"))
-        .repartition(shares, "order")
-        .sortWithinPartitions("order", "key")
-        .select("key", "n")
-    )
     for round in range(rounds):
         start, rate = spark.sparkContext.broadcast(now), RATE / (1 + round)
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            share = TaskContext.get().partitionId()
-            trainer = Trainer(start.value, noise, total / n, rate, round * MOST_SHARES + share)
-
-            def read(keys: np.ndarray, counts: np.ndarray) -> int:
-                order = trainer.rng.permutation(len(keys))
-                for i in range(0, len(order), BATCH):
-                    key, many = keys[order[i : i + BATCH]], counts[order[i : i + BATCH]]
-                    trainer.step(key // (size * size), key // size % size, key % size, many)
-                return -(-len(order) // BATCH)
-
-            seen, steps, part = 0.0, 0, None
-            for part in parts_of(batches):
-                seen += float(part[1].sum())
-                steps += read(*part)
-            if part is None:
-                return
-            while steps < LEAST_STEPS:  # then there was one part
-                steps += read(*part)
-            value = trainer.now.flat().astype("<f8") * seen
-            blocks = [value[i : i + BLOCK].tobytes() for i in range(0, len(value), BLOCK)]
-            columns = {"block": pa.array(range(len(blocks)), pa.int64()), "sums": pa.array(blocks, pa.binary())}
-            columns |= {"share": pa.array([share] * len(blocks), pa.int64())}
-            table = pa.table(columns | {"seen": pa.array([seen] * len(blocks), pa.float64())})
-            yield from table.to_batches(max_chunksize=256)
-
-        def mean(block: tuple, rows: pa.Table) -> pa.Table:
-            rows = rows.sort_by("share")  # so that sums come out the same every time
+            value, seen = 0.0, 0.0
+            for keys, counts in parts_of(batches):
+                trainer = Trainer(start.value, noise, total / n, rate, [round, int(keys[0])])
+                steps = 0
+                while not steps or steps < LEAST_STEPS:
+                    order = trainer.rng.permutation(len(keys))
+                    for i in range(0, len(order), BATCH):
+                        key, many = keys[order[i : i + BATCH]], counts[order[i : i + BATCH]]
+                        trainer.step(key // (size * size), key // size % size, key % size, many)
+                        steps += 1
+                many = float(counts.sum())
+                value, seen = value + trainer.now.flat().astype("<f8") * many, seen + many
+            if seen:
+                blocks = [value[i : i + BLOCK].tobytes() for i in range(0, len(value), BLOCK)]
+                columns = {"block": range(len(blocks)), "sums": blocks}
+                columns |= {"task": [TaskContext.get().partitionId()] * len(blocks), "seen": [seen] * len(blocks)}
+                yield arrow(columns, SUMS)
+
+        def added(of: tuple, rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by("task")  # so that sums come out the same every time
             sums = np.sum([np.frombuffer(x, "<f8") for x in rows.column("sums").to_pylist()], axis=0)
-            value = (sums / np.sum(rows.column("seen").to_numpy())).astype("<f4")
-            return pa.table({"block": pa.array([block[0].as_py()], pa.int64()), "mean": pa.array([value.tobytes()])})
-
-        parts = dealt.mapInArrow(learn, "block long, sums binary, share long, seen double")
-        means = parts.groupBy("block").applyInArrow(mean, "block long, mean binary").collect()
-        flat = np.frombuffer(b"".join(bytes(r["mean"]) for r in sorted(means, key=lambda r: r["block"])), "<f4")
-        now = Parameters.of(flat, size, dimensions)
+            seen = float(np.sum(rows.column("seen").to_numpy()))
+            task = rows.column("task")[0].as_py() % GROUPS
+            return pa.table([pa.array([x], f.type) for x, f in zip((of[0].as_py(), sums.tobytes(), task, seen), SUMS)], schema=SUMS)
+
+        ddl = "block long, sums binary, task long, seen double"
+        parts = counted.mapInArrow(learn, ddl)
+        some = parts.groupBy("block", (F.col("task") % GROUPS).alias("of")).applyInArrow(added, ddl)
+        found = some.groupBy("block").applyInArrow(added, ddl).collect()
+        blocks = [np.frombuffer(r["sums"], "<f8") / r["seen"] for r in sorted(found, key=lambda r: r["block"])]
+        now = Parameters.of(np.concatenate(blocks).astype(np.float32), size, dimensions)
     return now
 
 
