@@ -30,6 +30,7 @@ table gives an empty result; other columns are not looked at.
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from math import log10
 from typing import NamedTuple
 
@@ -375,6 +376,11 @@ class Model(NamedTuple):
     common: dict[bytes, int]  # the most frequent words and their counts
 
 
+@lru_cache(maxsize=1)  # the tasks of a worker share its sums
+def scorer_of(model) -> Scorer:
+    return Scorer(model.value.parameters)
+
+
 def scores(docs: DataFrame, counts: DataFrame, model, spark: SparkSession) -> DataFrame:
     """``docs`` (doc_id, held_out, text) with all the counts and scores.
 
@@ -397,8 +403,8 @@ def scores(docs: DataFrame, counts: DataFrame, model, spark: SparkSession) -> Da
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, parameters, common = model.value
-        scorer = Scorer(parameters)
+        symbols, _, common = model.value
+        scorer = scorer_of(model)
         end, first = symbols.numbers()[END], len(symbols.shortlist)
         # The share of a class's word is (count + 1) of all these.
         class_all = np.array(symbols.counts[first:]) + np.array(symbols.class_words) + 1
