@@ -9,7 +9,7 @@ from registry.core import ORACLES, query
 from registry.marts import LIVE_SQL, live_section
 from strandline.functions import text as T
 from strandline.functions import vector
-from strandline.operators import answers, chunks, retrieval
+from strandline.operators import answers, chunks, retrieval, trained
 from strandline.session import shared_dir
 from strandline.sources.tables import spread
 
@@ -298,6 +298,39 @@ def knn_approx_grown(spark, sf):
     return found.drop("distance")
 
 
+def _trained(spark, sf):
+    return trained.build(spread(vectors(spark, sf)), shared_dir(spark, "trained-index"), _PER_CELL)
+
+
+@query("knn_trained")
+def knn_trained(spark, sf):
+    """Trained cells, codes and candidates; no SQL, as the cells come out of training."""
+    return trained.search(_trained(spark, sf), questions(spark, sf)).drop("distance")
+
+
+@query(
+    "knn_trained_recall",
+    f"{_NEAREST} SELECT count(*) AS neighbours, TRUE AS enough FROM nearest WHERE rank <= 3",
+)
+def knn_trained_recall(spark, sf):
+    """At least 0.9 of the exact neighbours are found."""
+    exact = retrieval.knn_cosine(spread(vectors(spark, sf)), questions(spark, sf))
+    found = retrieval.recall(knn_trained(spark, sf), exact)
+    return found.select("neighbours", (F.col("recall") >= 0.9).alias("enough"))
+
+
+@query(
+    "trained_index",
+    "SELECT count(*) AS vectors, count(DISTINCT vec_id) AS distinct_ids, CAST(sum(vec_id) AS BIGINT) AS ids FROM embeddings",
+)
+def trained_index(spark, sf):
+    """Every vector lies in one trained cell, with its code."""
+    rows = _trained(spark, sf).rows.where("octet_length(code) = 16")
+    return rows.agg(
+        F.count("*").alias("vectors"), F.count_distinct("vector_id").alias("distinct_ids"), F.sum("vector_id").alias("ids")
+    )
+
+
 # The name these had while others asked a fixed number of cells.
 @query("knn_approx_sized", ORACLES["knn_approx"])
 def knn_approx_sized(spark, sf):
