@@ -12,10 +12,17 @@ the number of documents, the id that keeps the line. Batches probe the arrays wi
 the hashes they listed and learn which of them are too frequent; the lines
 themselves are never shuffled to be joined. With that, a batch cuts its documents.
 
+Lists are written down, so a lost executor doesn't list again. A line that nearly every
+batch holds would bring an entry a batch to its shard: a shard whose lists are over a
+limit is cut into lots of batches, each lot is merged first, and the merged lots make the
+index, which each lot probes. Rows equal in id and text would share a batch: beyond a
+limit they travel as one row with a count, which is spread again at the end.
+
 Defined cases: null and empty text is one empty line; keys shorter than the limit
 are never dropped; each row is a document; a null id is smaller than any, and rows
-sharing the largest id all keep the line; a document may lose all its lines; an
-empty table gives an empty result; ``without_repeats`` returns the texts.
+sharing the largest id all keep the line, equal rows too; a document may lose all its
+lines; an empty table gives an empty result; columns beside ``doc_id`` and ``text`` are
+neither read nor returned; ``deduplicated`` returns the texts.
 """
 
 import hashlib
@@ -26,13 +33,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import as_bytes, documents
+from strandline.llm.common import as_bytes, documents, if_small, scratch
 
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Text of a batch, and of the documents whose lines one shard indexes on average.
 BATCH_TEXT, SHARD_TEXT = 4 << 20, 32 << 20
 #: Batches that a task gets on average, and the fewest tasks.
 TASK_BATCHES, LEAST_TASKS = 4, 32
+#: Lists of a shard that one group reads, and equal rows that go as they are.
+LOT_BYTES, EQUAL_ROWS = 64 << 20, 1_024
+#: Copies of a row that are spread at once.
+SPREAD_ROWS = 1 << 16
 NO_ID = -(1 << 63)
 #: Places in a level for each hash that is left.
 SPARE = 1.5
@@ -145,10 +156,39 @@ def key_hash(line: bytes, min_chars: int = MIN_CHARS) -> bytes | None:
     return xxhash.xxh3_128_digest(key)
 
 
+def collapsed(docs: DataFrame) -> tuple[DataFrame, int, bool]:
+    """doc_id, text and copies, the size of all text, and whether equal rows were made one.
+
+    Only rows of which there are many, or much text, are; others have one copy each.
+    """
+    own = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("same"))
+    length = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    sums = own.groupBy("same").agg(F.count("*").alias("rows"), F.sum(length).alias("bytes"))
+    many = (F.col("rows") > EQUAL_ROWS) | ((F.col("rows") > 1) & (F.col("bytes") > BATCH_TEXT))
+    size, crowds = sums.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count_if(many)).first()
+    if not crowds:
+        return docs.select("doc_id", "text", F.lit(1).cast("long").alias("copies")), size, False
+    crowded = scratch(docs.sparkSession, sums.where(many).select("same", F.lit(True).alias("many")), "equal-rows")
+    marked = own.join(if_small(crowded, crowds, 16), "same", "left")
+    one = marked.where("many").groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
+    rest = marked.where("many IS NULL").select("doc_id", "text", F.lit(1).cast("long").alias("copies"))
+    return rest.unionByName(one), size, True
+
+
+def spread_again(rows: DataFrame) -> DataFrame:
+    """Each row as often as its column ``copies`` says, without that column."""
+    columns = [c for c in rows.columns if c != "copies"]
+    lots = F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) DIV {SPREAD_ROWS}"))
+    by_lot = rows.select(*columns, "copies", F.explode(lots).alias("lot"))
+    left = F.least(F.lit(SPREAD_ROWS).cast("long"), F.col("copies") - F.col("lot") * SPREAD_ROWS)
+    ones = F.explode(F.sequence(F.lit(1).cast("long"), left)).alias("copy")
+    return by_lot.select(*columns, ones).select(*columns)
+
+
 def dealt(docs: DataFrame, batches: int) -> DataFrame:
     batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
     tasks = max(LEAST_TASKS, batches // TASK_BATCHES)
-    return docs.select("doc_id", "text", batch.alias("batch")).repartition(tasks, "batch")
+    return docs.select("doc_id", "text", "copies", batch.alias("batch")).repartition(tasks, "batch")
 
 
 def listed(in_batches: DataFrame, shards: int, min_chars: int) -> DataFrame:
@@ -157,16 +197,16 @@ def listed(in_batches: DataFrame, shards: int, min_chars: int) -> DataFrame:
     def read(key: tuple, group: pa.Table) -> pa.Table:
         held: dict[bytes, list[int]] = {}
         for part in group.to_batches():
-            ids = part.column("doc_id").to_pylist()
-            for doc_id, text in zip(ids, as_bytes(part), strict=True):
+            ids, copies = part.column("doc_id").to_pylist(), part.column("copies").to_pylist()
+            for doc_id, text, n in zip(ids, as_bytes(part), copies, strict=True):
                 own = NO_ID if doc_id is None else doc_id
                 for found in {key_hash(line, min_chars) for line in text.split(b"\n")}:
                     if found is None:
                         continue
                     if (entry := held.get(found)) is None:
-                        held[found] = [1, own]
+                        held[found] = [n, own]
                     else:
-                        entry[0] += 1
+                        entry[0] += n
                         entry[1] = max(entry[1], own)
         entries = np.zeros(len(held), ENTRY)
         hashes = np.frombuffer(b"".join(held), "<u8").reshape(-1, 2)
@@ -194,14 +234,39 @@ def unpacked(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [np.frombuffer(x, ENTRY) for x in column.to_pylist()]
 
 
-def indexed(lists: DataFrame) -> DataFrame:
-    """(shard, index)"""
+def in_lots(lists: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The lists with a column ``lot``, and (shard, lots) of the shards cut into several."""
+    sums = lists.groupBy("shard").agg(F.sum(F.octet_length("entries").cast("long")).alias("bytes"))
+    lots = sums.select("shard", F.ceil(F.col("bytes") / LOT_BYTES).alias("lots")).where("lots > 1")
+    crowds = lots.count()
+    if not crowds:
+        return lists.withColumn("lot", F.lit(0).cast("long")), None
+    lots = if_small(scratch(lists.sparkSession, lots, "line-lots"), crowds, 16)
+    lot = F.pmod(F.xxhash64("batch"), F.coalesce("lots", F.lit(1).cast("long")))
+    return lists.join(lots, "shard", "left").withColumn("lot", lot), lots
+
+
+def merge_lot(key: tuple, group: pa.Table) -> pa.Table:
+    entries = merged(unpacked(group.column("entries"))).tobytes()
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "entries": pa.array([entries], pa.binary())})
+
+
+def indexed(lists: DataFrame, lots: DataFrame | None) -> DataFrame:
+    """(shard, lot, index): the index of a shard, once for each of its lots."""
 
     def build(key: tuple, group: pa.Table) -> pa.Table:
         index = LineIndex.build(merged(unpacked(group.column("entries"))))
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "index": pa.array([index.pack()], pa.binary())})
 
-    return lists.groupBy("shard").applyInArrow(build, "shard long, index binary")
+    schema = "shard long, index binary"
+    if lots is None:
+        return lists.groupBy("shard").applyInArrow(build, schema).withColumn("lot", F.lit(0).cast("long"))
+    whole = lists.where("lots IS NULL").select("shard", "entries")
+    first = lists.where("lots IS NOT NULL").select("shard", "lot", "entries").groupBy("shard", "lot")
+    parts = whole.unionByName(first.applyInArrow(merge_lot, "shard long, entries binary"))
+    each = F.sequence(F.lit(0).cast("long"), F.coalesce("lots", F.lit(1).cast("long")) - 1)
+    built = scratch(lists.sparkSession, parts.groupBy("shard").applyInArrow(build, schema), "line-index")
+    return built.join(lots, "shard", "left").select("shard", "index", F.explode(each).alias("lot"))
 
 
 def probed(lists: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
@@ -224,11 +289,13 @@ def probed(lists: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
                 hits.append(found.tobytes())
         return pa.table({"batch": pa.array(batches, pa.int64()), "hits": pa.array(hits, pa.binary())})
 
-    return lists.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(probe, "batch long, hits binary")
+    lists, index = lists.select("batch", "entries", "shard", "lot"), index.select("index", "shard", "lot")
+    own, shards = lists.groupBy("shard", "lot"), index.groupBy("shard", "lot")
+    return own.cogroup(shards).applyInArrow(probe, "batch long, hits binary")
 
 
 def cut(in_batches: DataFrame, hits: DataFrame, min_chars: int, with_text: bool) -> DataFrame:
-    """doc_id, n_lines, n_dropped and the rest of each text, or its hash."""
+    """doc_id, copies, n_lines, n_dropped and the rest of each text, or its hash."""
     last, kind = ("text", pa.string()) if with_text else ("kept_sha256", pa.string())
 
     def lines_of(docs: pa.Table, hits: pa.Table) -> pa.Table:
@@ -237,6 +304,7 @@ def cut(in_batches: DataFrame, hits: DataFrame, min_chars: int, with_text: bool)
             for hit in np.frombuffer(part, HIT):
                 keep[hit.tobytes()[:16]] = int(hit["keep"])
         ids, n_lines, n_dropped, rest = [], [], [], []
+        copies = docs.column("copies").to_pylist()
         for part in docs.to_batches():
             for doc_id, text in zip(part.column("doc_id").to_pylist(), as_bytes(part), strict=True):
                 own = NO_ID if doc_id is None else doc_id
@@ -250,6 +318,7 @@ def cut(in_batches: DataFrame, hits: DataFrame, min_chars: int, with_text: bool)
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64()),
+                "copies": pa.array(copies, pa.int64()),
                 "n_lines": pa.array(n_lines, pa.int64()),
                 "n_dropped": pa.array(n_dropped, pa.int64()),
                 last: pa.array(rest, kind),
@@ -259,7 +328,7 @@ def cut(in_batches: DataFrame, hits: DataFrame, min_chars: int, with_text: bool)
     return (
         in_batches.groupBy("batch")
         .cogroup(hits.groupBy("batch"))
-        .applyInArrow(lines_of, f"doc_id long, n_lines long, n_dropped long, {last} string")
+        .applyInArrow(lines_of, f"doc_id long, copies long, n_lines long, n_dropped long, {last} string")
     )
 
 
@@ -267,11 +336,13 @@ def deduplicated(
     docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, with_text: bool = True
 ) -> DataFrame:
     """doc_id, n_lines, n_dropped and text without the lines that others keep."""
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    in_batches = dealt(docs, max(LEAST_TASKS, size // BATCH_TEXT + 1))
-    lists = listed(in_batches, max(LEAST_TASKS, size // SHARD_TEXT + 1), min_chars)
-    hits = probed(lists, indexed(lists), min_docs)
-    return cut(in_batches, hits, min_chars, with_text)
+    rows, size, crowded = collapsed(docs)
+    in_batches = dealt(rows, max(LEAST_TASKS, size // BATCH_TEXT + 1))
+    shards = max(LEAST_TASKS, size // SHARD_TEXT + 1)
+    lists, lots = in_lots(scratch(docs.sparkSession, listed(in_batches, shards, min_chars), "line-lists"))
+    hits = probed(lists, indexed(lists, lots), min_docs)
+    left = cut(in_batches, hits, min_chars, with_text)
+    return spread_again(left) if crowded else left.drop("copies")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

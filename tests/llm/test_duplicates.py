@@ -9,6 +9,7 @@ import xxhash
 from conftest import plain
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strandline.llm import exact_dedup, line_dedup, simhash
 
@@ -249,6 +250,40 @@ def test_line_texts(spark, odd, odd_rows):
     assert got == Counter((r[0], r[3]) for r in line_twin(odd_rows))
 
 
+def test_a_line_in_all_batches_is_merged_in_lots(spark, monkeypatch):
+    rows = [(i, f"a line that every single document holds\na line of number {i // 3} and others") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(line_dedup, "BATCH_TEXT", 500)
+    monkeypatch.setattr(line_dedup, "LOT_BYTES", 1_024)
+    batches = spark.createDataFrame([(b, b % 3) for b in range(90)], "batch long, shard long")
+    entry = np.zeros(4, line_dedup.ENTRY).tobytes()
+    lists, lots = line_dedup.in_lots(batches.withColumn("entries", F.lit(bytearray(entry))))
+    assert {r.lots for r in lots.collect()} == {4} and {r.lot for r in lists.collect()} == {0, 1, 2, 3}
+    got = line_dedup.deduplicated(docs).collect()
+    want = [r[:3] for r in line_twin(rows)]
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped) for r in got) == Counter(want)
+
+
+def test_many_equal_rows(spark, monkeypatch):
+    rows = [(1, "one line that is long enough\nand one more that is long enough"), (None, None)]
+    docs = spark.range(100_000).select(F.lit(rows[0][0]).cast("long").alias("doc_id"), F.lit(rows[0][1]).alias("text"))
+    nulls = spark.range(2_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    other = spark.createDataFrame([(0, rows[0][1])], "doc_id long, text string")
+    every = docs.unionByName(nulls).unionByName(other)
+    collapsed, _, crowded = line_dedup.collapsed(every)
+    assert crowded and sorted(r.copies for r in collapsed.collect()) == [1, 2_000, 100_000]
+    monkeypatch.setattr(line_dedup, "SPREAD_ROWS", 30_000)
+    got = line_dedup.deduplicated(every).groupBy("doc_id", "n_lines", "n_dropped", "text").count()
+    want = {(1, 2, 0, rows[0][1], 100_000), (None, 1, 0, "", 2_000), (0, 2, 2, "", 1)}
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_lines_with_clashing_columns(spark, clashing, odd_rows, folder, monkeypatch):
+    monkeypatch.setattr(line_dedup, "EQUAL_ROWS", 1)
+    got = [tuple(r) for r in line_dedup.op4(spark, folder(documents=clashing)).collect()]
+    assert Counter(got) == Counter(line_twin(odd_rows))
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 5000])
 def test_minimal_perfect_hash(n):
     rng = np.random.default_rng(n)
