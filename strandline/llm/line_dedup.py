@@ -12,10 +12,11 @@ the number of documents, the id that keeps the line. Batches probe the arrays wi
 the hashes they listed and learn which of them are too frequent; the lines
 themselves are never shuffled to be joined. With that, a batch cuts its documents.
 
-Lists are written down, so a lost executor doesn't list again. A line that nearly every
-batch holds would bring an entry a batch to its shard: a shard whose lists are over a
-limit is cut into lots of batches, each lot is merged first, and the merged lots make the
-index, which each lot probes. Rows equal in id and text would share a batch: beyond a
+A line that nearly every batch holds brings an entry a batch to its shard. Beyond
+``FEW_BATCHES``, where one such line adds over a megabyte, lists are written down and
+measured: a shard whose lists are over a limit is cut into lots of batches, each lot is
+merged first, and the merged lots make the index, which each lot probes. Text is shuffled
+twice then; below, once, as listing and cutting share a shuffle. Rows equal in id and text would share a batch: beyond a
 limit they travel as one row with a count, which is spread again at the end.
 
 Defined cases: null and empty text is one empty line; keys shorter than the limit
@@ -42,6 +43,8 @@ BATCH_TEXT, SHARD_TEXT = 4 << 20, 32 << 20
 TASK_BATCHES, LEAST_TASKS = 4, 32
 #: Lists of a shard that one group reads, and equal rows that go as they are.
 LOT_BYTES, EQUAL_ROWS = 64 << 20, 1_024
+#: Batches up to which the lists of shards need no measuring.
+FEW_BATCHES = 1 << 15
 #: Copies of a row that are spread at once.
 SPREAD_ROWS = 1 << 16
 NO_ID = -(1 << 63)
@@ -337,9 +340,13 @@ def deduplicated(
 ) -> DataFrame:
     """doc_id, n_lines, n_dropped and text without the lines that others keep."""
     rows, size, crowded = collapsed(docs)
-    in_batches = dealt(rows, max(LEAST_TASKS, size // BATCH_TEXT + 1))
-    shards = max(LEAST_TASKS, size // SHARD_TEXT + 1)
-    lists, lots = in_lots(scratch(docs.sparkSession, listed(in_batches, shards, min_chars), "line-lists"))
+    batches = max(LEAST_TASKS, size // BATCH_TEXT + 1)
+    in_batches = dealt(rows, batches)
+    lists = listed(in_batches, max(LEAST_TASKS, size // SHARD_TEXT + 1), min_chars)
+    if batches > FEW_BATCHES:
+        lists, lots = in_lots(scratch(docs.sparkSession, lists, "line-lists"))
+    else:
+        lists, lots = lists.withColumn("lot", F.lit(0).cast("long")), None
     hits = probed(lists, indexed(lists, lots), min_docs)
     left = cut(in_batches, hits, min_chars, with_text)
     return spread_again(left) if crowded else left.drop("copies")

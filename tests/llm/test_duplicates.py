@@ -255,6 +255,7 @@ def test_a_line_in_all_batches_is_merged_in_lots(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     monkeypatch.setattr(line_dedup, "BATCH_TEXT", 500)
     monkeypatch.setattr(line_dedup, "LOT_BYTES", 1_024)
+    monkeypatch.setattr(line_dedup, "FEW_BATCHES", 40)
     batches = spark.createDataFrame([(b, b % 3) for b in range(90)], "batch long, shard long")
     entry = np.zeros(4, line_dedup.ENTRY).tobytes()
     lists, lots = line_dedup.in_lots(batches.withColumn("entries", F.lit(bytearray(entry))))
@@ -280,6 +281,7 @@ def test_many_equal_rows(spark, monkeypatch):
 
 def test_lines_with_clashing_columns(spark, clashing, odd_rows, folder, monkeypatch):
     monkeypatch.setattr(line_dedup, "EQUAL_ROWS", 1)
+    monkeypatch.setattr(line_dedup, "FEW_BATCHES", 0)
     got = [tuple(r) for r in line_dedup.op4(spark, folder(documents=clashing)).collect()]
     assert Counter(got) == Counter(line_twin(odd_rows))
 
