@@ -238,12 +238,12 @@ def unpacked(column: pa.ChunkedArray) -> list[np.ndarray]:
 
 
 def in_lots(lists: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The lists with a column ``lot``, and (shard, lots) of the shards cut into several."""
+    """Where shards are cut: the lists with a column ``lot``, and (shard, lots) of those shards."""
     sums = lists.groupBy("shard").agg(F.sum(F.octet_length("entries").cast("long")).alias("bytes"))
     lots = sums.select("shard", F.ceil(F.col("bytes") / LOT_BYTES).alias("lots")).where("lots > 1")
     crowds = lots.count()
     if not crowds:
-        return lists.withColumn("lot", F.lit(0).cast("long")), None
+        return lists, None
     lots = if_small(scratch(lists.sparkSession, lots, "line-lots"), crowds, 16)
     lot = F.pmod(F.xxhash64("batch"), F.coalesce("lots", F.lit(1).cast("long")))
     return lists.join(lots, "shard", "left").withColumn("lot", lot), lots
@@ -255,7 +255,7 @@ def merge_lot(key: tuple, group: pa.Table) -> pa.Table:
 
 
 def indexed(lists: DataFrame, lots: DataFrame | None) -> DataFrame:
-    """(shard, lot, index): the index of a shard, once for each of its lots."""
+    """(shard, index): with ``lots`` also (lot), once for each lot of the shard."""
 
     def build(key: tuple, group: pa.Table) -> pa.Table:
         index = LineIndex.build(merged(unpacked(group.column("entries"))))
@@ -263,7 +263,7 @@ def indexed(lists: DataFrame, lots: DataFrame | None) -> DataFrame:
 
     schema = "shard long, index binary"
     if lots is None:
-        return lists.groupBy("shard").applyInArrow(build, schema).withColumn("lot", F.lit(0).cast("long"))
+        return lists.groupBy("shard").applyInArrow(build, schema)
     whole = lists.where("lots IS NULL").select("shard", "entries")
     first = lists.where("lots IS NOT NULL").select("shard", "lot", "entries").groupBy("shard", "lot")
     parts = whole.unionByName(first.applyInArrow(merge_lot, "shard long, entries binary"))
@@ -292,8 +292,9 @@ def probed(lists: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
                 hits.append(found.tobytes())
         return pa.table({"batch": pa.array(batches, pa.int64()), "hits": pa.array(hits, pa.binary())})
 
-    lists, index = lists.select("batch", "entries", "shard", "lot"), index.select("index", "shard", "lot")
-    own, shards = lists.groupBy("shard", "lot"), index.groupBy("shard", "lot")
+    # Without lots both sides are grouped as the index was, so that lists are shuffled once.
+    group = ["shard", "lot"] if "lot" in lists.columns else ["shard"]
+    own, shards = lists.select("batch", "entries", *group).groupBy(*group), index.select("index", *group).groupBy(*group)
     return own.cogroup(shards).applyInArrow(probe, "batch long, hits binary")
 
 
@@ -343,10 +344,9 @@ def deduplicated(
     batches = max(LEAST_TASKS, size // BATCH_TEXT + 1)
     in_batches = dealt(rows, batches)
     lists = listed(in_batches, max(LEAST_TASKS, size // SHARD_TEXT + 1), min_chars)
+    lots = None
     if batches > FEW_BATCHES:
         lists, lots = in_lots(scratch(docs.sparkSession, lists, "line-lists"))
-    else:
-        lists, lots = lists.withColumn("lot", F.lit(0).cast("long")), None
     hits = probed(lists, indexed(lists, lots), min_docs)
     left = cut(in_batches, hits, min_chars, with_text)
     return spread_again(left) if crowded else left.drop("copies")
