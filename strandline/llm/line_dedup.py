@@ -292,9 +292,11 @@ def probed(lists: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
                 hits.append(found.tobytes())
         return pa.table({"batch": pa.array(batches, pa.int64()), "hits": pa.array(hits, pa.binary())})
 
-    # Without lots both sides are grouped as the index was, so that lists are shuffled once.
-    group = ["shard", "lot"] if "lot" in lists.columns else ["shard"]
-    own, shards = lists.select("batch", "entries", *group).groupBy(*group), index.select("index", *group).groupBy(*group)
+    # Without lots the lists are grouped just as for the index, so that they are shuffled once.
+    group = ["shard"]
+    if "lot" in lists.columns:
+        lists, group = lists.select("batch", "entries", "shard", "lot"), ["shard", "lot"]
+    own, shards = lists.groupBy(*group), index.select("index", *group).groupBy(*group)
     return own.cogroup(shards).applyInArrow(probe, "batch long, hits binary")
 
 
