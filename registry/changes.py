@@ -42,6 +42,13 @@ def meter_changes(spark, sf, operations=envelope.WRITES):
     return envelope.read_changes(I.meter_log(spark, sf), envelope.METER_READINGS, operations)
 
 
+def decoded_changes(spark, sf):
+    """All changes of readings, decoded once for queries that read them several times."""
+    changes, path = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE)), shared_dir(spark, "decoded")
+    changes.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(changes.schema).parquet(path)
+
+
 def investment_changes(spark, sf):
     return envelope.read_changes(I.investment_log(spark, sf), envelope.INVESTMENTS)
 
@@ -275,7 +282,7 @@ def scd2_history(spark, sf):
 @query("scd2_history_sliced", f"WITH {_VERSIONS} SELECT {_VERSION_SELECT} FROM versions")
 def scd2_history_sliced(spark, sf):
     """The same fold with every key of two changes or more cut into slices of one."""
-    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    changes = decoded_changes(spark, sf)
     hot = skew.find_hot_keys(changes, ["reading_id"], I.METER_ORDER, rows_per_slice=1)
     return history.history(changes, "reading_id", I.METER_ORDER, hot=hot).select(*_VERSION_COLUMNS)
 
@@ -284,7 +291,7 @@ def scd2_history_sliced(spark, sf):
 def scd2_incremental(spark, sf):
     """The log in three batches; the second holds events older than the first's."""
     root = shared_dir(spark, "kept-history")
-    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    changes = decoded_changes(spark, sf)
     part = F.pmod(F.xxhash64("bronze_offset", "facility_id", "cdc_timestamp"), F.lit(3))
     for number in (2, 0, 1):
         kept.apply_batch(changes.where(part == number), root, "reading_id", I.METER_ORDER, buckets=16)
@@ -295,7 +302,7 @@ def scd2_incremental(spark, sf):
 def scd2_incremental_by_range(spark, sf):
     """Buckets of running numbers that the caller chooses; some numbers have none."""
     root = shared_dir(spark, "kept-by-range")
-    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    changes = decoded_changes(spark, sf)
     number = F.expr("CASE WHEN reading_id % 17 <> 0 THEN reading_id DIV 40000 END")
     month = F.month("cdc_timestamp") % 2
     for part in (1, 0):
@@ -569,7 +576,7 @@ def asof_join_inner(spark, sf):
 def followed_marts(spark, sf):
     """The marts after two batches of the meter log, prices of half the months coming with the second."""
     root = shared_dir(spark, "followed-marts")
-    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    changes = decoded_changes(spark, sf)
     prices = S.wholesale_prices(I.prices(spark, sf))
     part = F.pmod(F.xxhash64("bronze_offset", "facility_id", "cdc_timestamp"), F.lit(2))
     for number, known in ((1, F.month("price_month") % 2 == 0), (0, F.lit(True))):

@@ -23,18 +23,19 @@ import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strandline.operators.envelope import DELETE, LOG_ORDER
 from strandline.operators.history import history
+from strandline.operators.skew import SLICE, find_hot_keys, with_slices
 
 BUCKET = "bucket"
 HISTORY = "history"
 # The bucket of rows whose own is NULL.
 NO_BUCKET = -1
-_LIST = "generations"
+_LIST, _BEFORE = "generations", "__before"
 _LISTED = f"store string, {BUCKET} int, folder string, generation long"
 _FOLDED = ("valid_from", "valid_to", "is_current")
 
@@ -61,10 +62,15 @@ def rows_of(spark: SparkSession, root: str, paths: Iterable[str], schema: Struct
     return rows.select(*schema.names)
 
 
-def staged(rows: DataFrame, root: str, store: str, touched: Iterable[int]) -> list[tuple[str, int, str]]:
-    """Write the new rows of the touched buckets; nobody reads them before ``publish``."""
+def staged(
+    rows: DataFrame, root: str, store: str, touched: Iterable[int], dealt: bool = False
+) -> list[tuple[str, int, str]]:
+    """Write the new rows of the touched buckets; nobody reads them before ``publish``.
+
+    Rows that are ``dealt`` lie in ranges of buckets already, and are written as they lie.
+    """
     folder = f"{root.rstrip('/')}/{store}/generation={uuid.uuid4().hex}"
-    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
+    (rows if dealt else rows.hint("rebalance", BUCKET)).write.partitionBy(BUCKET).parquet(folder)
     written = rows.sparkSession.read.schema(rows.schema).parquet(folder).select(BUCKET).distinct()
     there = {r[0] for r in written.collect()}  # the touched buckets, at most
     # A bucket that became empty has no folder, and is listed as having none.
@@ -89,7 +95,9 @@ def folded_batch(
 ) -> tuple[list[tuple[str, int, str]], list[str]]:
     """Fold a batch into the buckets it touches, without naming the result yet.
 
-    The entries to ``publish``, and the folders that the same buckets had before.
+    The entries to ``publish``, and the folders that the same buckets had before. The batch
+    is read several times: one that is costly to make (decoded from a log) should be written
+    down by the caller.
     """
     spark, root = changes.sparkSession, root.rstrip("/")
     keys = [key] if isinstance(key, str) else list(key)
@@ -100,11 +108,19 @@ def folded_batch(
         return [], []
     kept = folders(spark, root)
     paths = [kept[b] for b in touched if kept.get(b)]
-    before = rows_of(spark, root, paths, batch.schema)
-    once = batch.unionByName(before).dropDuplicates([*keys, *order_by])
+    rows = batch.unionByName(rows_of(spark, root, paths, batch.schema))
+    hot = find_hot_keys(rows, keys, order_by)
+    group, order_by = [BUCKET, *keys, SLICE], list(order_by)
+    # Dealt by ranges, so that one shuffle and one sort serve the fold and the files: a task has
+    # whole slices of keys, and the buckets it writes are next to each other.
+    dealt = with_slices(rows, keys, order_by, hot).repartitionByRange(*group)
+    place = F.struct(*order_by)
+    before = F.lag(place).over(Window.partitionBy(*group).orderBy(*order_by))
+    # The same change again stands right behind the first.
+    once = dealt.withColumn(_BEFORE, before).where(~F.col(_BEFORE).eqNullSafe(place)).drop(_BEFORE)
     # Deletes stay among the rows, to close what a later batch brings; readers skip them.
-    folded = history(once, keys, order_by, operation=None, hot="find")
-    return staged(folded, root, HISTORY, touched), paths
+    folded = history(once, [BUCKET, *keys], order_by, operation=None, hot=hot)
+    return staged(folded, root, HISTORY, touched, dealt=True), paths
 
 
 def apply_batch(
