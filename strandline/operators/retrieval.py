@@ -35,6 +35,8 @@ VECTORS_PER_CELL = 4_096
 TARGET_RECALL = 0.93
 # Seeded questions by which probes are counted, and cells of theirs held at once.
 _TRIAL_QUESTIONS, _TRIAL_CELLS = 256, 1 << 24
+# Rows of questions and cells that leave a task at once; each row has the question's vector.
+_ASKED_AT_ONCE = 16_384
 # Neighbours that are sent to the chunks; more are joined by a shuffle.
 _BROADCAST_ROWS = 100_000
 # Where the parts of an index lie.
@@ -274,14 +276,21 @@ def _kind(spark: SparkSession, path: str) -> str:
 
 
 def _probed(planes: np.ndarray, probes: int):
-    """Each question once for each of its likeliest cells."""
+    """Each question once for each of its likeliest cells, in batches of bounded length."""
+
+    def piece(batch: pa.RecordBatch, rows: list[np.ndarray], cells: list[np.ndarray]) -> pa.RecordBatch:
+        asked = batch.take(pa.array(np.concatenate(rows)))
+        return pa.RecordBatch.from_arrays(
+            [*asked.columns, pa.array(np.concatenate(cells).astype("int32"))],
+            names=["query_id", "vector", "cell"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             margins = _unit(_matrix(pa.Table.from_batches([batch]))) @ planes.T
-            rows, cells = [], []
+            rows, cells, held = [], [], 0
             for at, own in enumerate(margins):
                 # What it costs to be in a cell, for all cells: bit by bit they double.
                 cost = np.zeros(1)
@@ -290,13 +299,15 @@ def _probed(planes: np.ndarray, probes: int):
                     cost = np.concatenate([cost + (crossed if margin > 0 else 0.0),
                                            cost + (0.0 if margin > 0 else crossed)])
                 nearest = np.argsort(np.round(cost, DISTANCE_DIGITS), kind="stable")[:probes]
-                rows.append(np.full(len(nearest), at))
-                cells.append(nearest)
-            asked = batch.take(pa.array(np.concatenate(rows)))
-            yield pa.RecordBatch.from_arrays(
-                [*asked.columns, pa.array(np.concatenate(cells).astype("int32"))],
-                names=["query_id", "vector", "cell"],
-            )
+                for start in range(0, len(nearest), _ASKED_AT_ONCE):
+                    some = nearest[start : start + _ASKED_AT_ONCE]
+                    if held + len(some) > _ASKED_AT_ONCE:
+                        yield piece(batch, rows, cells)
+                        rows, cells, held = [], [], 0
+                    rows.append(np.full(len(some), at))
+                    cells.append(some)
+                    held += len(some)
+            yield piece(batch, rows, cells)
 
     return run
 
