@@ -87,3 +87,8 @@ def test_asked_cells_leave_in_bounded_batches():
     assert max(b.num_rows for b in made) <= retrieval._ASKED_AT_ONCE
     pairs = {(q, c) for b in made for q, c in zip(b["query_id"].to_pylist(), b["cell"].to_pylist(), strict=True)}
     assert sum(b.num_rows for b in made) == len(pairs) == questions << 12
+
+
+def test_a_page_of_texts_is_measured_after_each_row(spark):
+    settings = ("parquet.page.size.row.check.min", "parquet.page.size.check.estimate")
+    assert [spark.conf.get(s) for s in settings] == ["1", "false"]
