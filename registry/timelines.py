@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry import inputs as I
-from registry.changes import _LOGGED, meter_changes
+from registry.changes import _LOGGED, decoded_changes
 from registry.core import query
-from strandline.operators import bitemporal, envelope, history, intervals
+from strandline.operators import bitemporal, history, intervals
 
 # --- overlapping intervals -------------------------------------------------------------
 
@@ -156,7 +156,7 @@ _ORDER = "ORDER BY cdc_timestamp DESC, bronze_partition DESC, bronze_offset DESC
 )
 def audit_readings(spark, sf):
     """What the data showed on each of twelve days: readings and their sum, in one sweep."""
-    changes = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE))
+    changes = decoded_changes(spark, sf)  # asked about, sketched and swept
     first = F.lit("1995-01-01").cast("date")
     days = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda n: F.date_add(first, n * 200).cast("timestamp"))
     asked = changes.select("reading_id").distinct().select("reading_id", F.explode(days).alias("known"))

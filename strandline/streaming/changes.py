@@ -21,7 +21,7 @@ def guard_duplicates(log: DataFrame, within: str = "1 hour") -> DataFrame:
     """
     place = F.concat_ws("/", *[F.col(c).cast("string") for c in ("topic", "partition", "offset")])
     return (
-        log.withColumn("__digest", F.coalesce(F.sha2(F.col("value"), 256), place))
+        log.withColumn("__digest", F.coalesce(F.unhex(F.sha2(F.col("value"), 256)), place.cast("binary")))
         .withColumn("__seen_at", F.current_timestamp())
         .withWatermark("__seen_at", within)
         .dropDuplicatesWithinWatermark(["topic", "key", "__digest"])
