@@ -229,10 +229,10 @@ _VERSION_SELECT = ", ".join(_VERSION_COLUMNS).replace(
 )
 
 
-def meter_history(spark, sf, **options):
+def meter_history(spark, sf, columns=None, **options):
     log = I.meter_log(spark, sf)
     changes = envelope.read_changes(
-        log, envelope.METER_READINGS, (*envelope.WRITES, envelope.DELETE)
+        log, envelope.METER_READINGS, (*envelope.WRITES, envelope.DELETE), columns
     )
     return history.history(changes, "reading_id", I.METER_ORDER, log=log, **options)
 
@@ -261,7 +261,8 @@ def scd2_open(spark, sf):
     WHERE NOT is_current""",
 )
 def scd2_close(spark, sf):
-    return history.closed_versions(meter_history(spark, sf)).select(
+    # The key, and what orders the changes: no other field is read.
+    return history.closed_versions(meter_history(spark, sf, ["facility_id"])).select(
         "reading_id", "bronze_offset", "valid_from", "valid_to"
     )
 

@@ -156,9 +156,11 @@ def investments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_decimal(value: Column, scale: int) -> Column:
     """Base64 of the scaled integer in the fewest whole bytes, as the wire has it."""
     unscaled = (value * F.lit(Decimal(10) ** scale)).cast("bigint")
-    magnitude = F.when(unscaled < 0, F.bitwise_not(unscaled)).otherwise(unscaled)
-    size = F.floor((F.length(F.bin(magnitude)) + 8) / 8).cast("int")  # with a sign bit
-    return F.base64(F.unhex(F.right(F.lpad(F.hex(unscaled), 16, "0"), size * 2)))
+    magnitude = unscaled.bitwiseXOR(F.shiftright(unscaled, 63))  # of a negative number: -1 less it
+    size = F.lit(1)
+    for bits in range(7, 63, 8):  # one of each byte is the sign
+        size = size + (magnitude >= F.lit(1 << bits)).cast("int")
+    return F.base64(F.unhex(F.substr(F.lpad(F.hex(unscaled), 16, "0"), size * -2)))
 
 
 def _millis(moment: Column) -> Column:
@@ -251,11 +253,12 @@ def build_meter_log(spark: SparkSession, sf_dir: str, redelivered: bool = False)
     value = _envelope(operation, millis, "image", F.col("l_linestatus") == "F")
     # One row per message: the event, its tombstone if it is a delete, its copies.
     tombstones = F.when(operation == "d", F.lit(1)).otherwise(F.lit(0))
-    copies = F.when((F.col("l_linenumber") == 7) & F.lit(redelivered), F.lit(2)).otherwise(F.lit(0))
+    copies = F.when(F.col("l_linenumber") == 7, F.lit(2)).otherwise(F.lit(0))
+    copy = F.explode(F.sequence(F.lit(0), copies)) if redelivered else F.lit(0)
     messages = (
         spread(table(spark, sf_dir, "lineitem"))
         .select("*", F.explode(F.sequence(F.lit(0), tombstones)).alias("tombstone"))
-        .select("*", F.explode(F.sequence(F.lit(0), copies)).alias("copy"))
+        .select("*", copy.alias("copy"))
     )
     return messages.select("*", row).select(
         _message_key("reading_id", reading_id).alias("key"),

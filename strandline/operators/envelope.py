@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +37,13 @@ class Entity:
     def columns(self) -> list[str]:
         return list(self.fields)
 
+    def only(self, columns: Sequence[str]) -> Entity:
+        """The entity with its key and the given fields."""
+        if unknown := set(columns) - set(self.fields):
+            raise ValueError(f"no such fields: {sorted(unknown)}")
+        wanted = {self.key, *columns}
+        return Entity(self.key, {name: kind for name, kind in self.fields.items() if name in wanted})
+
 
 METER_READINGS = Entity(
     key="reading_id",
@@ -158,9 +165,18 @@ def decode_fields(changes: DataFrame, entity: Entity) -> DataFrame:
 
 
 def read_changes(
-    log: DataFrame, entity: Entity, operations: tuple[str, ...] = WRITES
+    log: DataFrame,
+    entity: Entity,
+    operations: tuple[str, ...] = WRITES,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Extract, filter and decode: the whole step from log to typed changes."""
+    """Extract, filter and decode: the whole step from log to typed changes.
+
+    Of the entity's fields only ``columns`` and the key are parsed, where given: the
+    planner doesn't see into the parser, and would have it read all of them.
+    """
+    if columns is not None:
+        entity = entity.only(columns)
     return decode_fields(keep_operations(extract_changes(log, entity), operations), entity)
 
 

@@ -142,3 +142,11 @@ def test_latest_per_key(spark):
     )
     rows = envelope.latest_per_key(changes, "facility_id").collect()
     assert [(r.facility_id, r.name) for r in rows] == [(1, "b")]
+
+
+def test_numbers_take_the_fewest_bytes_at_every_size(spark):
+    edges = {sign * (1 << bits) + d for bits in range(59) for sign in (1, -1) for d in (-1, 0, 1)}
+    rows = [(n, Decimal(n)) for n in edges] + [(None, None)]
+    df = spark.createDataFrame(rows, "n long, value decimal(18,0)")
+    for n, encoded in df.select("n", encode_decimal(F.col("value"), 0)).collect():
+        assert encoded == (None if n is None else wire(n))

@@ -33,6 +33,27 @@ def test_history_is_one_shuffle_and_one_scan(spark, log):
     assert text.count("from_json") == 1  # the filter does not parse again
 
 
+def test_closed_versions_parse_only_what_they_show(spark):
+    from registry import QUERIES
+
+    text = plan(QUERIES["scd2_close"](spark, SF_DIR))
+    parsed = re.search(r"from_json\((.*?), value#", text).group(1)
+    assert "facility_id" in parsed and "reported_kwh" not in parsed and "correction_reason" not in parsed
+
+
+def test_fields_left_out_do_not_change_the_others(spark, log):
+    few = envelope.read_changes(log, envelope.METER_READINGS, (*envelope.WRITES, "d"), ["facility_id"])
+    every = envelope.read_changes(log, envelope.METER_READINGS, (*envelope.WRITES, "d"))
+    assert few.exceptAll(every.select(*few.columns)).isEmpty() and few.count() == every.count()
+    with pytest.raises(ValueError, match="no such fields"):
+        envelope.read_changes(log, envelope.METER_READINGS, columns=["nothing"])
+
+
+def test_encoding_a_number_writes_no_binary_digits(spark):
+    text = plan(I.build_meter_log(spark, SF_DIR))
+    assert "bin(" not in text and text.count("explode(") == 1  # no copies, no step for them
+
+
 def test_current_versions_combine_before_the_shuffle(spark, log):
     changes = envelope.read_changes(log, envelope.METER_READINGS)
     text = plan(history.current_from_log(changes, "reading_id", I.METER_ORDER))
