@@ -371,7 +371,7 @@ def scd2_redelivered(spark, sf):
         log, envelope.METER_READINGS, (*envelope.WRITES, envelope.DELETE)
     )
     identity = [*envelope.METER_READINGS.columns, "operation", "cdc_timestamp"]
-    once = history.drop_redelivered(changes, identity, I.METER_ORDER)
+    once = history.drop_redelivered(changes, identity, I.METER_ORDER, key="reading_id", log=log)
     versions = history.history(once, "reading_id", I.METER_ORDER, log=log)
     return versions.select(*_VERSION_COLUMNS)
 

@@ -8,9 +8,11 @@ same, gap-free intervals. Nothing is merged into or rewritten.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.operators.envelope import DELETE, INSERTS, LOG_ORDER, UPDATE
@@ -27,18 +29,35 @@ def _as_list(key: str | Sequence[str]) -> list[str]:
 
 
 def drop_redelivered(
-    changes: DataFrame, identity: Sequence[str], order_by: Sequence[str] = LOG_ORDER
+    changes: DataFrame,
+    identity: Sequence[str],
+    order_by: Sequence[str] = LOG_ORDER,
+    *,
+    key: str | Sequence[str] | None = None,
+    log: DataFrame | None = None,
 ) -> DataFrame:
     """One row per change, however often the log holds it; the earliest position wins.
 
     A grouped minimum rather than a ranking window: copies collapse before the
     shuffle, even where they are a large part of the log. They are grouped by a
     digest of 128 bits, which is short to sort by.
+
+    With ``key``, columns of the identity, and the ``log`` whose message keys name them,
+    copies meet where ``history`` needs the key's changes: the rows are shuffled once for
+    both, and ``history`` finds them sliced. Where a key of the log is crowded, they are
+    grouped as without.
     """
     # NULL adds nothing to a hash, so which columns are NULL goes in as well.
     parts = [F.col(c) for c in identity] + [F.col(c).isNull() for c in identity]
     digest = {f"__digest_{i}": F.xxhash64(F.lit(i), *parts) for i in (0, 1)}
-    first = F.min_by(F.struct(*changes.columns), F.struct(*[F.col(c) for c in order_by]))
+    place = [F.col(c) for c in order_by]
+    if key is not None:
+        keys = _as_list(key)
+        if log is None or not set(keys) <= set(identity):
+            raise ValueError("a key must be part of the identity and have a log")
+        if not crowded(log):
+            return _dropped_by_key(changes, keys, digest, place)
+    first = F.min_by(F.struct(*changes.columns), F.struct(*place))
     return (
         changes.withColumns(digest)
         .groupBy(*digest)
@@ -47,6 +66,23 @@ def drop_redelivered(
     )
 
 
+def _dropped_by_key(
+    changes: DataFrame, keys: Sequence[str], digest: Mapping[str, Column], place: Sequence[Column]
+) -> DataFrame:
+    missing = reduce(or_, [F.col(k).isNull() for k in keys])
+    # Rows without a key are spread, but so that copies stay together.
+    slice_of = F.when(missing, F.col("__digest_0")).otherwise(F.lit(0).cast("long"))
+    copies = Window.partitionBy(*keys, SLICE, *digest).orderBy(*place)
+    return (
+        changes.withColumns(digest)
+        .withColumns({SLICE: slice_of, HOT: F.lit(False)})
+        .repartition(*keys, SLICE)
+        .withColumn("__copy", F.row_number().over(copies))
+        .where(F.col("__copy") == 1)
+        .drop("__copy", *digest)
+    )
+
+
 def open_versions(changes: DataFrame, at: str = "cdc_timestamp") -> DataFrame:
     """Every change as a version that is open and current."""
     return changes.select(
@@ -89,6 +125,8 @@ def history(
     at = order_by[0]
     if operation and deletes == "ignore":
         changes = changes.where(F.col(operation) != DELETE)
+    if hot == "find" and SLICE in changes.columns:
+        hot = None  # an earlier step has looked and found none
     if hot == "find":
         if log is not None and crowded(log):
             path = shared_dir(changes.sparkSession, "decoded-changes")

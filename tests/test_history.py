@@ -68,6 +68,32 @@ def test_a_copy_under_a_new_offset_is_one_version(spark):
     assert {r.offset for r in once.collect()} == {0, 1, 3, 4}
 
 
+@pytest.mark.parametrize("crowded", [False, True])
+def test_copies_dropped_by_key_share_the_shuffle_of_the_fold(spark, monkeypatch, crowded):
+    rows = [(k, s % 7, "cu"[s > 2], s * 10 + c, f"v{s % 3}") for k in (1, 2, None) for s in range(9) for c in range(3)]
+    # A row whose value is NULL is no copy of the others; a row without a key may have copies.
+    df = changes(spark, [*rows, (1, 3, "u", 5, None), (1, 3, "u", 6, None), (None, 3, "u", 7, None)])
+    log = df.select(F.col("key").cast("string").alias("key"))
+    identity = ["key", "at", "operation", "value"]
+    monkeypatch.setattr(history, "crowded", lambda log: crowded)
+    once = history.drop_redelivered(df, identity, ORDER, key="key", log=log)
+    plain = history.drop_redelivered(df, identity, ORDER)
+    names = df.columns
+    read = lambda df: sorted(df.select(*names).collect(), key=str)
+    assert read(once) == read(plain) and len(read(plain)) < df.count()
+    folded = history.history(once, "key", ORDER, log=None if crowded else log)
+    wanted = history.history(plain, "key", ORDER, hot=None)
+    shuffled = folded._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffled == (2 if crowded else 1)
+    assert folded.columns == wanted.columns
+    assert sorted(folded.collect(), key=str) == sorted(wanted.collect(), key=str)
+
+
+def test_a_key_to_drop_copies_by_must_be_in_the_identity(spark):
+    with pytest.raises(ValueError, match="identity"):
+        history.drop_redelivered(changes(spark, LOG), ["at", "value"], ORDER, key="key", log=changes(spark, LOG))
+
+
 def test_insert_and_update_at_the_same_moment(spark):
     got = versions(changes(spark, [(1, 7, "c", 0, "a"), (1, 7, "u", 1, "b")]))
     assert got == [(1, "a", 7, 7, False), (1, "b", 7, None, True)]
