@@ -93,9 +93,15 @@ def as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """The text and the number of each word in order, and the distinct words by number."""
-    column = pa.array(texts, pa.binary()).cast(pa.string())
+def words(texts: list[bytes] | pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The text and the number of each word in order, and the distinct words by number.
+
+    An Arrow column of texts is read as it is; a null in it is empty.
+    """
+    if isinstance(texts, pa.Array):
+        column = texts.cast(pa.string()).fill_null("")
+    else:
+        column = pa.array(texts, pa.binary()).cast(pa.string())
     split = pc.ascii_split_whitespace(pc.ascii_lower(column) if lower else column)
     flat = split.flatten()
     sizes = np.diff(split.offsets.to_numpy())

@@ -36,11 +36,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import arrow, as_bytes, documents, remainder, scratch, slices, words
+from strandline.llm.common import arrow, documents, remainder, scratch, slices, words
 
 END = b""  # no word is empty
 #: Symbols of each kind for each unit of the vocabulary's cube root, the fewest of them,
@@ -55,8 +56,11 @@ SHARE, LEAST_STEPS, BLOCK, GROUPS, ROWS = 500_000, 150, 1024, 256, 1024
 SUMS = pa.schema([("block", pa.int64()), ("sums", pa.binary()), ("task", pa.int64()), ("seen", pa.float64())])
 #: Words whose counts are sent to every task, and the longest of them in bytes.
 COMMON, COMMON_BYTES = 100_000, 64
-#: Distinct words or sequences that a task gathers before it passes them on.
-GATHERED = 1_000_000
+#: Distinct words, or sequences, that a task gathers before it passes them on, and the
+#: sequences of the texts for each group in which they are summed.
+GATHERED, IN_GROUP = 1_000_000, 2_000_000
+#: Tokens that are scored at once; their vectors stay in a core's cache.
+AT_ONCE = 4096
 LN10 = float(np.log(10))
 
 
@@ -70,6 +74,29 @@ def class_of(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-2:]) % classes
 
 
+@lru_cache(maxsize=2)
+def classes_by_ending(classes: int) -> np.ndarray:
+    """The class of each ending: 256 of one byte, then all of two."""
+    endings = [*(bytes([x]) for x in range(256)), *(bytes([x, y]) for x in range(256) for y in range(256))]
+    return np.array([class_of(x, classes) for x in endings])
+
+
+def classes_of(listed: pa.Array, classes: int) -> np.ndarray:
+    """The class of each word; none is empty."""
+    if not len(listed):
+        return np.zeros(0, np.int64)
+    _, offsets, data = listed.buffers()
+    at = np.frombuffer(offsets, np.int32)[listed.offset : listed.offset + len(listed) + 1].astype(np.int64)
+    byte = np.frombuffer(data, np.uint8)
+    last, before = byte[at[1:] - 1].astype(np.int64), byte[at[1:] - 2].astype(np.int64)
+    return classes_by_ending(classes)[np.where(np.diff(at) > 1, 256 + 256 * before + last, last)]
+
+
+def places_of(listed: pa.Array, among: pa.Array) -> np.ndarray:
+    """Where each word is ``among`` others, -1 if nowhere."""
+    return pc.index_in(listed, value_set=among).fill_null(-1).to_numpy().astype(np.int64)
+
+
 class Symbols(NamedTuple):
     """The shortlist, most frequent first, and what the corpus counted."""
 
@@ -87,12 +114,9 @@ class Symbols(NamedTuple):
     def numbers(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.shortlist)}
 
-    def of(self, distinct: list[bytes]) -> np.ndarray:
-        own, first = self.numbers(), len(self.shortlist)
-        found = (
-            own[w] if w in own else first + class_of(w, self.classes) for w in distinct
-        )
-        return np.fromiter(found, np.int64, len(distinct))
+    def of(self, distinct: pa.Array) -> np.ndarray:
+        own = places_of(distinct, pa.array(self.shortlist, pa.binary()))
+        return np.where(own < 0, len(self.shortlist) + classes_of(distinct, self.classes), own)
 
 
 class Parameters(NamedTuple):
@@ -165,7 +189,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Tally(pa.binary())
         for batch in slices(batches):
-            _, word, distinct = words(as_bytes(batch), lower=True)
+            _, word, distinct = words(batch.column("text"), lower=True)
             held.add(distinct, np.bincount(word, minlength=len(distinct)))
             held.add([END], [batch.num_rows])
             if held.full():
@@ -195,35 +219,86 @@ def before_each(stream: np.ndarray, ends: np.ndarray, end: int) -> tuple[np.ndar
     return one, two
 
 
+def mixing_hash(keys: np.ndarray) -> np.ndarray:
+    """A hash of each key, as Spark's ``xxhash64`` gives it; different keys have different ones."""
+    one, two, three = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+    turn = lambda x, by: (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+    h = (turn(keys.astype(np.uint64) * two, 31) * one) ^ np.uint64(42 + 0x27D4EB2F165667C5 + 8)
+    h = turn(h, 27) * one + np.uint64(0x85EBCA77C2B2AE63)
+    h = (h ^ (h >> np.uint64(33))) * two
+    h = (h ^ (h >> np.uint64(29))) * three
+    return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
 def sequences(texts: DataFrame, symbols: Symbols) -> DataFrame:
-    """(key, n): how often each sequence of three symbols occurs."""
+    """(key, n): how often each sequence of three symbols occurs.
+
+    A group has a range of the keys' hashes, and its keys come in the order of the hash, so
+    each stretch of them is a mixture. To the groups they travel as arrays, sorted and counted.
+    """
     size, end = symbols.size, symbols.numbers()[END]
+    groups = max(1, -(-symbols.tokens // IN_GROUP))
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        of = (((mixing_hash(keys) >> 32) + (1 << 31)) * groups) >> 32
+        order = np.argsort(of, kind="stable")
+        keys, counts = keys[order], counts[order]
+        found, first = np.unique(of[order], return_index=True)
+        cut = lambda x: [part.tobytes() for part in np.split(x, first[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(cut(keys)), pa.array(cut(counts))], ["of", "keys", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Tally(pa.int64())
+        held, rows = [], 0
         for batch in slices(batches):
-            doc, word, distinct = words(as_bytes(batch), lower=True)
-            stream, ends, _ = sequence_of(doc, word, symbols.of(distinct.to_pylist()), batch.num_rows)
+            doc, word, distinct = words(batch.column("text"), lower=True)
+            stream, ends, _ = sequence_of(doc, word, symbols.of(distinct), batch.num_rows)
             stream[ends] = end
             one, two = before_each(stream, ends, end)
-            held.add(*np.unique((two * size + one) * size + stream, return_counts=True))
-            if held.full():
-                yield from held.out()
-        yield from held.out()
-
-    found = texts.select("text").mapInArrow(count, "key long, n long")
-    return found.groupBy("key").agg(F.sum("n").alias("n"))
+            held.append((two * size + one) * size + stream)
+            rows += len(stream)
+            if rows > GATHERED:
+                yield packed(held)
+                held, rows = [], 0
+        if rows:
+            yield packed(held)
+
+    def summed(rows: pa.Table) -> pa.Table:
+        keys, counts = (np.frombuffer(b"".join(rows[x].to_pylist()), np.int64) for x in ("keys", "counts"))
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        keys, counts = keys[first], np.add.reduceat(counts, first)
+        order = np.argsort(mixing_hash(keys))
+        return pa.table({"key": keys[order], "n": counts[order]})
+
+    found = texts.select("text").mapInArrow(count, "of long, keys binary, counts binary")
+    return found.groupBy("of").applyInArrow(summed, "key long, n long")
 
 
 # --- training ---------------------------------------------------------------
 
 
-def _by_row(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places in ``at``, and the sum of the rows of each."""
-    order = np.argsort(at, kind="stable")
-    at = at[order]
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return at[first], np.add.reduceat(rows[order], first, axis=0)
+def _runs(at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places in ``at`` (below ``most``), an order that puts equal ones together, and where each begins."""
+    order = np.argsort(at.astype(np.uint16) if most <= 1 << 16 else at, kind="stable")  # short ones are sorted faster
+    at = at.take(order)
+    new = np.empty(len(at), bool)
+    new[0] = True
+    np.not_equal(at[1:], at[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    return at.take(first), order, first
+
+
+def _sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of the rows of each place; most have one row, which needs no sum."""
+    sizes = np.diff(first, append=len(order))
+    out, many = rows.take(order.take(first), axis=0), np.flatnonzero(sizes > 1)
+    if len(many):
+        sizes_of_many = sizes.take(many)
+        starts = np.cumsum(sizes_of_many) - sizes_of_many
+        out[many] = np.add.reduceat(rows.take(order[np.repeat(sizes > 1, sizes)], axis=0), starts, axis=0)
+    return out
 
 
 class Trainer:
@@ -240,33 +315,47 @@ class Trainer:
         self.rng = np.random.default_rng(seed)
 
     def move(self, values: np.ndarray, squares: np.ndarray, at, slope: np.ndarray) -> None:
-        squares[at] += slope * slope
-        values[at] += np.float32(self.rate) * slope / np.sqrt(squares[at])
+        squares[at] = square = squares[at] + slope * slope
+        by = np.float32(self.rate) * slope
+        by /= np.sqrt(square, out=square)
+        values[at] += by
 
     def step(self, two: np.ndarray, one: np.ndarray, next: np.ndarray, count: np.ndarray) -> None:
         before, after, place, bias = self.now
+        n = len(count)
         # Slopes are means over the sequences, times the root of their number.
-        weight = (count / (self.mean * np.sqrt(len(count)))).astype(np.float32)
-        r1, r2 = before[one], before[two]
-        predicted = r1 * place[0] + r2 * place[1]
+        weight = (count / (self.mean * np.sqrt(n))).astype(np.float32)
+        r1, r2 = before.take(one, axis=0), before.take(two, axis=0)
+        predicted = r1 * place[0]
+        predicted += r2 * place[1]
         drawn = np.searchsorted(self.upto, self.rng.random(NOISE) * self.upto[-1], side="right")
         drawn = np.minimum(drawn, len(self.upto) - 1)
-        far = after[drawn]
-        real = (predicted * after[next]).sum(axis=1) + bias[next] - self.log_noise[next]
-        fake = predicted @ far.T + bias[drawn] - self.log_noise[drawn]
+        near, far = after.take(next, axis=0), after.take(drawn, axis=0)
+        real = (predicted * near).sum(axis=1) + bias[next] - self.log_noise[next]
         up = weight / (1 + np.exp(np.minimum(real, 30)))
-        down = -weight[:, None] / (1 + np.exp(-np.maximum(fake, -30)))
-        to_predicted = up[:, None] * after[next] + down @ far
+        down = predicted @ far.T  # becomes the slope of each noise symbol's score, in place
+        down += bias[drawn]
+        down -= self.log_noise[drawn]
+        np.negative(np.maximum(down, -30, out=down), out=down)
+        np.exp(down, out=down)
+        down += 1
+        np.divide(-weight[:, None], down, out=down)
+        near *= up[:, None]
+        to_predicted = down @ far
+        to_predicted += near
         places = np.stack([(to_predicted * r1).sum(axis=0), (to_predicted * r2).sum(axis=0)])
-        # The last column is the slope of the bias.
-        own = np.concatenate([up[:, None] * predicted, up[:, None]], axis=1)
-        others = np.concatenate([down.T @ predicted, down.sum(axis=0)[:, None]], axis=1)
-        at, slope = _by_row(np.concatenate([own, others]), np.concatenate([next, drawn]))
-        self.move(after, self.squares.after, at, slope[:, :-1])
-        self.move(bias, self.squares.bias, at, slope[:, -1])
-        both = np.concatenate([to_predicted * place[0], to_predicted * place[1]])
-        at, slope = _by_row(both, np.concatenate([one, two]))
-        self.move(before, self.squares.before, at, slope)
+        slopes, at = np.empty((n + NOISE, predicted.shape[1]), np.float32), np.concatenate([next, drawn])
+        np.multiply(up[:, None], predicted, out=slopes[:n])
+        np.matmul(down.T, predicted, out=slopes[n:])
+        at, order, first = _runs(at, len(bias))
+        self.move(after, self.squares.after, at, _sums(slopes, order, first))
+        own = np.concatenate([up, down.sum(axis=0)])
+        self.move(bias, self.squares.bias, at, np.add.reduceat(own.take(order), first))
+        slopes = np.empty((2 * n, predicted.shape[1]), np.float32)
+        np.multiply(to_predicted, place[0], out=slopes[:n])
+        np.multiply(to_predicted, place[1], out=slopes[n:])
+        at, order, first = _runs(np.concatenate([one, two]), len(bias))
+        self.move(before, self.squares.before, at, _sums(slopes, order, first))
         self.move(place, self.squares.place, slice(None), places)
 
 
@@ -288,11 +377,9 @@ def parts_of(batches: Iterator[pa.RecordBatch], size: int = SHARE) -> Iterator[t
 def train(
     spark: SparkSession, counted: DataFrame, symbols: Symbols, rounds: int = ROUNDS, dimensions: int = DIMENSIONS
 ) -> Parameters:
-    """Parameters after ``rounds`` over the sequence counts."""
+    """Parameters after ``rounds`` over the sequence counts, which come mixed (see ``sequences``)."""
     now, noise, size = first_parameters(symbols, dimensions), noise_of(symbols.counts), symbols.size
-    # Written in the order of a hash, so that each part that is read is a mixture.
-    mixed = counted.sortWithinPartitions(F.xxhash64("key"), "key")
-    counted = scratch(spark, mixed, "sequences").select("key", "n")
+    counted = scratch(spark, counted.select("key", "n"), "sequences")
     n, total = counted.agg(F.count("*"), F.sum("n")).first()
     if not n:
         return now
@@ -343,30 +430,32 @@ class Scorer:
     def __init__(self, parameters: Parameters):
         self.p = p = parameters
         self.size = len(p.bias)
+        self.one_back, self.two_back = p.before * p.place[0], p.before * p.place[1]
         # exp(score) is a factor of one back times a factor of two back: all sums over the
         # next symbol are a product of matrices. Each factor is taken over its row's largest.
-        far = (p.before * p.place[1]) @ p.after.T
+        far = self.two_back @ p.after.T
         far_top = far.max(axis=1)
         np.exp(np.subtract(far, far_top[:, None], out=far), out=far)
         self.sums = np.empty((self.size, self.size), np.float32)  # one back, two back
         for i in range(0, self.size, ROWS):
-            near = (p.before[i : i + ROWS] * p.place[0]) @ p.after.T + p.bias
+            near = self.one_back[i : i + ROWS] @ p.after.T + p.bias
             top = near.max(axis=1, keepdims=True)
             found = np.exp(near - top) @ far.T
             self.sums[i : i + ROWS] = np.log(np.maximum(found, 1e-30)) + top + far_top
             for one in np.flatnonzero(found.min(axis=1) < 1e-25):  # too far apart for a product
                 two = np.flatnonzero(found[one] < 1e-25)
-                scores = near[one] + (p.before[two] * p.place[1]) @ p.after.T
+                scores = near[one] + self.two_back[two] @ p.after.T
                 most = scores.max(axis=1, keepdims=True)
                 self.sums[i + one, two] = np.log(np.exp(scores - most).sum(axis=1)) + most[:, 0]
 
     def log10(self, one: np.ndarray, two: np.ndarray, next: np.ndarray) -> np.ndarray:
         p, out = self.p, np.empty(len(next))
-        for i in range(0, len(next), 1 << 16):
-            part = slice(i, i + (1 << 16))
-            predicted = p.before[one[part]] * p.place[0] + p.before[two[part]] * p.place[1]
-            scores = (predicted * p.after[next[part]]).sum(axis=1)
-            out[part] = scores + p.bias[next[part]] - self.sums[one[part], two[part]]
+        for i in range(0, len(next), AT_ONCE):
+            part = slice(i, i + AT_ONCE)
+            scores = self.one_back.take(one[part], axis=0)
+            scores += self.two_back.take(two[part], axis=0)
+            scores *= p.after.take(next[part], axis=0)
+            out[part] = scores.sum(axis=1) + p.bias[next[part]] - self.sums[one[part], two[part]]
         return out / LN10
 
 
@@ -381,6 +470,13 @@ def scorer_of(model) -> Scorer:
     return Scorer(model.value.parameters)
 
 
+@lru_cache(maxsize=1)
+def common_of(model) -> tuple[pa.Array, np.ndarray]:
+    """The common words, and their counts with a -1 behind them."""
+    common = model.value.common
+    return pa.array(list(common), pa.binary()), np.array([*common.values(), -1], np.int64)
+
+
 def scores(docs: DataFrame, counts: DataFrame, model, spark: SparkSession) -> DataFrame:
     """``docs`` (doc_id, held_out, text) with all the counts and scores.
 
@@ -404,22 +500,21 @@ def scores(docs: DataFrame, counts: DataFrame, model, spark: SparkSession) -> Da
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, _, common = model.value
-        scorer = scorer_of(model)
+        scorer, (common_words, common_counts) = scorer_of(model), common_of(model)
         end, first = symbols.numbers()[END], len(symbols.shortlist)
         # The share of a class's word is (count + 1) of all these.
         class_all = np.array(symbols.counts[first:]) + np.array(symbols.class_words) + 1
         base_all = log10(symbols.tokens + symbols.distinct + 1)
         end_count = common.get(END, 0)
         for batch in slices(batches):
-            doc, word, distinct = words(as_bytes(batch), lower=True)
-            listed, n = distinct.to_pylist(), batch.num_rows
-            symbol = symbols.of(listed)
+            doc, word, distinct = words(batch.column("text"), lower=True)
+            n, symbol = batch.num_rows, symbols.of(distinct)
             stream, ends, owner = sequence_of(doc, word, symbol, n)
             stream[ends] = end
             one, two = before_each(stream, ends, end)
             total = np.bincount(owner, scorer.log10(one, two, stream), minlength=n)
             # Within the class: a logarithm of the count now or by the join, less that of all.
-            count = np.fromiter((common.get(w, -1) for w in listed), np.int64, len(listed))
+            count = common_counts[places_of(distinct, common_words)]
             rare, listed_class = count < 0, symbol - first
             in_class = listed_class >= 0
             more = np.log10(np.maximum(count, 0) + 1.0)
@@ -429,11 +524,11 @@ def scores(docs: DataFrame, counts: DataFrame, model, spark: SparkSession) -> Da
             known = weigh((count > 0).astype(np.float64)).astype(np.int64) + (end_count > 0)
             base = weigh(more) + log10(end_count + 1) - n_tokens * base_all
             # Each text's rare words, once each.
-            late = rare[word] if len(listed) else np.zeros(0, bool)
-            pair, many = np.unique(doc[late] * max(1, len(listed)) + word[late], return_counts=True)
-            sizes = np.bincount(pair // max(1, len(listed)), minlength=n)
+            late = rare[word] if len(distinct) else np.zeros(0, bool)
+            pair, many = np.unique(doc[late] * max(1, len(distinct)) + word[late], return_counts=True)
+            sizes = np.bincount(pair // max(1, len(distinct)), minlength=n)
             rare_words = pa.StructArray.from_arrays(
-                [distinct.take(pa.array(pair % max(1, len(listed)))), pa.array(many, pa.int64())],
+                [distinct.take(pa.array(pair % max(1, len(distinct)))), pa.array(many, pa.int64())],
                 ["word", "n"],
             )
             offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))

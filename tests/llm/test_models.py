@@ -9,6 +9,7 @@ from math import log10
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from conftest import plain, words_of
@@ -420,6 +421,69 @@ def test_sequences(spark, odd, odd_rows):
     assert {r.key: r.n for r in lm_score.sequences(odd, symbols).collect()} == want
 
 
+def test_sequences_travel_packed(spark, odd, monkeypatch):
+    """A row for each group and flush is shuffled, not one for each sequence; a group's keys come mixed."""
+    counts = lm_score.word_counts(odd)
+    symbols, _ = lm_score.symbols_of(counts, shortlist=40, classes=9)
+    whole = [tuple(r) for r in lm_score.sequences(odd, symbols).collect()]
+    monkeypatch.setattr(lm_score, "IN_GROUP", 5000)
+    monkeypatch.setattr(lm_score, "GATHERED", 700)
+    found = lm_score.sequences(odd, symbols)
+    assert "Aggregate" not in found._jdf.queryExecution().toString()
+    got = [tuple(r) for r in found.collect()]
+    assert len(set(got)) == len(got) > 10_000 and sorted(got) == sorted(whole)
+    hashes = lm_score.mixing_hash(np.array([k for k, _ in whole]))
+    assert (np.diff(hashes) > 0).all()
+    hashes, groups = lm_score.mixing_hash(np.array([k for k, _ in got])), -(-symbols.tokens // 5000)
+    group = (((hashes >> 32) + 2**31) * groups) >> 32
+    assert set(group) == set(range(groups)) and groups > 5
+    assert all((np.diff(hashes[group == g]) > 0).all() for g in range(groups))
+
+
+def test_mixing_hash_is_that_of_spark(spark):
+    keys = [0, 1, 7, 3_306_744_124, 2**62 + 5, 2**63 - 1]
+    rows = spark.createDataFrame([(k,) for k in keys], "key long").selectExpr("xxhash64(key) AS h").collect()
+    assert lm_score.mixing_hash(np.array(keys)).tolist() == [r.h for r in rows]
+
+
+def test_symbols_of_words():
+    listed = [b"a", b"ab", b"zzab", "é".encode(), "слово".encode(), b"x" * 300, b"\x00", b"own"]
+    symbols = lm_score.Symbols((b"", b"own", b"zzab"), 7, (), (), 0, 0)
+    want = [symbols.numbers().get(w, 3 + lm_score.class_of(w, 7)) for w in listed]
+    words = pa.array([b"before", *listed, b"behind"], pa.binary())
+    assert symbols.of(words.slice(1, len(listed))).tolist() == want
+    assert symbols.of(words.slice(0, 0)).tolist() == []
+
+
+def test_a_step_equals_plain_sums():
+    """One step against slopes summed row by row."""
+    rng = np.random.default_rng(4)
+    draw = lambda *shape: rng.normal(0, 0.5, shape).astype(np.float32)
+    p, noise = lm_score.Parameters(draw(9, 4), draw(9, 4), draw(2, 4), draw(9)), rng.dirichlet(np.ones(9))
+    two, one, next = (rng.integers(0, 9, 30) for _ in range(3))
+    count = rng.integers(1, 6, 30)
+    trainer = lm_score.Trainer(p, noise, 2.0, 0.2, [1])
+    trainer.step(two, one, next, count)
+    upto = np.cumsum(noise)
+    drawn = np.searchsorted(upto, np.random.default_rng([1]).random(lm_score.NOISE) * upto[-1], side="right").clip(max=8)
+    slopes = lm_score.Parameters(*(np.zeros(x.shape) for x in p))
+    for a, b, c, many in zip(two, one, next, count, strict=True):
+        weight = many / (2.0 * np.sqrt(30))
+        predicted = p.before[b] * p.place[0] + p.before[a] * p.place[1]
+        to_predicted = np.zeros(4)
+        for s, real in [(c, True), *((d, False) for d in drawn)]:
+            x = predicted @ p.after[s] + p.bias[s] - np.log(noise[s] * lm_score.NOISE)
+            up = weight / (1 + np.exp(x)) if real else -weight / (1 + np.exp(-x))
+            slopes.after[s] += up * predicted
+            slopes.bias[s] += up
+            to_predicted += up * p.after[s]
+        slopes.place[:] += to_predicted * p.before[b], to_predicted * p.before[a]
+        slopes.before[b] += to_predicted * p.place[0]
+        slopes.before[a] += to_predicted * p.place[1]
+    for now, old, slope in zip(trainer.now, p, slopes, strict=True):
+        assert now == pytest.approx(old + 0.2 * slope / np.sqrt(0.01 + slope * slope), abs=1e-4)
+
+
 def test_empty(spark, empty, folder):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     where = folder(documents=empty, labels=labels)
