@@ -58,7 +58,7 @@ SUMS = pa.schema([("block", pa.int64()), ("sums", pa.binary()), ("task", pa.int6
 COMMON, COMMON_BYTES = 100_000, 64
 #: Distinct words, or sequences, that a task gathers before it passes them on, and the
 #: sequences of the texts for each group in which they are summed.
-GATHERED, IN_GROUP = 1_000_000, 2_000_000
+GATHERED, IN_GROUP = 1_000_000, 250_000
 #: Tokens that are scored at once; their vectors stay in a core's cache.
 AT_ONCE = 4096
 LN10 = float(np.log(10))
