@@ -38,13 +38,14 @@ _MWH_UNSCALED = "CAST(annual_consumption_mwh * 1000 AS HUGEINT)"
 _ZONED = "strftime(reading_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ')"
 
 
-def meter_changes(spark, sf, operations=envelope.WRITES):
-    return envelope.read_changes(I.meter_log(spark, sf), envelope.METER_READINGS, operations)
+def meter_changes(spark, sf, operations=envelope.WRITES, columns=None):
+    return envelope.read_changes(I.meter_log(spark, sf), envelope.METER_READINGS, operations, columns)
 
 
-def decoded_changes(spark, sf):
+def decoded_changes(spark, sf, columns=None):
     """All changes of readings, decoded once for queries that read them several times."""
-    changes, path = meter_changes(spark, sf, (*envelope.WRITES, envelope.DELETE)), shared_dir(spark, "decoded")
+    operations, path = (*envelope.WRITES, envelope.DELETE), shared_dir(spark, "decoded")
+    changes = meter_changes(spark, sf, operations, columns)
     changes.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(changes.schema).parquet(path)
 

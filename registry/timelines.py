@@ -156,7 +156,8 @@ _ORDER = "ORDER BY cdc_timestamp DESC, bronze_partition DESC, bronze_offset DESC
 )
 def audit_readings(spark, sf):
     """What the data showed on each of twelve days: readings and their sum, in one sweep."""
-    changes = decoded_changes(spark, sf)  # asked about, sketched and swept
+    # Asked about, sketched and swept.
+    changes = decoded_changes(spark, sf, ("facility_id", "reported_kwh"))
     first = F.lit("1995-01-01").cast("date")
     days = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda n: F.date_add(first, n * 200).cast("timestamp"))
     asked = changes.select("reading_id").distinct().select("reading_id", F.explode(days).alias("known"))

@@ -4,10 +4,12 @@
 times: the moment it asks about, and the moment whose knowledge counts. Its version is the
 last change, in the key's order, at or before the first among those seen by the second.
 
-Both sides are put in one table, sorted by the time of knowledge, and swept once per key:
-a task files each change by its place in the key's order, and a fact looks up the last one
-filed up to its moment. That is a search in a sorted list, so work grows with facts and
-changes and their logarithm, never with their product, and there is one shuffle.
+Both sides are put in one table, sorted by the time of knowledge, and swept once per key,
+many rows at a time. Of the changes seen before it, the last in the key's order answers a
+fact, unless that lies after the fact's moment; then the last of those up to the moment is
+searched in a tree over the order, whose nodes hold where the first of their changes
+stands. So work grows with facts and changes and their logarithm, never with their product,
+and there is one shuffle.
 
 A crowded key is cut into slices of its order (``skew.py``). A fact looks in the slice of
 its moment. If nothing there was known to it, its version is the last one known in some
@@ -18,66 +20,181 @@ there.
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators import skew
 from strandline.operators.envelope import DELETE, LOG_ORDER
-from strandline.operators.intervals import spark_to_arrow
-from strandline.operators.sweeps import Kept, batch_of, groups_of, swept
+from strandline.operators.sweeps import OUT_ROWS, swept
 from strandline.session import shared_dir
 
-_SEEN, _AT, _IS_FACT, _PLACE, _BOUND = "__seen", "__at", "__is_fact", "__place", "__bound"
+# A fact has no change. All that Spark hands to Python costs by the column, also where it
+# is null, so a change is one flat struct: whether it deletes, its order, its version.
+_SEEN, _AT = "__seen", "__at"
 _CHANGE, _FACT, _FOUND = "__change", "__fact", "__found"
+_GONE, _ORDER, _ROW = "gone", "o", "v"
+# Rows and bytes looked up at once; more where a group keeps more changes than that.
+_ROWS_AT_ONCE, _BYTES_AT_ONCE = 50_000, 32 << 20
 
 
-def _sweep(group: list[str], change_kind: pa.DataType):
+def _sweep(group: list[str], bounded: bool, drop: bool):
+    """Facts with what they find; not ``bounded``: whatever its moment. ``drop`` leaves out those without a version."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, current = Kept(change_kind), None
-        # The group's moments in order, and of the changes seen so far of each the last one.
-        moments: list = []
-        ranks: list[tuple] = []
-        numbers: list[int] = []
+        # Of the group that may go on one change of each moment, the last one.
+        kept, waiting, rows, size = None, [], 0, 0
         for batch in batches:
-            base = kept.add(batch.column(_CHANGE))
-            columns = [batch.column(c).to_pylist() for c in (_IS_FACT, _PLACE, _BOUND)]
-            facts, found = [], []
-            for i, (own, is_fact, place, bound) in enumerate(zip(groups_of(batch, group), *columns, strict=True)):
-                if own != current:
-                    current = own
-                    for x in (moments, ranks, numbers):
-                        x.clear()
-                if is_fact:
-                    at = len(moments) if bound is None else bisect.bisect_right(moments, bound)
-                    facts.append(i)
-                    found.append(numbers[at - 1] if at else None)
-                    continue
-                moment, rank = place["at"], tuple(map(_sortable, list(place.values())[1:]))
-                at = bisect.bisect_left(moments, moment)
-                if at == len(moments) or moments[at] != moment:
-                    moments.insert(at, moment)
-                    ranks.insert(at, rank)
-                    numbers.insert(at, base + i)
-                elif rank >= ranks[at]:
-                    ranks[at], numbers[at] = rank, base + i
-            if facts:
-                versions = kept.take(found)
-                rows = batch.column(_FACT).take(pa.array(facts, pa.int64()))
-                yield batch_of({_FACT: rows, _FOUND: versions})
-            moved = kept.shrink(numbers)
-            if moved is not None:
-                numbers[:] = [moved[n] for n in numbers]
+            waiting.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+            most, full = (kept.num_rows, kept.nbytes) if kept else (0, 0)
+            if rows >= max(_ROWS_AT_ONCE, most) or size >= max(_BYTES_AT_ONCE, full):
+                kept, found = _looked_up(kept, waiting, group, bounded, drop)
+                waiting, rows, size = [], 0, 0
+                yield from found.to_batches(max_chunksize=OUT_ROWS)
+        if rows:
+            yield from _looked_up(kept, waiting, group, bounded, drop)[1].to_batches(max_chunksize=OUT_ROWS)
 
     return run
 
 
-def _sortable(value):
-    """NULL before all values, as Spark sorts it."""
-    return (True, value) if value is not None else (False, 0)
+def _looked_up(
+    kept: pa.Table | None, waiting: list[pa.RecordBatch], group: list[str], bounded: bool, drop: bool
+) -> tuple[pa.Table, pa.Table]:
+    """What later rows need of the last group's changes, and the facts with what they found."""
+    table = pa.Table.from_batches(waiting)
+    table = (pa.concat_tables([kept, table]) if kept else table).combine_chunks()
+    columns = {name: _whole(table[name]) for name in table.column_names}
+    begins = np.zeros(table.num_rows, bool)
+    for name in group:
+        begins[1:] |= _differs(columns[name])
+    number = np.cumsum(begins)
+    is_fact, moment = columns[_CHANGE].is_null().to_numpy(zero_copy_only=False), _codes(columns[_AT])
+    facts, changes = np.flatnonzero(is_fact), np.flatnonzero(~is_fact)
+
+    # Changes by group and place, so a later group's rank is higher; of equals the one seen later.
+    changed = columns[_CHANGE].take(pa.array(changes))
+    parts = {field.name: part for field, part in zip(changed.type, changed.flatten(), strict=True)}
+    order = [_codes(part) for name, part in parts.items() if name.startswith(_ORDER)]
+    by_rank = np.lexsort([*order[::-1], moment[changes], number[changes]])
+    place = changes[by_rank]  # where the change of a rank stands
+    of_moment, of_group = moment[place], number[place]
+    best = np.full(table.num_rows, -1)
+    best[place] = np.arange(len(place))
+    best = np.maximum.accumulate(best)[facts]
+    if len(place):
+        best[of_group[best] != number[facts]] = -1
+    if bounded:
+        late = np.flatnonzero((best >= 0) & (of_moment[best] > moment[facts])) if len(place) else facts[:0]
+        if len(late):
+            asking = facts[late]
+            start = np.searchsorted(of_group, number[asking])
+            upto = _count_upto(of_moment, start, best[late], moment[asking])
+            found = _last_before(place, upto, asking)
+            best[late] = np.where(found >= start, found, -1)
+
+    if drop:
+        gone = parts[_GONE].to_numpy(zero_copy_only=False)[by_rank]
+        has = best >= 0
+        has[has] = ~gone[best[has]]
+        facts, best = facts[has], best[has]
+    rank = pa.array(best, mask=best < 0)
+    shown = [c for c in table.column_names if c not in (_CHANGE, skew.SLICE)]
+    answers = pa.table({name: columns[name].take(pa.array(facts)) for name in shown})
+    version = {name: part for name, part in parts.items() if not name.startswith(_ORDER)}
+    found = pa.StructArray.from_arrays([*version.values()], [*version]).take(pa.array(by_rank).take(rank))
+    last = np.flatnonzero(of_group == number[-1])
+    last = last[np.append(of_moment[last][1:] != of_moment[last][:-1], True)] if len(last) else last
+    return table.take(pa.array(place[last])), answers.append_column(_FOUND, found)
+
+
+def _count_upto(moments: np.ndarray, start: np.ndarray, end: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """The first rank from ``start`` on, up to ``end``, whose moment is after the bound."""
+    low, high = start.copy(), end.copy()
+    while (low < high).any():
+        middle = (low + high) >> 1
+        early = (low < high) & (moments[middle] <= bound)
+        low, high = np.where(early, middle + 1, low), np.where(early, high, np.minimum(middle, high))
+    return low
+
+
+def _last_before(place: np.ndarray, upto: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """For each ``upto`` and ``limit`` the last index below the one whose place is before the other; -1 if none is."""
+    # Each level has the least of two neighbours of the one below.
+    far = np.iinfo(place.dtype).max
+    levels = [place]
+    while len(levels[-1]) > 1:
+        pairs = levels[-1] if len(levels[-1]) % 2 == 0 else np.append(levels[-1], far)
+        levels.append(np.minimum(pairs[::2], pairs[1::2]))
+    # Up, over blocks that end where the range does, to one that has such a place; down to the last one in it.
+    node, height = upto.copy(), np.full(len(upto), -1)
+    for k, least in enumerate(levels):
+        whole = (height < 0) & (node % 2 == 1)
+        hit = whole.copy()
+        hit[whole] = least[node[whole] - 1] < limit[whole]
+        height[hit] = k
+        node = np.where(height < 0, node >> 1, np.where(hit, node - 1, node))
+    for k in range(len(levels) - 2, -1, -1):
+        going = np.flatnonzero(height > k)
+        right = node[going] * 2 + 1
+        inside = right < len(levels[k])
+        least = np.where(inside, levels[k][np.where(inside, right, 0)], far)
+        node[going] = np.where(least < limit[going], right, right - 1)
+    return np.where(height < 0, -1, node)
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
+
+
+def _counted(column: pa.Array) -> bool:
+    kind = column.type
+    return not column.null_count and (
+        pa.types.is_integer(kind) or pa.types.is_timestamp(kind) or pa.types.is_date32(kind)
+    )
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    if pa.types.is_date32(column.type):
+        column = column.cast(pa.int32())
+    return column.cast(pa.int64()).to_numpy()
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    """Whole numbers in the order of a column's values, NULL before all, as Spark sorts it."""
+    if _counted(column):
+        return _numbers(column)
+    codes = np.zeros(len(column), np.int64)
+    known = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+    values = column.take(pa.array(known))
+    if pa.types.is_floating(column.type) or pa.types.is_boolean(column.type):
+        codes[known] = np.unique(values.to_numpy(zero_copy_only=False), return_inverse=True)[1] + 1  # NaN last
+        return codes
+    try:
+        codes[known] = pc.rank(values, tiebreaker="dense").to_numpy()
+    except pa.ArrowNotImplementedError:
+        own = values.to_pylist()
+        at = {value: i for i, value in enumerate(sorted(set(own)), 1)}
+        codes[known] = [at[value] for value in own]
+    return codes
+
+
+def _differs(column: pa.Array) -> np.ndarray:
+    """Which rows from the second on have another value than the row before."""
+    if _counted(column):
+        numbers = _numbers(column)
+        return numbers[1:] != numbers[:-1]
+    try:
+        if not column.null_count and not pa.types.is_floating(column.type):
+            return pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    except pa.ArrowNotImplementedError:
+        pass
+    codes = _codes(column)
+    return codes[1:] != codes[:-1]
 
 
 def bitemporal_join(
@@ -115,38 +232,39 @@ def bitemporal_join(
     if operation and deletes == "ignore":
         changes = changes.where(F.col(operation) != DELETE)
     gone = F.col(operation) == DELETE if operation and deletes == "close" else F.lit(False)
-    version = F.struct(F.coalesce(gone, F.lit(False)).alias("gone"), F.struct(*version_columns).alias("row"))
-    place = F.struct(F.col(order_by[0]).alias("at"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by[1:])])
-    fact = F.struct(F.struct(*keys).alias("key"), F.struct(*fact_rest).alias("row"))
 
     def kind(df, column):
         return df.select(column.alias("x")).schema["x"].dataType
 
-    moment = kind(changes, F.col(order_by[0]))
+    seen, moment = kind(changes, F.col(seen_at)), kind(changes, F.col(order_by[0]))
+    parts = [F.coalesce(gone, F.lit(False)).alias(_GONE)]
+    parts += [F.col(c).alias(f"{_ORDER}{i}") for i, c in enumerate(order_by[1:])]
+    parts += [F.col(c).alias(f"{_ROW}{i}") for i, c in enumerate(version_columns)]
+    change = F.struct(*parts)
+    # A fact's times are not carried twice, where they need no cast.
+    times = {n: c for n, c, t in ((valid_time, _AT, moment), (known_time, _SEEN, seen)) if kind(facts, F.col(n)) == t}
+    plain = [c for c in fact_rest if c not in times]
+    fact = [F.struct(*plain).alias(_FACT)] if plain else []
+    nothing = [F.lit(None).cast(kind(facts, c)).alias(_FACT) for c in fact]
+    no_change = F.lit(None).cast(kind(changes, change)).alias(_CHANGE)
     has_key = F.lit(True)
     for name in keys:
         has_key = has_key & F.col(name).isNotNull()
     filed = changes.where(has_key & F.col(seen_at).isNotNull() & F.col(order_by[0]).isNotNull()).select(
         *keys,
         F.col(seen_at).alias(_SEEN),
-        F.lit(False).alias(_IS_FACT),
         F.col(order_by[0]).alias(_AT),
-        place.alias(_PLACE),
-        F.lit(None).cast(moment).alias(_BOUND),
-        version.alias(_CHANGE),
-        F.lit(None).cast(kind(facts, fact)).alias(_FACT),
+        change.alias(_CHANGE),
+        *nothing,
     )
     # A fact without a time asks for what nothing is: it is spread, and finds nothing.
     asks = has_key & F.col(valid_time).isNotNull() & F.col(known_time).isNotNull()
     asked = facts.where(asks).select(
         *keys,
-        F.col(known_time).cast(kind(changes, F.col(seen_at))).alias(_SEEN),
-        F.lit(True).alias(_IS_FACT),
+        F.col(known_time).cast(seen).alias(_SEEN),
         F.col(valid_time).cast(moment).alias(_AT),
-        F.lit(None).cast(kind(changes, place)).alias(_PLACE),
-        F.col(valid_time).cast(moment).alias(_BOUND),
-        F.lit(None).cast(kind(changes, version)).alias(_CHANGE),
-        fact.alias(_FACT),
+        no_change,
+        *fact,
     )
     spark = facts.sparkSession
     stacked = filed.unionByName(asked)
@@ -154,33 +272,27 @@ def bitemporal_join(
     if hot == "find" or rows_per_slice:
         hot = skew.find_hot_keys(stacked, keys, [_AT], rows_per_slice)
     cut = hot is not None and hot.cuts is not None
-    rows = skew.with_slices(stacked, keys, [_AT], hot)
-    group = [*keys, skew.SLICE]
-    schema = rows.select(_FACT, F.col(_CHANGE).alias(_FOUND)).schema
-    run = _sweep(group, spark_to_arrow(schema).field(_FOUND).type)
+    rows = skew.with_slices(stacked, keys, [_AT], hot) if cut else stacked
+    group = [*keys, skew.SLICE] if cut else keys
+    carried = [*keys, _SEEN, _AT, *([_FACT] if plain else [])]
+    version = [F.col(_CHANGE)[n].alias(n) for n in (_GONE, *[f"{_ROW}{i}" for i in range(len(version_columns))])]
+    schema = rows.select(*carried, F.when(F.col(_CHANGE).isNotNull(), F.struct(*version)).alias(_FOUND)).schema
+    empty = F.lit(None).cast(schema[_FOUND].dataType).alias(_FOUND)
 
-    def look_up(table: DataFrame) -> DataFrame:
-        table = table.select(*group, _SEEN, _IS_FACT, _PLACE, _BOUND, _CHANGE, _FACT)
-        return swept(table, group, [F.col(_SEEN), F.col(_IS_FACT)], run, schema)
+    def look_up(table: DataFrame, bounded: bool, drop: bool) -> DataFrame:
+        table = table.select(*group, *carried[len(keys) :], _CHANGE)
+        changes_first = F.col(_CHANGE).isNull()
+        return swept(table, group, [F.col(_SEEN), changes_first], _sweep(group, bounded, drop), schema)
 
-    found = look_up(rows)
+    found = look_up(rows, True, how == "inner" and not cut)
     if cut:
         path = shared_dir(spark, "bitemporal")
         found.write.parquet(path)
         found = spark.read.schema(schema).parquet(path)
-        missing = found.where(F.col(_FOUND).isNull()).select(_FACT)
-        again = missing.select(
-            *[F.col(f"{_FACT}.key")[k].alias(k) for k in keys],
-            F.col(f"{_FACT}.row")[known_time].cast(kind(changes, F.col(seen_at))).alias(_SEEN),
-            F.lit(True).alias(_IS_FACT),
-            F.col(f"{_FACT}.row")[valid_time].cast(moment).alias(_AT),
-            F.lit(None).cast(kind(changes, place)).alias(_PLACE),
-            F.lit(None).cast(moment).alias(_BOUND),
-            F.lit(None).cast(kind(changes, version)).alias(_CHANGE),
-            _FACT,
-        )
+        missing = found.where(F.col(_FOUND).isNull()).select(*carried)
+        again = missing.select(*carried, no_change)
         # When each slice of a crowded key was first seen anything of: a row for each slice.
-        changed = rows.where(~F.col(_IS_FACT) & F.col(skew.HOT))
+        changed = rows.where(F.col(_CHANGE).isNotNull() & F.col(skew.HOT))
         first = changed.groupBy(*keys, skew.SLICE).agg(F.min(_SEEN).alias("seen"))
         slices = first.groupBy(*keys).agg(
             F.sort_array(F.collect_list(F.struct(F.col(skew.SLICE).alias("n"), "seen")), asc=False).alias("slices")
@@ -191,20 +303,19 @@ def bitemporal_join(
             F.filter("slices", lambda s: (s["n"] < F.col("__own")) & (s["seen"] <= F.col(_SEEN))), F.lit(0)
         )
         placed = placed.join(slices, keys, "left").withColumn(skew.SLICE, nearest["n"]).drop("slices", "__own")
-        nothing = F.lit(None).cast(schema[_FOUND].dataType).alias(_FOUND)
-        never = placed.where(F.col(skew.SLICE).isNull()).select(_FACT, nothing)
+        never = placed.where(F.col(skew.SLICE).isNull()).select(*carried, empty)
         earlier = placed.where(F.col(skew.SLICE).isNotNull())
-        second = look_up(rows.where(~F.col(_IS_FACT) & F.col(skew.HOT)).drop(skew.HOT, _AT).unionByName(earlier.drop(_AT)))
+        second = look_up(changed.drop(skew.HOT).unionByName(earlier), False, False)
         found = found.where(F.col(_FOUND).isNotNull()).unionByName(second).unionByName(never)
     if how == "left":
-        nothing = F.lit(None).cast(schema[_FOUND].dataType).alias(_FOUND)
-        found = found.unionByName(facts.where(~F.coalesce(asks, F.lit(False))).select(fact.alias(_FACT), nothing))
-    valid = F.col(_FOUND).isNotNull() & ~F.col(f"{_FOUND}.gone")
-    found = found.withColumn(_FOUND, F.when(valid, F.col(f"{_FOUND}.row")))
+        lone = [F.col(n) if times.get(n) == c else F.lit(None).cast(t) for n, c, t in ((known_time, _SEEN, seen), (valid_time, _AT, moment))]
+        alone = facts.where(~F.coalesce(asks, F.lit(False)))
+        found = found.unionByName(alone.select(*keys, lone[0].alias(_SEEN), lone[1].alias(_AT), *fact, empty))
+    valid = F.col(_FOUND).isNotNull() & ~F.col(_FOUND)[_GONE]
     if how == "inner":
-        found = found.where(F.col(_FOUND).isNotNull())
+        found = found.where(valid)
     return found.select(
-        *[F.col(f"{_FACT}.key")[k].alias(k) for k in keys],
-        *[F.col(f"{_FACT}.row")[c].alias(c) for c in fact_rest],
-        *[F.col(_FOUND)[c].alias(c) for c in version_columns],
+        *keys,
+        *[F.col(times[c]).alias(c) if c in times else F.col(_FACT)[c].alias(c) for c in fact_rest],
+        *[F.when(valid, F.col(_FOUND)[f"{_ROW}{i}"]).alias(c) for i, c in enumerate(version_columns)],
     )

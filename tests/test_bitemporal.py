@@ -2,7 +2,10 @@
 
 import datetime as dt
 import random
+import sys
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from strandline.operators import bitemporal
@@ -100,3 +103,80 @@ def test_one_shuffle(spark):
     )
     text = df._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1 and "Join" not in text
+
+
+def null_first(value):
+    return (value is not None, value)
+
+
+def swept_rows(seed, groups, n=400):
+    """Sorted rows of a partition as Arrow batches of seven rows, and what each fact must find."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        key, seen = rng.choice(groups), rng.randrange(30)
+        version = None if rng.random() < 0.5 else {"gone": False, "o0": rng.choice([None, "a", "b"]), "o1": rng.choice([None, 0.5, 2.0]), "v0": i}
+        rows.append((key, seen, version is None, version, rng.randrange(30), i))
+    rows.sort(key=lambda r: r[:3])
+    kind = pa.struct([("gone", pa.bool_()), ("o0", pa.string()), ("o1", pa.float64()), ("v0", pa.int32())])
+    columns = [pa.array([r[j] for r in rows]) for j in (0, 1, 4)]
+    columns += [pa.array([r[3] for r in rows], kind), pa.array([{"id": r[5]} for r in rows])]
+    whole = pa.RecordBatch.from_arrays(columns, ["k", "__seen", "__at", "__change", "__fact"])
+    want = []
+    for at, (key, _, is_fact, _, about, i) in enumerate(rows):
+        able = [(r[4], null_first(r[3]["o0"]), null_first(r[3]["o1"]), place, r[3]["v0"])
+                for place, r in enumerate(rows[:at]) if r[0] == key and not r[2] and r[4] <= about]
+        if is_fact:
+            want.append((i, max(able)[-1] if able else None))
+    return [whole.slice(i, 7) for i in range(0, n, 7)], want
+
+
+@pytest.mark.parametrize("groups", [["a"], ["a", "b", "c"], [f"k{i}" for i in range(100)]])
+@pytest.mark.parametrize("at_once", [1, 40, 10_000])
+def test_groups_that_go_on_in_later_batches(monkeypatch, groups, at_once):
+    monkeypatch.setattr(bitemporal, "_ROWS_AT_ONCE", at_once)
+    batches, want = swept_rows(3, groups)
+    got = []
+    for batch in bitemporal._sweep(["k"], True, False)(iter(batches)):
+        assert batch.schema.names == ["k", "__seen", "__at", "__fact", "__found"]
+        for fact, found in zip(batch["__fact"].to_pylist(), batch["__found"].to_pylist(), strict=True):
+            got.append((fact["id"], found and found["v0"]))
+    assert got == want
+
+
+def test_the_last_index_before_is_found_as_by_a_search():
+    rng = np.random.default_rng(1)
+    for size in (1, 2, 3, 8, 37, 64, 100):
+        place = rng.permutation(size * 2)[:size]
+        upto, limit = rng.integers(0, size + 1, 300), rng.integers(0, size * 2 + 1, 300)
+        want = [max((i for i in range(u) if place[i] < most), default=-1) for u, most in zip(upto, limit, strict=True)]
+        assert bitemporal._last_before(place, upto, limit).tolist() == want
+
+
+def test_a_partition_is_looked_up_as_a_whole():
+    n = 400_000
+    key, is_fact = np.arange(n) // 13, np.arange(n) % 13 != 0
+    change = pa.StructArray.from_arrays(
+        [pa.array(np.zeros(n, bool)), pa.array(np.arange(n))], ["gone", "v0"], mask=pa.array(is_fact)
+    )
+    times = pa.array(np.arange(n) % 13)
+    batch = pa.RecordBatch.from_arrays([pa.array(key), times, times, change], ["k", "__seen", "__at", "__change"])
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        made = list(bitemporal._sweep(["k"], True, True)(batch.slice(i, 10_000) for i in range(0, n, 10_000)))
+    finally:
+        sys.setprofile(None)
+    found = np.concatenate([b["__found"].field("v0").to_numpy() for b in made])
+    assert (found == np.flatnonzero(is_fact) // 13 * 13).all() and len(calls) < n / 10
+
+
+def test_keys_and_times_of_other_types(spark):
+    facts = spark.sql("SELECT double(k) AS k, date(d) AS about, date(d) AS known, k AS id FROM VALUES ('NaN', '2024-01-03'), ('1.5', '2024-01-03'), ('NaN', '2024-01-01') t(k, d)")
+    changes = spark.sql("SELECT double(k) AS k, timestamp(d) AS ts, timestamp(d) AS seen, 'u' AS operation, decimal(n) AS n, v FROM VALUES ('NaN', '2024-01-02', 1, 'x'), ('NaN', '2024-01-02', 2, 'y'), ('1.5', '2024-01-03', NULL, 'z') t(k, d, n, v)")
+    df = bitemporal.bitemporal_join(
+        facts, changes, "k", "about", "known", version_columns=["v"], order_by=["ts", "n"], seen_at="seen"
+    )
+    assert [t for _, t in df.dtypes] == ["double", "date", "date", "string", "string"]
+    got = sorted((r.id, str(r.about), str(r.known), r.v) for r in df.collect())
+    assert got == [("1.5", "2024-01-03", "2024-01-03", "z"), ("NaN", "2024-01-01", "2024-01-01", None), ("NaN", "2024-01-03", "2024-01-03", "y")]
