@@ -92,3 +92,14 @@ def test_asked_cells_leave_in_bounded_batches():
 def test_a_page_of_texts_is_measured_after_each_row(spark):
     settings = ("parquet.page.size.row.check.min", "parquet.page.size.check.estimate")
     assert [spark.conf.get(s) for s in settings] == ["1", "false"]
+
+
+def test_a_short_first_row_does_not_put_off_the_end_of_a_row_group(spark, tmp_path):
+    texts = spark.range(0, 600, 1, 1).selectExpr(
+        "id", "IF(id = 0, 'x', array_join(transform(sequence(1, 300), n -> sha2(concat(id, '-', n), 256)), '')) AS text"
+    )
+    texts.write.option("parquet.block.size", str(1 << 20)).parquet(f"{tmp_path}/t")
+    (file,) = tmp_path.glob("t/*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    assert max(groups.row_group(i).total_byte_size for i in range(groups.num_row_groups)) < 2 << 20
+    assert spark.read.parquet(f"{tmp_path}/t").where("length(text) = 19200").count() == 599
